@@ -2,8 +2,9 @@
 
 Each fit is a distributed job; the driver only loops over the (short) list
 of parameter values and keeps one small metrics row per value.  The input
-is persisted (memory and disk, so a lost executor recomputes its blocks
-from the scan) for the duration of the sweep and released afterwards.
+is spread over the cluster when narrow and persisted (memory and disk, so a
+lost executor recomputes its blocks from the scan) for the duration of the
+sweep, then released.
 """
 
 from __future__ import annotations
@@ -11,19 +12,17 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from typing import Any
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from connscore.operators.prepare import persisted
+
 
 def sweep(spark: SparkSession, data: DataFrame, values: Iterable[Any],
           run_one: Callable[[DataFrame, Any], dict], schema: str) -> DataFrame:
     """Run ``run_one(data, v)`` for each value; rows -> DataFrame."""
-    cached = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
+    with persisted(data) as cached:
         rows = [run_one(cached, v) for v in values]
-    finally:
-        cached.unpersist()
     names = [f.strip().split()[0] for f in schema.split(",")]
     return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schema)
 

@@ -19,6 +19,7 @@ from connscore.operators import clusters as C
 from connscore.operators import metrics as M
 from connscore.operators import models as MD
 from connscore.operators import profile as PR
+from connscore.operators.prepare import persisted
 from connscore.operators.sweeps import k_values, select_min, sweep
 from connscore.plans.roles import Roles
 from connscore.sources.cluster_dict import read_cluster_dict, write_cluster_dict
@@ -53,8 +54,9 @@ def categorical_values(records: DataFrame, roles: Roles) -> DataFrame:
 def logreg_binary_train(records: DataFrame, roles: Roles, path: str,
                         reg_param: float = 0.01, max_iter: int = 20) -> PipelineModel:
     train = with_binary_target(records, roles).filter(F.col("label").isNotNull())
-    model = MD.logistic_pipeline(list(roles.numeric), reg_param=reg_param,
-                                 max_iter=max_iter).fit(train)
+    with persisted(train) as data:
+        model = MD.logistic_pipeline(list(roles.numeric), reg_param=reg_param,
+                                     max_iter=max_iter).fit(data)
     save_model(model, path)
     return model
 
@@ -77,8 +79,9 @@ def logreg_multiclass_train(records: DataFrame, roles: Roles, path: str,
                             reg_param: float = 0.01, max_iter: int = 10,
                             parallelism: int = 4) -> PipelineModel:
     train = with_class_target(records, roles)
-    model = MD.one_vs_rest_pipeline(list(roles.numeric), reg_param=reg_param,
-                                    max_iter=max_iter, parallelism=parallelism).fit(train)
+    with persisted(train) as data:
+        model = MD.one_vs_rest_pipeline(list(roles.numeric), reg_param=reg_param,
+                                        max_iter=max_iter, parallelism=parallelism).fit(data)
     save_model(model, path)
     return model
 
@@ -100,8 +103,9 @@ def tree_train(records: DataFrame, roles: Roles, path: str, mode: str = "binary"
                                       len(roles.classes) + 1)
     else:
         raise ValueError("mode must be 'binary' or 'multiClass'")
-    model = MD.tree_pipeline(list(roles.feature_order), roles.vocabularies,
-                             max_depth=max_depth, max_bins=max_bins).fit(train)
+    with persisted(train) as data:
+        model = MD.tree_pipeline(list(roles.feature_order), roles.vocabularies,
+                                 max_depth=max_depth, max_bins=max_bins).fit(data)
     save_model(model, path)
     return model
 
