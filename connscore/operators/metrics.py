@@ -126,10 +126,12 @@ def running_totals(df: DataFrame, key: str, value_cols: Sequence[str],
     probs = [i / n_buckets for i in range(1, n_buckets)]
     keyed = df.withColumn("__k", F.col(key).cast("double"))
     cuts = sorted(set(keyed.approxQuantile("__k", probs, rel_error))) if probs else []
-    splits = [float("-inf"), *[c for c in cuts if c not in (float("-inf"), float("inf"))],
-              float("inf")]
-    b = Bucketizer(splits=splits, inputCol="__k", outputCol="__b",
-                   handleInvalid="keep").transform(keyed)
+    inner = [c for c in cuts if c not in (float("-inf"), float("inf"))]
+    if inner:
+        b = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol="__k",
+                       outputCol="__b", handleInvalid="keep").transform(keyed)
+    else:
+        b = keyed.withColumn("__b", F.lit(0.0))
     if descending:
         b = b.withColumn("__b", -F.col("__b"))
         order = F.col(key).desc()

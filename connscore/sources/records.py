@@ -1,14 +1,11 @@
 """Record ingest: comma-separated connection lines into typed DataFrames.
 
-Two entry points with the same output:
+* ``read_records`` -- text scan of headerless files, then ``parse_lines``.
+* ``parse_lines``  -- the parse as column expressions over a string column
+  (``spark.read.text`` output, or lines formatted from a table).  Every
+  comma splits (no quoting), as in the source format.
 
-* ``read_records``  -- the CSV reader with a declared schema (no inference),
-  PERMISSIVE mode and a corrupt-record column.  Quoting is switched off, so
-  every comma splits, as in the source format.
-* ``parse_lines``   -- the same parse as column expressions over a string
-  column (``spark.read.text`` output, or lines formatted from a table).
-
-Both add a boolean ``malformed`` column: a row is malformed when its field
+The parse adds a boolean ``malformed`` column: a row is malformed when its field
 count is wrong or a numeric field does not parse.  Malformed rows are kept
 (quarantined), never silently dropped; ``well_formed`` / ``quarantined``
 split them and ``write_with_quarantine`` writes both sides in one pass.
@@ -23,25 +20,19 @@ from pyspark.sql import functions as F
 
 from connscore.schema import CONNECTION_LAYOUT, NUMERIC, Layout
 
-CORRUPT_COL = "_corrupt_record"
 MALFORMED = "malformed"
 
 
 def read_records(spark: SparkSession, path: str | Sequence[str],
-                 layout: Layout = CONNECTION_LAYOUT,
-                 keep_corrupt_text: bool = False) -> DataFrame:
-    """Scan headerless comma-separated files with the layout's schema."""
-    schema = layout.struct_type(corrupt_col=CORRUPT_COL)
-    df = (spark.read.schema(schema)
-          .option("header", False)
-          .option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT_COL)
-          .option("quote", "")
-          .option("ignoreLeadingWhiteSpace", True)
-          .option("ignoreTrailingWhiteSpace", True)
-          .csv(path))
-    df = df.withColumn(MALFORMED, F.col(CORRUPT_COL).isNotNull())
-    return df if keep_corrupt_text else df.drop(CORRUPT_COL)
+                 layout: Layout = CONNECTION_LAYOUT, keep_line: bool = False) -> DataFrame:
+    """Scan headerless comma-separated files into the layout's typed columns.
+
+    A text scan plus the expression parser: the ``malformed`` flag is
+    computed from the whole line, so it stays correct whatever columns a
+    later query selects (CSV column pruning would only check the columns it
+    parses, and Spark rejects queries over the corrupt-record column alone).
+    """
+    return parse_lines(read_lines(spark, path), layout, keep_line=keep_line)
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
