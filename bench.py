@@ -90,7 +90,8 @@ def main() -> None:
 
     # k-means k=24 on scaled numerics over a persisted input, then cluster labels
     def km_train():
-        with persisted(jobs.with_class_target(li, L_ROLES)) as train:
+        target = jobs.with_class_target(li, L_ROLES).select(*L_ROLES.numeric, "label")
+        with persisted(target) as train:
             model = MD.kmeans_pipeline(24, list(L_ROLES.numeric)).fit(train)
             save_model(model, km_path)
             write_cluster_dict(C.cluster_majority(model.transform(train)), dict_path)

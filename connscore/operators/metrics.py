@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from connscore.functions.ratios import f_measure, ratio
+from connscore.operators.prepare import materialize
 from connscore.session import default_parallelism
 
 
@@ -165,12 +166,14 @@ def threshold_table(df: DataFrame, score_col: str, label_col: str = "label",
 
     A row is positive when its label > 0.5.  Scores are first reduced to one
     row per distinct value (partial aggregation), so repeated scores never
-    form a hot group downstream.
+    form a hot group downstream; that table is checkpointed once.
     """
     lab = F.col(label_col).cast("double")
     g = (df.groupBy(F.col(score_col).cast("double").alias("threshold"))
          .agg(F.count_if(lab > 0.5).alias("pos"), F.count_if(lab <= 0.5).alias("neg")))
-    return running_totals(g, "threshold", ["pos", "neg"], descending=True,
+    # the quantile job and both window branches read the distinct-score
+    # table: compute it once and checkpoint it instead of rescanning the input
+    return running_totals(materialize(g), "threshold", ["pos", "neg"], descending=True,
                           n_buckets=n_buckets)
 
 

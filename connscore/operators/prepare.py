@@ -20,6 +20,8 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from connscore.session import checkpoint_root
+
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
@@ -37,3 +39,14 @@ def persisted(df: DataFrame, min_partitions: int | None = None,
         yield prepared
     finally:
         prepared.unpersist()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint.
+
+    The rows are written to the shared checkpoint folder (``spark.checkpoint.
+    dir``), so several later branches read them instead of recomputing the
+    plan, and a lost executor does not force a recomputation from the scan.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -26,6 +26,9 @@ from connscore.sources.cluster_dict import read_cluster_dict, write_cluster_dict
 from connscore.sources.model_store import load_pipeline, save_model
 
 
+# Fits persist only the columns they read (features and label), so the
+# spread/cache step moves and stores as little as possible.
+
 # ---- labels ------------------------------------------------------------------------
 
 def with_binary_target(df: DataFrame, roles: Roles, out_col: str = "label") -> DataFrame:
@@ -54,7 +57,7 @@ def categorical_values(records: DataFrame, roles: Roles) -> DataFrame:
 def logreg_binary_train(records: DataFrame, roles: Roles, path: str,
                         reg_param: float = 0.01, max_iter: int = 20) -> PipelineModel:
     train = with_binary_target(records, roles).filter(F.col("label").isNotNull())
-    with persisted(train) as data:
+    with persisted(train.select(*roles.numeric, "label")) as data:
         model = MD.logistic_pipeline(list(roles.numeric), reg_param=reg_param,
                                      max_iter=max_iter).fit(data)
     save_model(model, path)
@@ -79,7 +82,7 @@ def logreg_multiclass_train(records: DataFrame, roles: Roles, path: str,
                             reg_param: float = 0.01, max_iter: int = 10,
                             parallelism: int = 4) -> PipelineModel:
     train = with_class_target(records, roles)
-    with persisted(train) as data:
+    with persisted(train.select(*roles.numeric, "label")) as data:
         model = MD.one_vs_rest_pipeline(list(roles.numeric), reg_param=reg_param,
                                         max_iter=max_iter, parallelism=parallelism).fit(data)
     save_model(model, path)
@@ -103,7 +106,7 @@ def tree_train(records: DataFrame, roles: Roles, path: str, mode: str = "binary"
                                       len(roles.classes) + 1)
     else:
         raise ValueError("mode must be 'binary' or 'multiClass'")
-    with persisted(train) as data:
+    with persisted(train.select(*roles.feature_order, "label")) as data:
         model = MD.tree_pipeline(list(roles.feature_order), roles.vocabularies,
                                  max_depth=max_depth, max_bins=max_bins).fit(data)
     save_model(model, path)
@@ -146,7 +149,7 @@ def kmeans_sweep(spark: SparkSession, vectors: DataFrame, ks, seed: int = 1,
 def kmeans_train(spark: SparkSession, records: DataFrame, roles: Roles, model_path: str,
                  dict_path: str, min_k: int, max_k: int, step: int = 10) -> DataFrame:
     """Sweep k, keep the lowest-cost model, save it and its cluster labels."""
-    train = with_class_target(records, roles)
+    train = with_class_target(records, roles).select(*roles.numeric, "label")
     table, models = kmeans_sweep(spark, train, k_values(min_k, max_k, step),
                                  feature_cols=list(roles.numeric))
     best_k = int(select_min(table).first()["k"])

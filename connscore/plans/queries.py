@@ -23,6 +23,7 @@ from connscore.operators import labels as LB
 from connscore.operators import metrics as M
 from connscore.operators import models as MD
 from connscore.operators import profile as PR
+from connscore.operators.prepare import materialize
 from connscore.operators.sweeps import select_min, sweep
 from connscore.plans import jobs
 from connscore.plans.roles import (
@@ -137,10 +138,12 @@ def vector_index(spark, sf):
 # ---- clusters on fixed centres (one exemplar per label) ---------------------------
 
 def _exemplar_assignment(spark, sf):
+    """Nearest exemplar per row, computed once and checkpointed (narrow rows:
+    the vectors are dropped), because several branches read it."""
     emb = embeddings(spark, sf)
     ids, centers = C.collect_centers(C.class_exemplars(emb, "label", "embedding", "vec_id"))
-    return C.assign_nearest(emb.select("vec_id", "embedding", "label"), "embedding",
-                            ids, centers), len(ids)
+    a = C.assign_nearest(emb.select("vec_id", "embedding", "label"), "embedding", ids, centers)
+    return materialize(a.select("vec_id", "label", "prediction", "distance")), len(ids)
 
 
 def nearest_center_fixed(spark, sf):
