@@ -5,7 +5,9 @@ env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Phases mirror the published timings of the source application (train and
 test of logistic regression, decision tree and k-means) plus the profile
 and metric passes.  Every test phase is a full pass over the table (the
-published LR / k-means test times stopped after three rows).
+published LR / k-means test times stopped after three rows); model loading
+is timed separately (``*_load``), as the published test times started after
+the models were loaded.
 
 Before timing, each job runs once on the sf0.001 tables (untimed): the first
 ML fit and first model load in a fresh JVM spend ~15 s on class loading
@@ -82,11 +84,15 @@ def main() -> None:
 
     # logistic regression: fit scaler + model, save; then load, score, metrics
     timed("lr_train", lambda: jobs.logreg_binary_train(li, L_ROLES, lr_path))
-    timed("lr_test", lambda: jobs.logreg_binary_test(spark, li, L_ROLES, lr_path).collect())
+    lr_model = timed("lr_load", lambda: load_pipeline(lr_path))
+    timed("lr_test", lambda: M.binary_metrics(
+        MD.score(lr_model, jobs.with_binary_target(li, L_ROLES))).collect())
 
     # decision tree (depth 10, maxBins 100, category slot index-coded)
     timed("tree_train", lambda: jobs.tree_train(li, L_ROLES, tree_path, "binary", 10))
-    timed("tree_test", lambda: jobs.tree_test(spark, li, L_ROLES, tree_path).collect())
+    tree_model = timed("tree_load", lambda: load_pipeline(tree_path))
+    timed("tree_test", lambda: M.binary_metrics(
+        tree_model.transform(jobs.with_binary_target(li, L_ROLES))).collect())
 
     # k-means k=24 on scaled numerics over a persisted input, then cluster labels
     def km_train():
@@ -99,10 +105,11 @@ def main() -> None:
 
     timed("kmeans_train", km_train)
 
+    km_model = timed("kmeans_load", lambda: load_pipeline(km_path))
+
     def km_test():
-        model = load_pipeline(km_path)
         d = read_cluster_dict(spark, dict_path)
-        scored = model.transform(jobs.with_class_target(li, L_ROLES))
+        scored = km_model.transform(jobs.with_class_target(li, L_ROLES))
         pairs = C.join_cluster_labels(scored, d, max_dictionary_rows=24)
         return M.collapsed_metrics(pairs, "actual_label", "label").collect()
 

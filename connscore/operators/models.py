@@ -162,3 +162,61 @@ def feature_importances(spark: SparkSession, model, names: Sequence[str]) -> Dat
     imp = tree.featureImportances.toArray()
     return spark.createDataFrame([(n, float(v)) for n, v in zip(names, imp)],
                                  "feature string, importance double")
+
+
+# ---- fitted linear pipelines as column expressions --------------------------------
+
+def _linear_parts(model: PipelineModel):
+    """(input cols, mean, scale, coefficients, intercept, threshold) or None.
+
+    Recognises [VectorAssembler, StandardScalerModel, binomial
+    LogisticRegressionModel] whose assembler reads scalar columns.
+    """
+    from pyspark.ml.classification import LogisticRegressionModel
+    from pyspark.ml.feature import StandardScalerModel, VectorAssembler
+
+    st = model.stages
+    if (len(st) != 3 or not isinstance(st[0], VectorAssembler)
+            or not isinstance(st[1], StandardScalerModel)
+            or not isinstance(st[2], LogisticRegressionModel)
+            or st[2].numClasses != 2 or st[2].getFamily() == "multinomial"):
+        return None
+    cols = st[0].getInputCols()
+    mean = st[1].mean.toArray() if st[1].getWithMean() else [0.0] * len(cols)
+    std = st[1].std.toArray()
+    scale = [(0.0 if s == 0 else 1.0 / s) if st[1].getWithStd() else 1.0 for s in std]
+    lr = st[2]
+    return cols, list(mean), scale, list(lr.coefficients.toArray()), lr.intercept, lr.getThreshold()
+
+
+def linear_score(model: PipelineModel, df: DataFrame,
+                 score_col: str = "score", prediction_col: str = "prediction") -> DataFrame | None:
+    """Score a fitted scaler + binomial logistic pipeline with built-in expressions.
+
+    Same arithmetic as the fitted stages ((x - mean) * (1/std), dot product
+    in feature order, + intercept, sigmoid, probability > threshold), but
+    evaluated inside whole-stage codegen instead of per-row vector UDFs.
+    Returns None when the pipeline has another shape (use ``transform``).
+    """
+    parts = _linear_parts(model)
+    if parts is None:
+        return None
+    cols, mean, scale, coef, intercept, threshold = parts
+    scaled = [(F.col(c).cast("double") - F.lit(float(m))) * F.lit(float(s))
+              for c, m, s in zip(cols, mean, scale)]
+    terms = [x * F.lit(float(w)) for x, w in zip(scaled, coef)]
+    margin = terms[0]
+    for t in terms[1:]:
+        margin = margin + t
+    margin = margin + F.lit(float(intercept))
+    prob = sigmoid(margin)
+    return (df.withColumn(score_col, prob)
+              .withColumn(prediction_col,
+                          F.when(F.col(score_col) > F.lit(float(threshold)), F.lit(1.0))
+                           .otherwise(F.lit(0.0))))
+
+
+def score(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """``prediction`` (and ``score`` for linear models) for every row."""
+    fast = linear_score(model, df)
+    return fast if fast is not None else model.transform(df)

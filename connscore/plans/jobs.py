@@ -66,13 +66,15 @@ def logreg_binary_train(records: DataFrame, roles: Roles, path: str,
 
 def logreg_binary_test(spark: SparkSession, records: DataFrame, roles: Roles,
                        path: str) -> DataFrame:
-    scored = load_pipeline(path).transform(with_binary_target(records, roles))
+    scored = MD.score(load_pipeline(path), with_binary_target(records, roles))
     return M.binary_metrics(scored)
 
 
 def training_summary(model: PipelineModel, records: DataFrame, roles: Roles) -> DataFrame:
     """Exact AUC and best F-measure of a binary model on its training rows."""
-    scored = MD.positive_score(model.transform(with_binary_target(records, roles)))
+    scored = MD.linear_score(model, with_binary_target(records, roles))
+    if scored is None:
+        scored = MD.positive_score(model.transform(with_binary_target(records, roles)))
     return M.threshold_summary(scored, "score")
 
 

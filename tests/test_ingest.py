@@ -91,3 +91,12 @@ def test_numeric_projection_pushdown(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<l_orderkey:bigint,l_quantity:double,l_tax:double>" in plan
     assert out.count() == li.count()
+
+
+def test_all_string_layout(spark, tmp_path):
+    from connscore.schema import CONNECTION_COLUMNS, TEXT, Layout
+    all_text = Layout(tuple((c, TEXT) for c in CONNECTION_COLUMNS))
+    df = read_records(spark, _write(tmp_path, [LINE_A, LINE_B]), all_text)
+    assert all(f.dataType.simpleString() == "string" for f in df.schema.fields[:42])
+    rows = {r["service"]: r["label"] for r in df.collect()}
+    assert rows == {"http": "normal.", "private": "neptune."}

@@ -114,3 +114,17 @@ def test_kmeans_train_relabel_test(spark):
     assert relabeled.count() <= 12
     r = jobs.kmeans_test(spark, li, L_ROLES, mp, dp).first()
     assert r.n == li.count()
+
+
+def test_linear_score_equals_transform(spark):
+    li = jobs.with_binary_target(lineitem(spark, "/root/testdata/sf0.01"), L_ROLES)
+    model = MD.logistic_pipeline(L_NUMERIC, max_iter=10).fit(li)
+    ref = model.transform(li).select(*li.columns, vector_to_array("probability")[1].alias("q"),
+                                     F.col("prediction").alias("p"))
+    fast = MD.linear_score(model, ref)
+    bad = fast.filter((F.abs(F.col("score") - F.col("q")) > 1e-12) |
+                      (F.col("prediction") != F.col("p"))).count()
+    assert bad == 0
+    plan = MD.linear_score(model, li)._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan
+    assert MD.linear_score(MD.kmeans_pipeline(3, L_NUMERIC).fit(li), li) is None
