@@ -71,10 +71,14 @@ def tree_pipeline(feature_cols: Sequence[str], vocabularies: Mapping[str, Sequen
 
 
 def kmeans_pipeline(k: int, feature_cols: Sequence[str] | None = None,
-                    seed: int = 1, max_iter: int = 20, scale: bool = True) -> Pipeline:
+                    seed: int = 1, max_iter: int = 20, scale: bool = True,
+                    solver: str = "block") -> Pipeline:
     """Optional assembly (when given scalar columns), scaling, k-means.
 
     Without ``feature_cols`` the input must carry a vector ``raw_features``.
+    Centred features are dense, so the block solver (distances of stacked
+    instances by matrix multiplication) is the default; it reaches the same
+    clustering as the row solver with fewer per-point operations.
     """
     stages = []
     if feature_cols:
@@ -85,7 +89,7 @@ def kmeans_pipeline(k: int, feature_cols: Sequence[str] | None = None,
     else:
         feats = "raw_features"
     stages.append(KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=feats,
-                         predictionCol="prediction"))
+                         predictionCol="prediction", solver=solver))
     return Pipeline(stages=stages)
 
 
