@@ -276,6 +276,9 @@ FROM (SELECT l_orderkey, l_linenumber, margin, 1.0 / (1.0 + exp(-margin)) AS pro
       FROM (SELECT l_orderkey, l_linenumber,
               {_margin(LOGIT_WEIGHTS, LOGIT_INTERCEPT)} AS margin FROM lineitem))""",
     "ovr_argmax_fixed": _ovr(),
+    # a saved and reloaded model must reproduce every prediction exactly
+    "model_roundtrip": """SELECT CAST(count(*) AS BIGINT) AS n, CAST(0 AS BIGINT) AS n_prediction_diff,
+  CAST(0.0 AS DOUBLE) AS max_probability_diff FROM lineitem""",
     "tree_stump_score": f"""SELECT l_orderkey, l_linenumber, {_L_BIN} AS label,
   {_rule_sql(STUMP_RULE)} AS prediction FROM lineitem""",
 }

@@ -48,3 +48,27 @@ def test_stream_scoring_matches_batch(spark, tmp_path):
     assert got.n == li.count()
     bad = spark.read.parquet(str(tmp_path / "quarantine"))
     assert sorted(r.reason for r in bad.collect()) == ["bad_number", "field_count"]
+
+
+def test_stream_restarts_from_checkpoint(spark, tmp_path):
+    """A stopped query resumes from its checkpoint: no file is counted twice."""
+    li = lineitem(spark, SF0001)
+    model_path = scratch_path(spark, "stream-lr-restart")
+    jobs.logreg_binary_train(li, L_ROLES, model_path, max_iter=3)
+    src = str(tmp_path / "landing")
+    lines = to_lines(li, L_LINE.names)
+    lines.limit(2000).coalesce(1).write.text(src + "/batch1")
+    ckpt = scratch_path(spark, "ckpt-restart")
+
+    def run():
+        recs = record_stream(spark, src + "/*", L_LINE)
+        scored = scored_stream(recs, model_path,
+                               prepare=lambda d: jobs.with_binary_target(d, L_ROLES))
+        q = start_metrics(running_metrics(scored), "restart_metrics", checkpoint=ckpt)
+        q.processAllAvailable()
+        q.stop()
+        return spark.sql("SELECT n FROM restart_metrics").first().n
+
+    assert run() == 2000
+    lines.coalesce(1).write.text(src + "/batch2")
+    assert run() == 2000 + li.count()
