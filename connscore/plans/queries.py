@@ -153,7 +153,7 @@ def nearest_center_fixed(spark, sf):
 
 def kmeans_cost_fixed(spark, sf):
     a, k = _exemplar_assignment(spark, sf)
-    return a.agg(F.lit(k).alias("k"),
+    return a.agg(F.lit(k).cast("long").alias("k"),
                  F.round(F.sum(F.round("distance", 6)), 3).alias("cost"))
 
 
