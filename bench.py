@@ -58,6 +58,7 @@ def _warm_up(spark, small_dir: str) -> None:
     load_pipeline(p + "-km").transform(small).count()
     Q.f_by_threshold(spark, small_dir).collect()
     Q.per_class_prf(spark, small_dir).collect()
+    Q.nearest_center_fixed(spark, small_dir).collect()
 
 
 def main() -> None:

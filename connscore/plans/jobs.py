@@ -11,6 +11,7 @@ well-formed output of ``read_records``).
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,7 +131,8 @@ def kmeans_cost(model: PipelineModel, df: DataFrame) -> float:
     ids, centers = C.model_centers(km)
     feats = km.getFeaturesCol()
     prepared = PipelineModel(stages=model.stages[:-1]).transform(df)
-    assigned = C.assign_nearest(prepared, feats, ids, centers)
+    vectors = prepared.select(vector_to_array(F.col(feats)).alias("__f"))
+    assigned = C.assign_nearest(vectors, "__f", ids, centers)
     return float(C.clustering_cost(assigned).first()["cost"] or 0.0)
 
 

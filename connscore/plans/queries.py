@@ -137,13 +137,17 @@ def vector_index(spark, sf):
 
 # ---- clusters on fixed centres (one exemplar per label) ---------------------------
 
-def _exemplar_assignment(spark, sf):
-    """Nearest exemplar per row, computed once and checkpointed (narrow rows:
-    the vectors are dropped), because several branches read it."""
+def _exemplar_assignment(spark, sf, reused: bool = False):
+    """Nearest exemplar per row (narrow rows: the vectors are dropped).
+
+    When several branches of one query read the assignment (``reused``), it
+    is computed once and checkpointed instead of being recomputed per branch.
+    """
     emb = embeddings(spark, sf)
     ids, centers = C.collect_centers(C.class_exemplars(emb, "label", "embedding", "vec_id"))
     a = C.assign_nearest(emb.select("vec_id", "embedding", "label"), "embedding", ids, centers)
-    return materialize(a.select("vec_id", "label", "prediction", "distance")), len(ids)
+    a = a.select("vec_id", "label", "prediction", "distance")
+    return (materialize(a) if reused else a), len(ids)
 
 
 def nearest_center_fixed(spark, sf):
@@ -174,13 +178,13 @@ def _pruned_dictionary(a):
 
 
 def cluster_label_join(spark, sf):
-    a, k = _exemplar_assignment(spark, sf)
+    a, k = _exemplar_assignment(spark, sf, reused=True)
     return C.join_cluster_labels(a, _pruned_dictionary(a), keep=["vec_id"],
                                  max_dictionary_rows=k)
 
 
 def cluster_uncovered(spark, sf):
-    a, k = _exemplar_assignment(spark, sf)
+    a, k = _exemplar_assignment(spark, sf, reused=True)
     lost = C.uncovered_rows(a, _pruned_dictionary(a), max_dictionary_rows=k)
     return lost.select("vec_id", F.col("label").alias("actual_label"), "prediction")
 

@@ -45,9 +45,10 @@ def test_nearest_center_matches_numpy(spark):
         pred, dist = got[int(vid)]
         assert pred == ids[b]
         assert abs(dist - row[b]) < 1e-9
-    plan = C.assign_nearest(emb, "embedding", ids, centers)._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "Join" not in plan and "Exchange" not in plan
+    for method in ("arrow", "expr"):
+        plan = C.assign_nearest(emb, "embedding", ids, centers, method=method)._jdf \
+            .queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan
 
 
 def test_kmeans_cost_on_final_centres(spark):
@@ -77,3 +78,18 @@ def test_coverage_and_sizes(spark):
     assert cov == {1.0: 2, 2.0: 1}
     sizes = {r.prediction: r.size for r in C.cluster_sizes(a).collect()}
     assert sizes == {0: 2, 1: 1, 2: 1}
+
+
+def test_arrow_and_expression_paths_identical(spark):
+    emb = spark.read.parquet(f"{SF001}/embeddings.parquet")
+    ids, centers = C.collect_centers(C.class_exemplars(emb, "label", "embedding", "vec_id"))
+    a = {r.vec_id: (r.prediction, r.distance)
+         for r in C.assign_nearest(emb, "embedding", ids, centers, method="arrow").collect()}
+    b = {r.vec_id: (r.prediction, r.distance)
+         for r in C.assign_nearest(emb, "embedding", ids, centers, method="expr").collect()}
+    assert a == b
+    with_null = emb.select("vec_id", "embedding").union(
+        spark.createDataFrame([(10**9, None)], "vec_id long, embedding array<float>"))
+    got = {r.vec_id: r.prediction
+           for r in C.assign_nearest(with_null, "embedding", ids, centers).collect()}
+    assert got[10**9] is None and len(got) == emb.count() + 1
