@@ -306,6 +306,13 @@ def fit_logistic(spark, sf):
     return M.binary_metrics(scored)
 
 
+def fit_logistic_summary(spark, sf):
+    """Training summary of the fitted model: exact AUC and best-F threshold."""
+    li = lineitem(spark, sf)
+    model = jobs.logreg_binary_train(li, L_ROLES, scratch_path(spark, "logreg-summary"))
+    return jobs.training_summary(model, li, L_ROLES)
+
+
 def fit_one_vs_rest(spark, sf):
     li = lineitem(spark, sf)
     model = jobs.logreg_multiclass_train(li, L_ROLES, scratch_path(spark, "ovr"))
@@ -325,6 +332,13 @@ def fit_tree_multiclass(spark, sf):
     return M.per_class_metrics(model.transform(jobs.with_class_target(li, L_ROLES)))
 
 
+def tree_feature_importances(spark, sf):
+    li = lineitem(spark, sf)
+    model = jobs.tree_train(li, L_ROLES, scratch_path(spark, "tree-imp"), "binary", 4)
+    names = [f"{c}_idx" if c in L_ROLES.vocabularies else c for c in L_ROLES.feature_order]
+    return MD.feature_importances(spark, model, names)
+
+
 def _embedding_vectors(spark, sf):
     return FE.with_vector(embeddings(spark, sf), "embedding", "raw_features")
 
@@ -455,11 +469,13 @@ QUERIES: dict[str, Query] = {
     "ovr_argmax_fixed": ovr_argmax_fixed,
     "tree_stump_score": tree_stump_score,
     "fit_logistic": fit_logistic,
+    "fit_logistic_summary": fit_logistic_summary,
     "fit_one_vs_rest": fit_one_vs_rest,
     "fit_tree": fit_tree,
     "fit_tree_multiclass": fit_tree_multiclass,
     "fit_kmeans": fit_kmeans,
     "tree_rules": tree_rules,
+    "tree_feature_importances": tree_feature_importances,
     "model_roundtrip": model_roundtrip,
     "cluster_relabel": cluster_relabel,
     "k_sweep_select": k_sweep_select,
