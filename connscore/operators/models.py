@@ -224,3 +224,47 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """``prediction`` (and ``score`` for linear models) for every row."""
     fast = linear_score(model, df)
     return fast if fast is not None else model.transform(df)
+
+
+# ---- fitting with one cached copy of the estimator's input -------------------------
+
+def estimator_columns(est, extra: Sequence[str] = ()) -> list[str]:
+    """The columns an estimator reads (features, label, weight) plus extras."""
+    cols = [est.getFeaturesCol()]
+    for p in ("labelCol", "weightCol"):
+        if est.hasParam(p) and est.isDefined(est.getParam(p)):
+            v = est.getOrDefault(est.getParam(p))
+            if v:
+                cols.append(v)
+    return list(dict.fromkeys([*cols, *extra]))
+
+
+def fit_pipeline(pipeline: Pipeline, df: DataFrame, cache_input: bool = True) -> PipelineModel:
+    """Fit feature stages, then the final estimator on a cached, narrow input.
+
+    Estimators such as logistic regression and k-means cache their own copy
+    of any uncached input.  Caching exactly the frame they read (features and
+    label, after the feature stages) means one cached copy instead of two.
+    Trees bin and cache their input themselves: use ``cache_input=False``.
+    A narrow input is spread over the cluster first (see ``prepare``).
+    """
+    from pyspark import StorageLevel
+
+    from connscore.operators.prepare import spread_input
+
+    stages = pipeline.getStages()
+    est = stages[-1]
+    with spread_input(df) as src:
+        prefix = Pipeline(stages=stages[:-1]).fit(src.df)
+        feats = prefix.transform(src.df).select(*estimator_columns(est))
+        if not cache_input:
+            model = est.fit(feats)
+        else:
+            feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                feats.count()          # materialise, then drop the spread copy
+                src.release()
+                model = est.fit(feats)
+            finally:
+                feats.unpersist()
+    return PipelineModel(stages=[*prefix.stages, model])

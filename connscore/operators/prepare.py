@@ -50,3 +50,33 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+@contextmanager
+def spread_input(df: DataFrame, min_partitions: int | None = None):
+    """Yield ``df`` spread over the cluster when it is narrow.
+
+    A narrow input (fewer partitions than the default parallelism) is small
+    by construction, so its spread copy is cached while the caller reads it
+    more than once (feature-stage fit, then feature caching); a wide input is
+    yielded unchanged and never cached here.  Call ``release()`` on the
+    yielded handle to drop the copy as soon as it is no longer needed.
+    """
+    spread = ensure_parallelism(df, min_partitions)
+    narrow = spread is not df
+    handle = _Handle(spread.persist(StorageLevel.MEMORY_AND_DISK) if narrow else spread, narrow)
+    try:
+        yield handle
+    finally:
+        handle.release()
+
+
+class _Handle:
+    def __init__(self, df: DataFrame, cached: bool):
+        self.df = df
+        self._cached = cached
+
+    def release(self) -> None:
+        if self._cached:
+            self.df.unpersist()
+            self._cached = False

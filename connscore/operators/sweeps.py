@@ -42,3 +42,39 @@ def metric_row(metrics_df: DataFrame, names: Sequence[str]) -> dict:
     """The single row of a one-row metrics DataFrame as a dict."""
     r = metrics_df.first()
     return {n: r[n] for n in names}
+
+
+def sweep_fits(spark: SparkSession, prefix, data: DataFrame, values: Iterable[Any],
+               make_estimator: Callable[[Any], Any],
+               evaluate: Callable[[Any, Any, DataFrame], dict], schema: str,
+               extra_cols: Sequence[str] = ()) -> tuple[DataFrame, dict]:
+    """One fit per parameter value, sharing the feature stages and one cache.
+
+    The feature stages (``prefix``, a Pipeline) are fitted once.  The frame
+    the estimators read (features, label, plus ``extra_cols`` needed by
+    ``evaluate``) is cached once; every fit and evaluation reads that cache,
+    and the estimators see a cached input, so they keep no copy of their own.
+    ``evaluate(v, model, cached)`` returns the metrics row for value ``v``.
+    Returns the metrics table and ``{value: PipelineModel}``.
+    """
+    from pyspark.ml import PipelineModel
+
+    from connscore.operators.models import estimator_columns
+    from connscore.operators.prepare import spread_input
+
+    values = list(values)
+    cols = estimator_columns(make_estimator(values[0]), extra_cols)
+    models = {}
+    rows = []
+    with spread_input(data) as src:
+        prefix_model = prefix.fit(src.df)
+        feats = prefix_model.transform(src.df).select(*cols)
+        with persisted(feats, spread=False) as cached:
+            cached.count()             # materialise, then drop the spread copy
+            src.release()
+            for v in values:
+                m = make_estimator(v).fit(cached)
+                models[v] = PipelineModel(stages=[*prefix_model.stages, m])
+                rows.append(evaluate(v, m, cached))
+    names = [f.strip().split()[0] for f in schema.split(",")]
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in rows], schema), models

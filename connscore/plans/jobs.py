@@ -10,7 +10,7 @@ well-formed output of ``read_records``).
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,8 +20,7 @@ from connscore.operators import clusters as C
 from connscore.operators import metrics as M
 from connscore.operators import models as MD
 from connscore.operators import profile as PR
-from connscore.operators.prepare import persisted
-from connscore.operators.sweeps import k_values, select_min, sweep
+from connscore.operators.sweeps import k_values, select_min, sweep_fits
 from connscore.plans.roles import Roles
 from connscore.sources.cluster_dict import read_cluster_dict, write_cluster_dict
 from connscore.sources.model_store import load_pipeline, save_model
@@ -58,9 +57,9 @@ def categorical_values(records: DataFrame, roles: Roles) -> DataFrame:
 def logreg_binary_train(records: DataFrame, roles: Roles, path: str,
                         reg_param: float = 0.01, max_iter: int = 20) -> PipelineModel:
     train = with_binary_target(records, roles).filter(F.col("label").isNotNull())
-    with persisted(train.select(*roles.numeric, "label")) as data:
-        model = MD.logistic_pipeline(list(roles.numeric), reg_param=reg_param,
-                                     max_iter=max_iter).fit(data)
+    model = MD.fit_pipeline(MD.logistic_pipeline(list(roles.numeric), reg_param=reg_param,
+                                                 max_iter=max_iter),
+                            train.select(*roles.numeric, "label"))
     save_model(model, path)
     return model
 
@@ -85,9 +84,9 @@ def logreg_multiclass_train(records: DataFrame, roles: Roles, path: str,
                             reg_param: float = 0.01, max_iter: int = 10,
                             parallelism: int = 4) -> PipelineModel:
     train = with_class_target(records, roles)
-    with persisted(train.select(*roles.numeric, "label")) as data:
-        model = MD.one_vs_rest_pipeline(list(roles.numeric), reg_param=reg_param,
-                                        max_iter=max_iter, parallelism=parallelism).fit(data)
+    model = MD.fit_pipeline(MD.one_vs_rest_pipeline(list(roles.numeric), reg_param=reg_param,
+                                                    max_iter=max_iter, parallelism=parallelism),
+                            train.select(*roles.numeric, "label"))
     save_model(model, path)
     return model
 
@@ -109,9 +108,10 @@ def tree_train(records: DataFrame, roles: Roles, path: str, mode: str = "binary"
                                       len(roles.classes) + 1)
     else:
         raise ValueError("mode must be 'binary' or 'multiClass'")
-    with persisted(train.select(*roles.feature_order, "label")) as data:
-        model = MD.tree_pipeline(list(roles.feature_order), roles.vocabularies,
-                                 max_depth=max_depth, max_bins=max_bins).fit(data)
+    # trees bin and cache their input themselves: spread only, no extra copy
+    model = MD.fit_pipeline(MD.tree_pipeline(list(roles.feature_order), roles.vocabularies,
+                                             max_depth=max_depth, max_bins=max_bins),
+                            train.select(*roles.feature_order, "label"), cache_input=False)
     save_model(model, path)
     return model
 
@@ -125,29 +125,38 @@ def tree_test(spark: SparkSession, records: DataFrame, roles: Roles, path: str,
 
 # ---- k-means ----------------------------------------------------------------------
 
+def centres_cost(km_model, features: DataFrame) -> float:
+    """Sum of squared distances of the rows of ``features`` (the k-means
+    model's features column) to the model's final centres."""
+    ids, centers = C.model_centers(km_model)
+    vectors = features.select(vector_to_array(F.col(km_model.getFeaturesCol())).alias("__f"))
+    assigned = C.assign_nearest(vectors, "__f", ids, centers)
+    return float(C.clustering_cost(assigned).first()["cost"] or 0.0)
+
+
 def kmeans_cost(model: PipelineModel, df: DataFrame) -> float:
     """Cost on the model's final centres (not the lagging training summary)."""
-    km = model.stages[-1]
-    ids, centers = C.model_centers(km)
-    feats = km.getFeaturesCol()
     prepared = PipelineModel(stages=model.stages[:-1]).transform(df)
-    vectors = prepared.select(vector_to_array(F.col(feats)).alias("__f"))
-    assigned = C.assign_nearest(vectors, "__f", ids, centers)
-    return float(C.clustering_cost(assigned).first()["cost"] or 0.0)
+    return centres_cost(model.stages[-1], prepared)
 
 
 def kmeans_sweep(spark: SparkSession, vectors: DataFrame, ks, seed: int = 1,
                  max_iter: int = 20, feature_cols=None) -> tuple[DataFrame, dict]:
-    """Fit one model per k over a persisted input; (k, cost) table + models."""
-    models: dict[int, PipelineModel] = {}
+    """One k-means fit per k; (k, cost) table and the fitted pipelines.
+
+    The scaler is fitted once and the scaled vectors are cached once for the
+    whole sweep (``sweep_fits``).
+    """
+    ks = list(ks)
+    prefix = Pipeline(stages=MD.kmeans_pipeline(ks[0], feature_cols).getStages()[:-1])
+
+    def make(k):
+        return MD.kmeans_pipeline(k, feature_cols, seed=seed, max_iter=max_iter).getStages()[-1]
 
-    def run(data: DataFrame, k: int) -> dict:
-        m = MD.kmeans_pipeline(k, feature_cols, seed=seed, max_iter=max_iter).fit(data)
-        models[k] = m
-        return {"k": k, "cost": kmeans_cost(m, data)}
+    def evaluate(k, km, cached):
+        return {"k": k, "cost": centres_cost(km, cached)}
 
-    table = sweep(spark, vectors, ks, run, "k int, cost double")
-    return table, models
+    return sweep_fits(spark, prefix, vectors, ks, make, evaluate, "k int, cost double")
 
 
 def kmeans_train(spark: SparkSession, records: DataFrame, roles: Roles, model_path: str,

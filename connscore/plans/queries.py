@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import Bucketizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ from connscore.operators import metrics as M
 from connscore.operators import models as MD
 from connscore.operators import profile as PR
 from connscore.operators.prepare import materialize
-from connscore.operators.sweeps import select_min, sweep
+from connscore.operators.sweeps import select_min, sweep_fits
 from connscore.plans import jobs
 from connscore.plans.roles import (
     CONV_LINE_COLUMNS, CONV_LINE_LAYOUT, EVENT_CLASSES, EVENT_LINE_COLUMNS,
@@ -388,45 +389,61 @@ def k_sweep_select(spark, sf):
     return select_min(table_)
 
 
+_SWEEP_COLS = ["precision", "recall", "f1", "error"]
+
+
 def sweep_k(spark, sf):
     """Per k: fit, majority labels, collapsed metrics of the labelled clusters."""
     vec = _embedding_vectors(spark, sf).withColumn("label", F.col("label").cast("double"))
+    prefix = Pipeline(stages=MD.kmeans_pipeline(5).getStages()[:-1])
 
-    def run(data, k):
-        model = MD.kmeans_pipeline(k).fit(data)
-        scored = model.transform(data)
+    def evaluate(k, km, cached):
+        scored = km.transform(cached)
         pairs = C.join_cluster_labels(scored, C.cluster_majority(scored),
                                       max_dictionary_rows=k)
         r = M.collapsed_metrics(pairs, "actual_label", "label").first()
-        return {"k": k, **{n: r[n] for n in ["precision", "recall", "f1", "error"]}}
+        return {"k": k, **{n: r[n] for n in _SWEEP_COLS}}
 
-    return sweep(spark, vec, [5, 10, 20], run,
-                 "k int, precision double, recall double, f1 double, error double")
+    table, _ = sweep_fits(spark, prefix, vec, [5, 10, 20],
+                          lambda k: MD.kmeans_pipeline(k).getStages()[-1], evaluate,
+                          "k int, precision double, recall double, f1 double, error double",
+                          extra_cols=["label"])
+    return table
 
 
 def sweep_tree_depth(spark, sf):
     li = jobs.with_binary_target(lineitem(spark, sf), L_ROLES)
 
-    def run(data, depth):
-        model = MD.tree_pipeline(list(L_ROLES.feature_order), L_ROLES.vocabularies,
-                                 max_depth=depth).fit(data)
-        r = M.binary_metrics(model.transform(data)).first()
-        return {"max_depth": depth, **{n: r[n] for n in ["precision", "recall", "f1", "error"]}}
+    def stages(depth):
+        return MD.tree_pipeline(list(L_ROLES.feature_order), L_ROLES.vocabularies,
+                                max_depth=depth).getStages()
 
-    return sweep(spark, li, [2, 4, 6], run,
-                 "max_depth int, precision double, recall double, f1 double, error double")
+    def evaluate(depth, tree, cached):
+        r = M.binary_metrics(tree.transform(cached)).first()
+        return {"max_depth": depth, **{n: r[n] for n in _SWEEP_COLS}}
+
+    table, _ = sweep_fits(spark, Pipeline(stages=stages(2)[:-1]), li, [2, 4, 6],
+                          lambda d: stages(d)[-1], evaluate,
+                          "max_depth int, precision double, recall double, f1 double, "
+                          "error double")
+    return table
 
 
 def sweep_lambda(spark, sf):
     li = jobs.with_binary_target(lineitem(spark, sf), L_ROLES)
 
-    def run(data, lam):
-        model = MD.logistic_pipeline(L_NUMERIC, reg_param=lam).fit(data)
-        r = M.binary_metrics(model.transform(data)).first()
-        return {"reg_param": lam, **{n: r[n] for n in ["precision", "recall", "f1", "error"]}}
+    def stages(lam):
+        return MD.logistic_pipeline(L_NUMERIC, reg_param=lam).getStages()
+
+    def evaluate(lam, lr, cached):
+        r = M.binary_metrics(lr.transform(cached)).first()
+        return {"reg_param": lam, **{n: r[n] for n in _SWEEP_COLS}}
 
-    return sweep(spark, li, [0.0, 0.01, 0.1], run,
-                 "reg_param double, precision double, recall double, f1 double, error double")
+    table, _ = sweep_fits(spark, Pipeline(stages=stages(0.0)[:-1]), li, [0.0, 0.01, 0.1],
+                          lambda lam: stages(lam)[-1], evaluate,
+                          "reg_param double, precision double, recall double, f1 double, "
+                          "error double")
+    return table
 
 
 QUERIES: dict[str, Query] = {
