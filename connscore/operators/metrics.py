@@ -110,7 +110,7 @@ def per_class_metrics(df: DataFrame, label_col: str = "label",
 
 def running_totals(df: DataFrame, key: str, value_cols: Sequence[str],
                    descending: bool = False, n_buckets: int | None = None,
-                   rel_error: float = 1e-3) -> DataFrame:
+                   rel_error: float | None = None) -> DataFrame:
     """Exact inclusive running sums of ``value_cols`` in the order of ``key``.
 
     ``df`` must hold one row per distinct key.  Adds ``cum_<v>`` (sum over
@@ -124,6 +124,8 @@ def running_totals(df: DataFrame, key: str, value_cols: Sequence[str],
     """
     spark = df.sparkSession
     n_buckets = n_buckets or max(2, default_parallelism(spark))
+    # quantile error well below one bucket width keeps bucket sizes even
+    rel_error = rel_error if rel_error is not None else min(1e-3, 0.25 / n_buckets)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     keyed = df.withColumn("__k", F.col(key).cast("double"))
     cuts = sorted(set(keyed.approxQuantile("__k", probs, rel_error))) if probs else []
