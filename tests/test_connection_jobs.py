@@ -28,7 +28,7 @@ def conn_path(tmp_path_factory):
     rows += [_variant(LINE_B, 1, "smurf."), _variant(LINE_A, 2, "newattack.")]
     rows.append(LINE_A.replace(",212,", ",2x12,"))      # bad number
     rows.append(",".join(LINE_A.split(",")[:-2]))       # short row
-    p = tmp_path_factory.mktemp("conn") / "kddcup.data"
+    p = tmp_path_factory.mktemp("conn") / "connections.log"
     p.write_text("\n".join(rows) + "\n")
     return str(p)
 
