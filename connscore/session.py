@@ -47,8 +47,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` from the session; falls back to the
-    SparkContext's checkpoint directory; only when neither is set (local
-    runs and tests) creates a local one and registers it.
+    SparkContext's checkpoint directory; only when neither is set and the
+    master is local (tests, single-machine runs) creates a local one and
+    registers it.  On a cluster without a shared folder it refuses to guess.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None)
@@ -59,6 +60,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError(
+            "set spark.checkpoint.dir to a folder shared by the cluster (HDFS / object "
+            "store): models, dictionaries and checkpoints are written there")
     local = tempfile.mkdtemp(prefix="connscore-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
