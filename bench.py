@@ -23,7 +23,6 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import functions as F  # noqa: E402
 
 from connscore.operators import clusters as C  # noqa: E402
 from connscore.operators import metrics as M  # noqa: E402

@@ -29,7 +29,7 @@ from connscore.operators.sweeps import select_min, sweep_fits
 from connscore.plans import jobs
 from connscore.plans.roles import (
     CONV_LINE_COLUMNS, CONV_LINE_LAYOUT, EVENT_CLASSES, EVENT_LINE_COLUMNS,
-    EVENT_LINE_LAYOUT, EVENT_NORMAL, EVENT_VALUE_SPLITS, L_CLASSES, L_KEYS, L_NORMAL,
+    EVENT_LINE_LAYOUT, EVENT_NORMAL, EVENT_VALUE_SPLITS, L_KEYS, L_NORMAL,
     L_NUMERIC, L_ROLES, LO_CATEGORY_COLUMNS, LO_VOCABULARIES, LOGIT_INTERCEPT,
     LOGIT_WEIGHTS, OVR_INTERCEPTS, OVR_WEIGHTS, STUMP_RULE, embeddings, events,
     lineitem, lineitem_orders_part,
