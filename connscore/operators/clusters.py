@@ -37,6 +37,8 @@ def collect_centers(centers: DataFrame, id_col: str = "cid", center_col: str = "
     rows = centers.orderBy(id_col).limit(max_centers + 1).collect()
     if len(rows) > max_centers:
         raise ValueError(f"more than {max_centers} centres; not a centre table")
+    if not rows:
+        raise ValueError("the centre table is empty")
     ids = [int(r[id_col]) for r in rows]
     vecs = [[float(v) for v in (r[center_col].toArray() if hasattr(r[center_col], "toArray")
                                 else r[center_col])] for r in rows]

@@ -26,6 +26,12 @@ from connscore.operators.features import assembler, scaler
 from connscore.operators.labels import category_indexers
 
 
+# Instances are stacked into blocks of up to this size for the block-based
+# solvers (logistic regression, k-means "block"): fewer, larger matrix
+# operations per pass; 16 MB per block is small against executor memory.
+BLOCK_MB = 16.0
+
+
 def with_label_classes(df: DataFrame, label_col: str, num_classes: int) -> DataFrame:
     """Attach nominal metadata so classifiers see ``num_classes`` classes."""
     meta = {"ml_attr": {"type": "nominal", "name": label_col,
@@ -37,7 +43,8 @@ def logistic_pipeline(feature_cols: Sequence[str], label_col: str = "label",
                       reg_param: float = 0.01, max_iter: int = 20,
                       elastic_net: float = 0.2, family: str = "binomial") -> Pipeline:
     lr = LogisticRegression(featuresCol="features", labelCol=label_col, maxIter=max_iter,
-                            regParam=reg_param, elasticNetParam=elastic_net, family=family)
+                            regParam=reg_param, elasticNetParam=elastic_net, family=family,
+                            maxBlockSizeInMB=BLOCK_MB)
     return Pipeline(stages=[assembler(feature_cols, "raw_features"),
                             scaler("raw_features", "features"), lr])
 
@@ -89,7 +96,8 @@ def kmeans_pipeline(k: int, feature_cols: Sequence[str] | None = None,
     else:
         feats = "raw_features"
     stages.append(KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=feats,
-                         predictionCol="prediction", solver=solver))
+                         predictionCol="prediction", solver=solver,
+                         maxBlockSizeInMB=BLOCK_MB))
     return Pipeline(stages=stages)
 
 

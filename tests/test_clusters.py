@@ -93,3 +93,10 @@ def test_arrow_and_expression_paths_identical(spark):
     got = {r.vec_id: r.prediction
            for r in C.assign_nearest(with_null, "embedding", ids, centers).collect()}
     assert got[10**9] is None and len(got) == emb.count() + 1
+
+
+def test_empty_centre_table_is_refused(spark):
+    import pytest
+    empty = spark.createDataFrame([], "cid int, center array<double>")
+    with pytest.raises(ValueError):
+        C.collect_centers(empty)

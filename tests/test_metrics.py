@@ -147,3 +147,12 @@ def test_metrics_invariant_under_repartition(spark):
     assert a == b
     assert a["tp"] + a["tn"] + a["fp"] + a["fn"] == a["n"]
     assert min(a["precision"], a["recall"]) <= a["f1"] <= max(a["precision"], a["recall"])
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], "label double, prediction double, score double")
+    r = M.binary_metrics(empty).first()
+    assert (r.tp, r.n) == (0, 0) and r.precision is None and r.error is None
+    assert M.per_class_metrics(empty).count() == 0
+    assert M.f_measure_by_threshold(empty, "score").count() == 0
+    assert M.area_under_roc(empty, "score").first().auc is None
