@@ -268,10 +268,10 @@ def fit_pipeline(pipeline: Pipeline, df: DataFrame, cache_input: bool = True) ->
         if not cache_input:
             model = est.fit(feats)
         else:
+            # the first estimator pass fills the cache; a spread copy (narrow,
+            # hence small, inputs only) is dropped when the block exits
             feats = feats.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                feats.count()          # materialise, then drop the spread copy
-                src.release()
                 model = est.fit(feats)
             finally:
                 feats.unpersist()

@@ -59,8 +59,8 @@ def spread_input(df: DataFrame, min_partitions: int | None = None):
     A narrow input (fewer partitions than the default parallelism) is small
     by construction, so its spread copy is cached while the caller reads it
     more than once (feature-stage fit, then feature caching); a wide input is
-    yielded unchanged and never cached here.  Call ``release()`` on the
-    yielded handle to drop the copy as soon as it is no longer needed.
+    yielded unchanged and never cached here.  The copy is dropped when the
+    block exits, or earlier through ``release()`` on the yielded handle.
     """
     spread = ensure_parallelism(df, min_partitions)
     narrow = spread is not df

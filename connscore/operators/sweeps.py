@@ -70,8 +70,6 @@ def sweep_fits(spark: SparkSession, prefix, data: DataFrame, values: Iterable[An
         prefix_model = prefix.fit(src.df)
         feats = prefix_model.transform(src.df).select(*cols)
         with persisted(feats, spread=False) as cached:
-            cached.count()             # materialise, then drop the spread copy
-            src.release()
             for v in values:
                 m = make_estimator(v).fit(cached)
                 models[v] = PipelineModel(stages=[*prefix_model.stages, m])
