@@ -48,6 +48,12 @@ def statistics(records: DataFrame, roles: Roles) -> DataFrame:
     return PR.label_counts(records, roles.label)
 
 
+def statistics_from_lines(spark: SparkSession, path) -> DataFrame:
+    """Label frequency of a raw log without parsing its records."""
+    from connscore.sources.records import read_lines
+    return PR.label_counts_from_lines(read_lines(spark, path))
+
+
 def categorical_values(records: DataFrame, roles: Roles) -> DataFrame:
     return PR.category_cardinality(records, list(roles.vocabularies))
 

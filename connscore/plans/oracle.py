@@ -203,6 +203,8 @@ FROM {_CONV} WHERE NOT {_CONV_BAD}""",
 FROM {_CONV} WHERE {_CONV_BAD}""",
     "label_counts": """SELECT trim(event_type) AS label, count(*) AS n FROM events
 GROUP BY trim(event_type) ORDER BY n DESC, label""",
+    "label_counts_from_lines": """SELECT event_type AS label, count(*) AS n FROM events
+GROUP BY event_type ORDER BY n DESC, label""",
     "top_labels": """SELECT trim(event_type) AS label, count(*) AS n FROM events
 GROUP BY trim(event_type) ORDER BY n DESC, label LIMIT 3""",
     "category_vocabulary": f"""WITH lop AS {_LOP}, d AS ({_vocab_union()})

@@ -114,6 +114,11 @@ def label_counts(spark, sf):
     return PR.label_counts(events(spark, sf), "event_type")
 
 
+def label_counts_from_lines(spark, sf):
+    """Label counts from comma lines, reading only the last field."""
+    return PR.label_counts_from_lines(to_lines(events(spark, sf), EVENT_LINE_COLUMNS))
+
+
 def top_labels(spark, sf):
     return PR.top_labels(events(spark, sf), "event_type", 3)
 
@@ -457,6 +462,7 @@ QUERIES: dict[str, Query] = {
     "malformed_filter": malformed_filter,
     "malformed_quarantine": malformed_quarantine,
     "label_counts": label_counts,
+    "label_counts_from_lines": label_counts_from_lines,
     "top_labels": top_labels,
     "category_vocabulary": category_vocabulary,
     "category_cardinality": category_cardinality,

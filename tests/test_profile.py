@@ -44,3 +44,14 @@ def test_vector_indexer_small_slots_become_categories(spark):
     for r in rows:
         assert r.indexed[0] == round(r.tax / 0.01)   # 0.0 -> 0, 0.01 -> 1, 0.02 -> 2
         assert r.indexed[1] in range(40)              # continuous slot passes through
+
+
+def test_label_counts_from_raw_lines(spark):
+    from conftest import LINE_A, LINE_B
+    lines = [LINE_A, LINE_A + "\r", "  " + LINE_B + " \t", "1,2,3", LINE_A.replace("normal.", " normal.")]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = {r.label: r.n for r in PR.label_counts_from_lines(df).collect()}
+    # whole-line strip, then the last field as is (a space after the comma stays)
+    assert got == {"normal.": 2, "neptune.": 1, "3": 1, " normal.": 1}
+    plan = PR.label_counts_from_lines(df)._jdf.queryExecution().executedPlan().toString()
+    assert "split(" not in plan
