@@ -44,11 +44,6 @@ def squared_distance(x: Column, center: Column) -> Column:
     return F.aggregate(diffs, F.lit(0.0), lambda acc, v: acc + v)
 
 
-def centers_literal(centers: Sequence[Sequence[float]]) -> Column:
-    """array<array<double>> literal; Catalyst folds it to one constant."""
-    return F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])
-
-
 def nearest_center_struct(features: str | Column, centers: Sequence[Sequence[float]],
                           center_ids: Sequence[int] | None = None) -> Column:
     """struct<distance: double, cid: int> of the nearest centre.

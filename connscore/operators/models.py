@@ -101,10 +101,6 @@ def kmeans_pipeline(k: int, feature_cols: Sequence[str] | None = None,
     return Pipeline(stages=stages)
 
 
-def last_stage(model: PipelineModel):
-    return model.stages[-1]
-
-
 def positive_score(df: DataFrame, probability_col: str = "probability",
                    out_col: str = "score") -> DataFrame:
     """Probability of class 1 as a plain double column."""

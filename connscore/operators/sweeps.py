@@ -38,12 +38,6 @@ def select_min(sweep_df: DataFrame, metric: str = "cost",
     return sweep_df.orderBy(F.col(metric).asc(), F.col(param).asc()).limit(1)
 
 
-def metric_row(metrics_df: DataFrame, names: Sequence[str]) -> dict:
-    """The single row of a one-row metrics DataFrame as a dict."""
-    r = metrics_df.first()
-    return {n: r[n] for n in names}
-
-
 def sweep_fits(spark: SparkSession, prefix, data: DataFrame, values: Iterable[Any],
                make_estimator: Callable[[Any], Any],
                evaluate: Callable[[Any, Any, DataFrame], dict], schema: str,

@@ -8,7 +8,6 @@ registered as the checkpoint directory.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -80,12 +79,3 @@ def default_parallelism(spark: SparkSession) -> int:
         return max(1, int(conf))
     except (TypeError, ValueError):
         return max(1, spark.sparkContext.defaultParallelism)
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python file APIs can use the path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -1,5 +1,4 @@
 import numpy as np
-from pyspark.sql import functions as F
 
 from connscore.operators import clusters as C
 from connscore.operators.features import with_vector

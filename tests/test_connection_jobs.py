@@ -79,3 +79,10 @@ def test_kmeans_jobs(spark, conn_path):
     r = jobs.kmeans_test(spark, good, CONNECTION_ROLES, mp, dp).first()
     assert r.n == 82
     assert r.tp + r.tn + r.fp + r.fn == 82
+
+
+def test_statistics_from_raw_lines(spark, conn_path):
+    counts = {r.label: r.n for r in jobs.statistics_from_lines(spark, conn_path).collect()}
+    # raw-line statistics count every line, malformed ones included
+    assert counts["normal."] == 41 and counts["neptune."] == 40
+    assert sum(counts.values()) == 84

@@ -1,7 +1,5 @@
-import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import LINE_A, LINE_B, LINE_C, numbers
 from connscore.operators.features import numeric_projection

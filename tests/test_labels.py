@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from conftest import LINE_A, LINE_B, LINE_C
 from connscore.functions.labels import binary_label, clean_label, vocabulary_index
 from connscore.operators.labels import index_categories

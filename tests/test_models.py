@@ -3,7 +3,6 @@ import math
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from connscore.operators import metrics as M
 from connscore.operators import models as MD
 from connscore.operators.features import fit_scaler, scaler_moments, vector_columns
 from connscore.plans import jobs

@@ -1,8 +1,6 @@
 import os
 
-from pyspark.sql import functions as F
 
-from connscore.operators import metrics as M
 from connscore.plans import jobs
 from connscore.plans.roles import L_ROLES, lineitem
 from connscore.schema import CATEGORY, LABEL, NUMERIC, layout
