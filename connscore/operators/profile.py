@@ -79,6 +79,28 @@ def category_cardinality(df: DataFrame, cols: Sequence[str],
     )
 
 
+def learned_vocabularies(df: DataFrame, cols: Sequence[str],
+                         max_values: int = 100_000) -> dict[str, list[str]]:
+    """Sorted vocabulary of each category column, learned from the data.
+
+    One scan (``category_vocabulary``); only the distinct values reach the
+    driver, and a column with more than ``max_values`` of them is refused
+    (it is not a category: index coding would not fit a broadcast-sized
+    dictionary) instead of being truncated.
+    """
+    vocab = category_vocabulary(df, cols)
+    sizes = {r["column_name"]: r["n"] for r in
+             vocab.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    too_big = {c: n for c, n in sizes.items() if n > max_values}
+    if too_big:
+        raise ValueError(f"not category columns (over {max_values} values): {too_big}")
+    out: dict[str, list[str]] = {c: [] for c in cols}
+    for r in vocab.orderBy("column_name", "value_idx").collect():
+        if r["value"] is not None:
+            out[r["column_name"]].append(r["value"])
+    return out
+
+
 def label_index_by_frequency(df: DataFrame, label_col: str,
                              out_col: str = "label_idx") -> DataFrame:
     """StringIndexer by descending frequency (ties alphabetical)."""

@@ -14,7 +14,7 @@ role sets map the same operators onto the driver's parquet tables:
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,10 @@ class Roles:
     classes: tuple[str, ...] = ()
     strip_chars: str = "."
 
+    def with_vocabularies(self, vocabularies: dict) -> "Roles":
+        """The same roles with other category vocabularies (e.g. learned ones)."""
+        return replace(self, vocabularies={k: list(v) for k, v in vocabularies.items()})
+
 
 CONNECTION_ROLES = Roles(
     feature_order=tuple(n for n in CONNECTION_LAYOUT.names if n != "label"),

@@ -55,3 +55,18 @@ def test_label_counts_from_raw_lines(spark):
     assert got == {"normal.": 2, "neptune.": 1, "3": 1, " normal.": 1}
     plan = PR.label_counts_from_lines(df)._jdf.queryExecution().executedPlan().toString()
     assert "split(" not in plan
+
+
+def test_learned_vocabularies_drive_tree_indexing(spark):
+    import pytest
+    from connscore.plans import jobs
+    from connscore.plans.roles import L_ROLES, lineitem
+    from connscore.session import scratch_path
+    li = lineitem(spark, "/root/testdata/sf0.001")
+    vocab = PR.learned_vocabularies(li, ["l_linestatus", "l_returnflag"])
+    assert vocab == {"l_linestatus": ["F", "O"], "l_returnflag": ["A", "N", "R"]}
+    roles = L_ROLES.with_vocabularies({"l_linestatus": vocab["l_linestatus"]})
+    model = jobs.tree_train(li, roles, scratch_path(spark, "learned-tree"), "binary", 3)
+    assert model.stages[0].labels == ["F", "O"]
+    with pytest.raises(ValueError):
+        PR.learned_vocabularies(li, ["l_orderkey"], max_values=10)
