@@ -3,6 +3,7 @@ import math
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from connscore.operators import metrics as M
 from connscore.operators import models as MD
 from connscore.operators.features import fit_scaler, scaler_moments, vector_columns
 from connscore.plans import jobs
@@ -127,3 +128,22 @@ def test_linear_score_equals_transform(spark):
     plan = MD.linear_score(model, li)._jdf.queryExecution().executedPlan().toString()
     assert "UDF" not in plan
     assert MD.linear_score(MD.kmeans_pipeline(3, L_NUMERIC).fit(li), li) is None
+
+
+def test_accuracy_equals_multiclass_evaluator(spark):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    li = jobs.with_class_target(lineitem(spark, SF0001), L_ROLES)
+    model = MD.one_vs_rest_pipeline(L_NUMERIC, max_iter=3).fit(li)
+    scored = model.transform(li)
+    ours = M.error_rate(scored).first().accuracy
+    ref = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(scored)
+    assert abs(ours - ref) < 1e-12
+
+
+def test_cluster_sizes_equal_training_summary(spark):
+    from connscore.operators import clusters as C
+    li = lineitem(spark, SF0001)
+    model = MD.kmeans_pipeline(5, L_NUMERIC).fit(li)
+    ours = {r.prediction: r.size for r in C.cluster_sizes(model.transform(li)).collect()}
+    summary = model.stages[-1].summary.clusterSizes
+    assert [ours.get(i, 0) for i in range(len(summary))] == list(summary)
