@@ -69,6 +69,9 @@ _CONV = """(SELECT line, string_split(line, ',') AS parts FROM (
 _CONV_BAD = ("(len(parts) <> 4 OR TRY_CAST(trim(parts[1]) AS DOUBLE) IS NULL "
              "OR TRY_CAST(trim(parts[3]) AS DOUBLE) IS NULL)")
 
+# Brute-force twin of the nearest-centre operator: every row against every
+# centre (one centre per label, so rows x labels pairs).  The Spark side
+# scores each row against the centres carried in the plan, with no join.
 _ASSIGNED = """WITH c AS (
   SELECT label AS cid, arg_min(embedding, vec_id) AS center FROM embeddings GROUP BY label),
 d AS (
