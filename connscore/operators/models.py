@@ -51,7 +51,14 @@ def logistic_pipeline(feature_cols: Sequence[str], label_col: str = "label",
 
 def one_vs_rest_pipeline(feature_cols: Sequence[str], label_col: str = "label",
                          reg_param: float = 0.01, max_iter: int = 10,
-                         elastic_net: float = 0.2, parallelism: int = 4) -> Pipeline:
+                         elastic_net: float = 0.2, parallelism: int = 1) -> Pipeline:
+    """Scaler + one-vs-rest of binary logistic regressions.
+
+    Each binary fit caches its own copy of the features (MLlib derives a
+    per-class frame), so ``parallelism`` is also the number of extra copies
+    held at once.  One class at a time is the default: every binary fit is
+    already distributed over the whole cluster.
+    """
     lr = LogisticRegression(maxIter=max_iter, regParam=reg_param, elasticNetParam=elastic_net)
     ovr = OneVsRest(classifier=lr, featuresCol="features", labelCol=label_col,
                     parallelism=parallelism)

@@ -88,7 +88,7 @@ def training_summary(model: PipelineModel, records: DataFrame, roles: Roles) ->
 
 def logreg_multiclass_train(records: DataFrame, roles: Roles, path: str,
                             reg_param: float = 0.01, max_iter: int = 10,
-                            parallelism: int = 4) -> PipelineModel:
+                            parallelism: int = 1) -> PipelineModel:
     train = with_class_target(records, roles)
     model = MD.fit_pipeline(MD.one_vs_rest_pipeline(list(roles.numeric), reg_param=reg_param,
                                                     max_iter=max_iter, parallelism=parallelism),
