@@ -24,8 +24,17 @@ from connscore.session import checkpoint_root
 
 
 def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < n:
+    """``df`` repartitioned to the default parallelism when it is narrower.
+
+    When the partition count cannot be read (no RDD view, e.g. a remote
+    session), the input is treated as wide and left as it is.
+    """
+    try:
+        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view of this DataFrame
+        return df
+    if current < n:
         return df.repartition(n)
     return df
 
