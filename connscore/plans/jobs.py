@@ -103,6 +103,14 @@ def logreg_multiclass_test(spark: SparkSession, records: DataFrame, roles: Roles
     return M.collapsed_metrics(scored)
 
 
+def multiclass_per_class_test(spark: SparkSession, records: DataFrame, roles: Roles,
+                              path: str) -> DataFrame:
+    """Per-class precision / recall / F1 of a saved multi-class model
+    (one-vs-rest or multiClass tree) on class-index labels."""
+    scored = load_pipeline(path).transform(with_class_target(records, roles))
+    return M.per_class_metrics(scored)
+
+
 # ---- decision tree ------------------------------------------------------------------
 
 def tree_train(records: DataFrame, roles: Roles, path: str, mode: str = "binary",

@@ -86,3 +86,15 @@ def test_statistics_from_raw_lines(spark, conn_path):
     # raw-line statistics count every line, malformed ones included
     assert counts["normal."] == 41 and counts["neptune."] == 40
     assert sum(counts.values()) == 84
+
+
+def test_multiclass_per_class_metrics(spark, conn_path):
+    good = well_formed(read_records(spark, conn_path))
+    path = scratch_path(spark, "conn-mc-per-class")
+    jobs.tree_train(good, CONNECTION_ROLES, path, "multiClass", 4)
+    per = {r.cls: r for r in jobs.multiclass_per_class_test(spark, good, CONNECTION_ROLES,
+                                                            path).collect()}
+    # classes: normal 0, neptune 10, smurf 18, unknown 23
+    assert per[0.0].n_actual == 40 and per[10.0].n_actual == 40
+    assert per[18.0].n_actual == 1 and per[23.0].n_actual == 1
+    assert sum(r.n_predicted for r in per.values()) == 82

@@ -1,6 +1,5 @@
 import os
 
-
 from connscore.plans import jobs
 from connscore.plans.roles import L_ROLES, lineitem
 from connscore.schema import CATEGORY, LABEL, NUMERIC, layout
