@@ -2,7 +2,8 @@
 
 from connscore.streaming.scoring import (
     record_stream, running_metrics, scored_stream, start_metrics, start_quarantine,
+    start_scored_sink,
 )
 
 __all__ = ["record_stream", "running_metrics", "scored_stream", "start_metrics",
-           "start_quarantine"]
+           "start_quarantine", "start_scored_sink"]

@@ -10,7 +10,8 @@ This is the test phase of the batch jobs run continuously:
 * ``running_metrics``  -- confusion counts, precision, recall, F1 and
   error over everything seen so far: one global streaming aggregate whose
   state is a single row of counters;
-* ``start_quarantine`` / ``start_metrics`` -- sinks with checkpoints under
+* ``start_scored_sink`` / ``start_quarantine`` / ``start_metrics`` -- sinks
+  (scored rows, rejected lines, running metrics) with checkpoints under
   the shared checkpoint folder, so a restarted query resumes exactly where
   it stopped (file source offsets and aggregate state are recovered).
 """
@@ -62,6 +63,18 @@ def start_quarantine(records: DataFrame, out_path: str,
     return w.start(out_path)
 
 
+def start_scored_sink(scored: DataFrame, out_path: str, columns: list[str],
+                      checkpoint: str | None = None,
+                      trigger_once: bool = False) -> StreamingQuery:
+    """Append the scored rows (chosen columns) to parquet, exactly once."""
+    spark = scored.sparkSession
+    w = (scored.select(*columns).writeStream.format("parquet").outputMode("append")
+         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-scored")))
+    if trigger_once:
+        w = w.trigger(availableNow=True)
+    return w.start(out_path)
+
+
 def start_metrics(metrics: DataFrame, query_name: str, checkpoint: str | None = None,
                   sink: str = "memory", trigger_once: bool = False) -> StreamingQuery:
     """Running metrics to a sink in complete mode (the state is one row)."""

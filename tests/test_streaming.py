@@ -4,6 +4,7 @@ from connscore.plans import jobs
 from connscore.plans.roles import L_ROLES, lineitem
 from connscore.schema import CATEGORY, LABEL, NUMERIC, layout
 from connscore.session import scratch_path
+from connscore.sources.model_store import load_pipeline
 from connscore.sources.records import parse_lines, to_lines, well_formed
 from connscore.streaming import (
     record_stream, running_metrics, scored_stream, start_metrics, start_quarantine,
@@ -69,3 +70,25 @@ def test_stream_restarts_from_checkpoint(spark, tmp_path):
     assert run() == 2000
     lines.coalesce(1).write.text(src + "/batch2")
     assert run() == 2000 + li.count()
+
+
+def test_scored_rows_sink_matches_batch(spark, tmp_path):
+    from connscore.streaming import start_scored_sink
+    li = lineitem(spark, SF0001)
+    model_path = scratch_path(spark, "stream-lr-sink")
+    jobs.logreg_binary_train(li, L_ROLES, model_path, max_iter=3)
+    src = str(tmp_path / "landing")
+    to_lines(li, L_LINE.names).repartition(2).write.text(src)
+    recs = record_stream(spark, src, L_LINE)
+    scored = scored_stream(recs, model_path,
+                           prepare=lambda d: jobs.with_binary_target(d, L_ROLES))
+    out = str(tmp_path / "scored")
+    q = start_scored_sink(scored, out, ["l_orderkey", "l_linenumber", "label", "prediction"],
+                          trigger_once=True)
+    q.awaitTermination(300)
+    got = spark.read.parquet(out)
+    assert got.count() == li.count()
+    batch = load_pipeline(model_path).transform(
+        jobs.with_binary_target(well_formed(parse_lines(spark.read.text(src), L_LINE)), L_ROLES)
+    ).select("l_orderkey", "l_linenumber", "label", "prediction")
+    assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
