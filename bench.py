@@ -142,9 +142,13 @@ def main() -> None:
     timed("category_index", lambda: _run(Q.category_index(spark, sf_dir)))
 
     total = round(sum(times.values()), 3)
-    sf = os.path.basename(sf_dir).replace("sf", "")
+    name = os.path.basename(sf_dir)
+    try:
+        sf: float | str = float(name[2:] if name.startswith("sf") else name)
+    except ValueError:
+        sf = sf_dir
     print(json.dumps({"metric": "total_sec", "value": total, "unit": "sec",
-                      "queries": times, "sf": float(sf) if sf else sf_dir}))
+                      "queries": times, "sf": sf}))
     spark.stop()
 
 
