@@ -98,7 +98,7 @@ def main() -> None:
     timed("tree_train", lambda: jobs.tree_train(li, L_ROLES, tree_path, "binary", 10))
     tree_model = timed("tree_load", lambda: load_pipeline(tree_path))
     timed("tree_test", lambda: M.binary_metrics(
-        tree_model.transform(jobs.with_binary_target(li, L_ROLES))).collect())
+        MD.score(tree_model, jobs.with_binary_target(li, L_ROLES))).collect())
 
     # k-means k=24 on scaled numerics: fit the scaler, cache the scaled
     # vectors once, fit k-means on them, save; then label clusters.

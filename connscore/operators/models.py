@@ -231,10 +231,26 @@ def linear_score(model: PipelineModel, df: DataFrame,
                            .otherwise(F.lit(0.0))))
 
 
+def prediction_only(model: PipelineModel) -> PipelineModel:
+    """The same pipeline, with a probabilistic classifier told to compute
+    only ``prediction`` (no raw-prediction or probability vectors per row)."""
+    last = model.stages[-1]
+    if hasattr(last, "setProbabilityCol") and hasattr(last, "setRawPredictionCol"):
+        last = last.copy()
+        last.setRawPredictionCol("")
+        last.setProbabilityCol("")
+        return PipelineModel(stages=[*model.stages[:-1], last])
+    return model
+
+
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """``prediction`` (and ``score`` for linear models) for every row."""
+    """``prediction`` (and ``score`` for linear models) for every row.
+
+    Linear pipelines are evaluated as codegen expressions; other classifiers
+    compute only the prediction column.
+    """
     fast = linear_score(model, df)
-    return fast if fast is not None else model.transform(df)
+    return fast if fast is not None else prediction_only(model).transform(df)
 
 
 # ---- fitting with one cached copy of the estimator's input -------------------------

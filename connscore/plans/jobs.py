@@ -133,7 +133,7 @@ def tree_train(records: DataFrame, roles: Roles, path: str, mode: str = "binary"
 def tree_test(spark: SparkSession, records: DataFrame, roles: Roles, path: str,
               mode: str = "binary") -> DataFrame:
     target = with_binary_target if mode == "binary" else with_class_target
-    scored = load_pipeline(path).transform(target(records, roles))
+    scored = MD.score(load_pipeline(path), target(records, roles))
     return M.binary_metrics(scored) if mode == "binary" else M.collapsed_metrics(scored)
 
 

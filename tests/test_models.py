@@ -147,3 +147,14 @@ def test_cluster_sizes_equal_training_summary(spark):
     ours = {r.prediction: r.size for r in C.cluster_sizes(model.transform(li)).collect()}
     summary = model.stages[-1].summary.clusterSizes
     assert [ours.get(i, 0) for i in range(len(summary))] == list(summary)
+
+
+def test_prediction_only_scoring_equals_transform(spark):
+    li = lineitem(spark, SF0001)
+    model = jobs.tree_train(li, L_ROLES, scratch_path(spark, "tree-pred-only"), "binary", 4)
+    target = jobs.with_binary_target(li, L_ROLES)
+    first = model.transform(target).select(*target.columns, F.col("prediction").alias("a"))
+    fast = MD.score(model, first)
+    assert "probability" not in fast.columns
+    assert fast.filter(F.col("a") != F.col("prediction")).count() == 0
+    assert fast.count() == li.count()
