@@ -6,11 +6,16 @@ one minimiser travel as one packed string (their words, once) to the bucket of
 that minimiser, so equal windows always meet, and there a sort by window hash
 with a comparison of the whole words counts them exactly.
 
-Before the shuffle each block of documents sends a packed string once: if it
-occurs more than once in the block all its windows are known to be repeated,
-so the spans are given at once and the string travels alone, marked as held
-twice.  A passage that a third of the documents share so reaches its bucket
-once per block.  The number of buckets follows the bytes of the table.
+Two shuffles keep what travels small.  First only the minimisers go to their
+buckets and are counted: a window whose minimiser occurs once in the table
+cannot start elsewhere, and its words never travel.  Then the packed strings
+of the other super-k-mers are cut from the texts and sent.
+
+In both shuffles each block of documents sends an item once: what occurs more
+than once in the block is known to be repeated there, is reported at once, and
+travels alone, marked as held twice.  A passage that a third of the documents
+share so reaches its bucket once per block.  The number of buckets follows the
+bytes of the table.
 """
 
 from __future__ import annotations
@@ -30,17 +35,21 @@ from connscore.llm import common as C
 from connscore.llm import words as W
 
 #: Words of a window, and of the runs whose smallest hash is its minimiser.
-WINDOW, MINIMISER = 35, 12
+WINDOW, MINIMISER = 35, 10
 
 #: Windows of the longest packed string; longer runs are cut (same bucket).
 LONGEST_RUN = 64
 
 #: Text bytes whose windows share a bucket, and packed bytes a task holds before it sends them.
-BUCKET_BYTES, HELD_BYTES = 4 << 20, 48 << 20
+BUCKET_BYTES, HELD_BYTES = 8 << 20, 16 << 20
+
+#: Minimisers a task holds before it sends them.
+HELD_RUNS = 1 << 20
 
 _PLACE = [C.FILE, C.ROW]
 _SENT = "bucket long, n int, payload binary"
 _SPANS = f"{C.FILE} long, {C.ROW} long, first int, last int"
+_RUNS = f"{C.FILE} long, {C.ROW} long, first int, windows int, minimiser long"
 
 
 def _sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
@@ -53,13 +62,15 @@ def _sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-rest], values[rest:]) if rest else values
 
 
-def _super_runs(w: W.Words, window: int, minimiser: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and minimiser of each super-k-mer."""
+def _super_runs(w: W.Words, window: int, minimiser: int) -> tuple[np.ndarray, ...]:
+    """First window, number of windows, minimiser of each super-k-mer; whether it holds the minimiser twice."""
     none = np.empty(0, np.int64)
     lengths = np.diff(w.offsets)
     if not len(lengths) or lengths.max() < window:
-        return none, none, none
-    least = _sliding_minimum(W.grams(w.hash, minimiser), window - minimiser + 1)
+        return none, none, none, none
+    reach = window - minimiser + 1
+    grams = W.grams(w.hash, minimiser)
+    least = _sliding_minimum(grams, reach)
     counts = np.maximum(lengths - window + 1, 0)
     total = int(counts.sum())
     at = np.arange(total) + np.repeat(w.offsets[:-1] - (np.cumsum(counts) - counts), counts)
@@ -70,7 +81,12 @@ def _super_runs(w: W.Words, window: int, minimiser: int) -> tuple[np.ndarray, np
     starts = np.flatnonzero(new)
     run = np.arange(total) - np.repeat(starts, np.diff(np.append(starts, total)))
     starts = np.flatnonzero(run % LONGEST_RUN == 0)
-    return at[starts], np.diff(np.append(starts, total)), value[starts]
+    first, n, value = at[starts], np.diff(np.append(starts, total)), value[starts]
+    spans = n + reach - 1
+    before = np.cumsum(spans) - spans
+    inside = np.arange(int(spans.sum())) + np.repeat(first - before, spans)
+    times = np.add.reduceat((grams[inside] == np.repeat(value, spans)).astype(np.int32), before)
+    return first, n, value, times > 1
 
 
 def _pack(strings: list[bytes], numbers: list[np.ndarray]) -> bytes:
@@ -135,23 +151,108 @@ class _Sender:
                                    "payload": pa.array(payloads, pa.binary())})
 
 
-def _send(n_buckets: int, window: int, minimiser: int):
-    """Map side: (file, row, text) rows to (bucket, n, payload) rows."""
+def _compressed(*arrays: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(x.tobytes() for x in arrays))
+
+
+def _minimisers(n_buckets: int, window: int, minimiser: int):
+    """Map side of the first shuffle: texts to (bucket, n, payload of runs)."""
+    def send(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        if not parts:
+            return
+        least, file, row, first, n, self_ = (np.concatenate(x) for x in zip(*parts, strict=True))
+        parts.clear()
+        order = np.argsort(least, kind="stable")
+        ordered = least[order]
+        starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        sizes = np.diff(np.append(starts, len(order)))
+        many = (sizes > 1) | np.logical_or.reduceat(self_[order], starts)
+        once, more = order[starts[~many]], order[starts[many]]
+        sent = np.concatenate((once, more))
+        twice = np.concatenate((np.zeros(len(once), np.int8), np.ones(len(more), np.int8)))
+        bucket = (W.mix(least[sent]) % np.uint64(n_buckets)).astype(np.int64)
+        deal = np.argsort(bucket, kind="stable")
+        sent, twice, bucket = sent[deal], twice[deal], bucket[deal]
+        cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        buckets, ns, payloads = [], [], []
+        for low, high in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)], strict=True):
+            at = sent[low:high]
+            buckets.append(int(bucket[low]))
+            ns.append(high - low)
+            payloads.append(_compressed(least[at], file[at], row[at], first[at], n[at], twice[low:high]))
+        known = order[np.repeat(many, sizes)]
+        for low in range(0, len(known), 8192):   # already known to be repeated: any bucket will do
+            at = known[low:low + 8192]
+            buckets.append(int(row[at[0]] % n_buckets))
+            ns.append(-len(at))
+            payloads.append(_compressed(least[at], file[at], row[at], first[at], n[at]))
+        yield pa.record_batch({"bucket": pa.array(buckets, pa.int64()), "n": pa.array(ns, pa.int32()),
+                               "payload": pa.array(payloads, pa.binary())})
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = _Sender(n_buckets, window)
+        parts: list[tuple[np.ndarray, ...]] = []
+        held = 0
         for batch in batches:
-            file, row = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for w in W.chunks(batch.column(2)):
-                at, n, least = _super_runs(w, window, minimiser)
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            file, row = (columns[c].to_numpy(zero_copy_only=False) for c in _PLACE)
+            for w in W.chunks(columns["text"]):
+                at, n, least, self_ = _super_runs(w, window, minimiser)
                 if not len(at):
                     continue
                 doc = np.searchsorted(w.offsets, at, side="right") - 1
+                parts.append((least, file[doc + w.first], row[doc + w.first],
+                              (at - w.offsets[doc]).astype(np.int32), n.astype(np.int32), self_))
+                held += len(at)
+                if held > HELD_RUNS:
+                    yield from send(parts)
+                    held = 0
+        yield from send(parts)
+    return run
+
+
+def _repeated_minimisers(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Bucket side of the first shuffle: the runs whose minimiser occurs elsewhere too."""
+    known, open_ = [], []
+    for n, payload in zip(rows["n"], rows["payload"], strict=True):
+        raw, m = zstandard.ZstdDecompressor().decompress(payload), abs(n)
+        columns = [np.frombuffer(raw, np.int64, m, 8 * m * i) for i in range(3)]
+        columns += [np.frombuffer(raw, np.int32, m, 24 * m + 4 * m * i) for i in range(2)]
+        if n < 0:
+            known.append(columns)
+        else:
+            open_.append([*columns, np.frombuffer(raw, np.int8, m, 32 * m)])
+    out = [np.concatenate([k[i] for k in known]) if known else np.empty(0, np.int64) for i in range(5)]
+    if open_:
+        least, file, row, first, windows, twice = (np.concatenate(x) for x in zip(*open_, strict=True))
+        _, which, times = np.unique(least, return_inverse=True, return_counts=True)
+        at = np.flatnonzero((times[which] > 1) & (twice == 0))
+        out = [np.concatenate((a, b[at])) for a, b in zip(out, (least, file, row, first, windows), strict=True)]
+    return pd.DataFrame({C.FILE: out[1], C.ROW: out[2], "first": out[3].astype(np.int32),
+                         "windows": out[4].astype(np.int32), "minimiser": out[0]})
+
+
+def _strings(n_buckets: int, window: int):
+    """Map side of the second shuffle: texts with their runs to packed strings for their buckets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = _Sender(n_buckets, window)
+        for batch in batches:
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            file, row = (columns[c].to_numpy(zero_copy_only=False) for c in _PLACE)
+            runs = columns["__runs"]
+            offsets = runs.offsets.to_numpy()
+            fields = [runs.values.field(i).to_numpy() for i in range(3)]
+            for w in W.chunks(columns["text"]):
+                low, high = offsets[w.first], offsets[w.first + len(w.offsets) - 1]
+                doc = np.repeat(np.arange(len(w.offsets) - 1),
+                                np.diff(offsets[w.first:w.first + len(w.offsets)]))
+                first, n, least = (f[low:high] for f in fields)
+                at = first + w.offsets[doc]
                 begin, end = w.start[at].tolist(), w.end[at + n + window - 2].tolist()
-                bucket = (W.mix(least) % np.uint64(n_buckets)).tolist()
-                first, doc, n = (at - w.offsets[doc]).tolist(), (doc + w.first).tolist(), n.tolist()
-                data, files, rows = w.data, file, row
+                bucket = (W.mix(least.view(np.uint64)) % np.uint64(n_buckets)).tolist()
+                files, rows = file[doc + w.first].tolist(), row[doc + w.first].tolist()
+                firsts, ns, data = first.tolist(), n.tolist(), w.data
                 for i, b in enumerate(begin):
-                    out.add(data[b:end[i]], bucket[i], int(files[doc[i]]), int(rows[doc[i]]), first[i], n[i])
+                    out.add(data[b:end[i]], bucket[i], files[i], rows[i], firsts[i], ns[i])
                     if out.bytes > HELD_BYTES:
                         yield from out.rows()
         yield from out.rows()
@@ -231,7 +332,11 @@ def repeated_spans(rows: DataFrame, window: int = WINDOW, minimiser: int = MINIM
     """
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(1, math.ceil(size / bucket_bytes))
-    sent = rows.select(*_PLACE, "text").mapInArrow(_send(n_buckets, window, minimiser), _SENT)
+    runs = (rows.select(*_PLACE, "text").mapInArrow(_minimisers(n_buckets, window, minimiser), _SENT)
+            .groupBy("bucket").applyInPandas(_repeated_minimisers, _RUNS)
+            .groupBy(*_PLACE).agg(F.collect_list(F.struct("first", "windows", "minimiser")).alias("__runs")))
+    # all columns of rows go along, so this join and the caller's share one exchange of the texts
+    sent = rows.join(runs, _PLACE).mapInArrow(_strings(n_buckets, window), _SENT)
     return sent.groupBy("bucket").applyInPandas(_count(window), _SPANS)
 
 
