@@ -4,18 +4,25 @@ A document is the sequence of its runs of ``SHINGLE`` words, each labelled with
 its occurrence number.  A sketch entry takes the ``ELL`` smallest of them under
 one hash order and keeps them in text order, so entries agree for texts with
 the same shingles in the same order, which is what edit similarity asks for.
-``ROWS`` entries make the key of a band; texts that share a key are candidates.
-
-Equal texts are one node from the start.  In a bucket every member is held
-against the smallest member by a banded alignment of the whole shingle
-sequences; those that are not linked to it go on among themselves, so a bucket
-costs its size per round and never its square.  Links make components.
+``ROWS`` entries and the length class make the key of a band; texts that share
+a key are candidates.  Equal texts are one node from the start.
+
+A bucket never lists its pairs.  Every member is held against the shortest
+member L by a banded alignment of the whole shingle sequences.  Members linked
+to L are one component, so pairs among them need no look.  A member x that is
+not linked to L (as sets: |x ^ L| > c(|x| + |L|), c = (1-s)/(1+s)) can be linked
+to a member y only if both hold a shingle outside L: without one,
+|x ^ y| >= |x ^ L| + |y| - |L| > c(|x| + |y|), as |y| >= |L|.  At least
+(|x ^ L| - c(|x| + |L|)) / 2 such shingles must be shared, so the smallest ones
+of x outside L (prefix filter) are the keys of its next, smaller buckets, which
+never hold L again.  Rounds go on until no bucket is left; links make components.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -95,24 +102,31 @@ def band_keys(w: W.Words) -> np.ndarray:
     return out
 
 
+def _length_class(n: np.ndarray) -> np.ndarray:
+    """Similar texts are at most one class apart."""
+    return np.floor(np.log(np.maximum(n, 1)) / -math.log(SIMILARITY)).astype(np.uint64)
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, file, row, text) to (doc_id, file, row, digest of the words, keys)."""
+    """(doc_id, file, row, text) to (doc_id, file, row, digest of the words, shingles, keys)."""
     for batch in batches:
         for w in W.chunks(batch.column(3)):
-            n = len(w.offsets) - 1
-            part = batch.slice(w.first, n)
-            keys = band_keys(w).view(np.int64)
+            part = batch.slice(w.first, len(w.offsets) - 1)
+            lengths = np.diff(w.offsets)
+            shingles = np.where(lengths >= SHINGLE, lengths - SHINGLE + 1, np.minimum(lengths, 1))
+            bands, size = band_keys(w), _length_class(shingles)[:, None]
+            keys = np.concatenate([W.mix(bands ^ W.mix(size + np.uint64(k + 1))) for k in (0, 1)], axis=1)
             digests = []
             for a, b in zip(w.offsets[:-1].tolist(), w.offsets[1:].tolist(), strict=True):
                 body = w.data[w.start[a]:w.end[b - 1]] if b > a else b""
                 digests.append(hashlib.blake2b(body, digest_size=16).digest())
-            used = np.diff(w.offsets) > 0
-            offsets = np.concatenate(([0], np.cumsum(used * BANDS)))
+            used = lengths > 0
+            offsets = np.concatenate(([0], np.cumsum(used * keys.shape[1])))
             yield pa.record_batch({
                 "doc_id": part.column(0), C.FILE: part.column(1), C.ROW: part.column(2),
-                "digest": pa.array(digests, pa.binary()),
+                "digest": pa.array(digests, pa.binary()), "shingles": pa.array(shingles, pa.int64()),
                 "keys": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                                 pa.array(keys[used].ravel(), pa.int64()))})
+                                                 pa.array(keys[used].view(np.int64).ravel(), pa.int64()))})
 
 
 def aligned(a: list[int], b: list[int], least: float = SIMILARITY) -> float:
@@ -153,63 +167,93 @@ def aligned(a: list[int], b: list[int], least: float = SIMILARITY) -> float:
     return score if score >= least - 1e-12 else 0.0
 
 
-def _sequence(text: pa.Scalar) -> list[int]:
+def _sequence(text: pa.Scalar) -> tuple[list[int], np.ndarray]:
+    """Shingles of a text in order, and the sorted labelled ones."""
     for w in W.chunks(pa.array([text.as_py()], pa.string())):
-        return _shingles(w)[0].tolist()
-    return []
+        shingles = _shingles(w)[0]
+        if len(shingles):
+            return shingles.tolist(), np.sort(_labelled(shingles, np.zeros(len(shingles), np.int64)))
+    return [], np.empty(0, np.uint64)
+
+
+def _next_keys(lead: np.ndarray, node: np.ndarray, linked: bool) -> tuple[bool, np.ndarray]:
+    """Whether the member stays in its bucket, and its shingles outside the leader that are next keys."""
+    outside = np.setdiff1d(node, lead, assume_unique=True)
+    shared = len(node) - len(outside)
+    if linked:
+        return False, outside
+    if shared >= SIMILARITY * (len(lead) + len(outside)):   # the same shingles in another order
+        return True, outside[:0]
+    apart = len(outside) + len(lead) - shared
+    slack = (1 - SIMILARITY) / (1 + SIMILARITY)
+    needed = max(1, math.ceil((apart - slack * (len(lead) + len(node))) / 2 - 1e-9))
+    return False, outside[:max(0, len(outside) - needed + 1)]
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, text of a, text of b) to (a, b, similarity)."""
-    last, left = None, []
+    """(a, b, text of a, text of b) to (a, b, similarity, stays, keys); a is the leader."""
+    last, left, left_set = None, [], np.empty(0, np.uint64)
     for batch in batches:
-        scores = []
+        scores, stays, keys = [], [], []
         for a, text_a, text_b in zip(batch.column(0), batch.column(2), batch.column(3), strict=True):
             if a.as_py() != last:
-                last, left = a.as_py(), _sequence(text_a)
-            scores.append(aligned(left, _sequence(text_b)))
+                last = a.as_py()
+                left, left_set = _sequence(text_a)
+            right, right_set = _sequence(text_b)
+            scores.append(aligned(left, right))
+            stay, key = _next_keys(left_set, right_set, scores[-1] > 0)
+            stays.append(stay)
+            keys.append(key.view(np.int64))
         yield pa.record_batch({"a": batch.column(0), "b": batch.column(1),
-                               "similarity": pa.array(scores, pa.float64())})
+                               "similarity": pa.array(scores, pa.float64()),
+                               "stays": pa.array(stays, pa.bool_()),
+                               "next": pa.array(keys, pa.list_(pa.int64()))})
 
 
 def _star(buckets: DataFrame) -> DataFrame:
-    """Each member of a bucket beside the smallest one."""
-    lead = (buckets.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n"))
-            .filter("n > 1").drop("n"))
-    return buckets.join(lead, "key").filter("node <> lead")
+    """(key, lead, node): each member of a bucket beside the shortest one.
+
+    Members need no look where all of them are linked to an earlier leader.
+    """
+    head = F.struct("shingles", "node")
+    lead = (buckets.groupBy("key").agg(F.min(head).alias("head"), F.count("*").alias("n"),
+                                       F.max("open").alias("any_open"))
+            .filter("n > 1 and any_open").select("key", F.col("head.node").alias("lead")))
+    return buckets.join(lead, "key").filter("node <> lead").select("key", "lead", "node", "shingles")
 
 
-def verified_links(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+def verified_links(nodes: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links (a, b, similarity) between candidate nodes.
 
-    ``nodes`` has node and keys, ``texts`` gives node and text for a table of
-    wanted nodes.  Rounds go on until every bucket is used up.
+    ``nodes`` has node, shingles and keys, ``texts`` gives node and text for a
+    table of wanted nodes.  Rounds go on until every bucket is used up.
     """
-    buckets = C.written(nodes.select("node", F.explode("keys").alias("key")), "buckets")
-    links, tried = None, None
+    spark = nodes.sparkSession
+    links = spark.createDataFrame([], "a binary, b binary, similarity double")
+    seen = spark.createDataFrame([], "a binary, b binary, similarity double, stays boolean, next array<long>")
+    buckets = nodes.select(F.explode("keys").alias("key"), "node", "shingles", F.lit(True).alias("open"))
     while True:
         star = C.written(_star(buckets), "star")
-        pairs = star.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = C.written(pairs, "pairs")
         if star.isEmpty():
-            return links if links is not None else pairs.withColumn("similarity", F.lit(1.0))
+            return links
+        wanted_pairs = star.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
+        pairs = C.written(wanted_pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         text = C.written(texts(wanted), "texts")
         checked = C.written(
             pairs.join(text.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
             .join(text.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .select("a", "b", "text_a", "text_b")
-            .mapInArrow(_verify, "a binary, b binary, similarity double"), "checked")
-        good = checked.filter("similarity > 0")
-        links = good if links is None else links.unionByName(good)
-        now = checked.select("a", "b")
-        tried = now if tried is None else tried.unionByName(now)
-        # a member linked to its leader is in that component; the others go on
-        linked = links.select(F.col("a").alias("lead"), F.col("b").alias("node"))
-        buckets = C.written(star.join(linked, ["lead", "node"], "left_anti").select("key", "node"),
-                            "buckets")
+            .mapInArrow(_verify, seen.schema), "checked")
+        links = links.unionByName(checked.filter("similarity > 0").select("a", "b", "similarity"))
+        seen = seen.unionByName(checked)
+        judged = star.join(seen.select(F.col("a").alias("lead"), F.col("b").alias("node"),
+                                       (F.col("similarity") == 0).alias("open"), "stays", "next"),
+                           ["lead", "node"])
+        narrower = (judged.select("lead", "node", "shingles", "open", F.explode("next").alias("s")).distinct()
+                    .select(F.xxhash64("lead", "s").alias("key"), "node", "shingles", "open"))
+        again = judged.filter("stays").select("key", "node", "shingles", F.lit(True).alias("open"))
+        buckets = C.written(narrower.unionByName(again), "buckets")
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
@@ -225,12 +269,14 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     rows = C.located(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "near-docs")
     sketches = C.written(
         rows.select("doc_id", *_PLACE, "text").mapInArrow(
-            _sketch, f"doc_id long, {C.FILE} long, {C.ROW} long, digest binary, keys array<long>"),
+            _sketch, f"doc_id long, {C.FILE} long, {C.ROW} long, digest binary, "
+                     "shingles long, keys array<long>"),
         "sketches")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *_PLACE)
     nodes = C.written(
         sketches.groupBy(F.col("digest").alias("node"))
-        .agg(F.min(first).alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys")),
+        .agg(F.min(first).alias("first"), F.count("*").alias("copies"),
+             F.first("shingles").alias("shingles"), F.first("keys").alias("keys")),
         "nodes")
 
     def texts(wanted: DataFrame) -> DataFrame:
@@ -249,7 +295,7 @@ def near_dedup(docs: DataFrame) -> DataFrame:
         F.col("node").alias("digest"), "head", "class_size",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     own = ((F.col(C.FILE) == F.col(f"head.{C.FILE}")) & (F.col(C.ROW) == F.col(f"head.{C.ROW}")))
-    return (sketches.drop("keys").join(of_node, "digest")
+    return (sketches.drop("keys", "shingles").join(of_node, "digest")
             .select("doc_id", F.col("head.doc_id").alias("class_id"), "class_size", "n_links",
                     own.alias("kept"), *_PLACE))
 
