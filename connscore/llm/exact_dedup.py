@@ -24,6 +24,8 @@ _STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false",
+    # a store is closed when its task is done: no open files of idle partitions
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
 }
