@@ -7,15 +7,13 @@ the same shingles in the same order, which is what edit similarity asks for.
 ``ROWS`` entries and the length class make the key of a band; texts that share
 a key are candidates.  Equal texts are one node from the start.
 
-A bucket never lists its pairs.  Every member is held against the shortest
-member L by a banded alignment of the whole shingle sequences.  Members linked
-to L are one component, so pairs among them need no look.  A member x that is
-not linked to L (as sets: |x ^ L| > c(|x| + |L|), c = (1-s)/(1+s)) can be linked
-to a member y only if both hold a shingle outside L: without one,
-|x ^ y| >= |x ^ L| + |y| - |L| > c(|x| + |y|), as |y| >= |L|.  At least
-(|x ^ L| - c(|x| + |L|)) / 2 such shingles must be shared, so the smallest ones
-of x outside L (prefix filter) are the keys of its next, smaller buckets, which
-never hold L again.  Rounds go on until no bucket is left; links make components.
+Buckets only say who might belong together: each member is tied to the
+smallest one of its bucket, and the components of these ties are groups, so a
+text travels once however many buckets hold it.  A group is compared whole, in
+blocks of ``BLOCK`` members: a task takes two blocks, gets the set similarity
+of all their pairs from one matrix product over shared shingles, and aligns
+the pairs that reach the threshold, unless links found before already join
+them.  A large group is so many tasks, and no pair is left out.
 """
 
 from __future__ import annotations
@@ -25,6 +23,7 @@ import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +39,9 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: entry agrees with probability 0.64, a band 0.41, one of 16 bands 0.9998.
 ELL, ROWS, BANDS = 2, 2, 16
 
+#: Members of a group that one task compares with each other or with as many others.
+BLOCK = 1000
+
 _PLACE = [C.FILE, C.ROW]
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
 _rng = np.random.default_rng(20240607)
@@ -108,7 +110,7 @@ def _length_class(n: np.ndarray) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, file, row, text) to (doc_id, file, row, digest of the words, shingles, keys)."""
+    """(doc_id, file, row, text) to (doc_id, file, row, digest of the words, keys)."""
     for batch in batches:
         for w in W.chunks(batch.column(3)):
             part = batch.slice(w.first, len(w.offsets) - 1)
@@ -124,7 +126,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             offsets = np.concatenate(([0], np.cumsum(used * keys.shape[1])))
             yield pa.record_batch({
                 "doc_id": part.column(0), C.FILE: part.column(1), C.ROW: part.column(2),
-                "digest": pa.array(digests, pa.binary()), "shingles": pa.array(shingles, pa.int64()),
+                "digest": pa.array(digests, pa.binary()),
                 "keys": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
                                                  pa.array(keys[used].view(np.int64).ravel(), pa.int64()))})
 
@@ -167,102 +169,95 @@ def aligned(a: list[int], b: list[int], least: float = SIMILARITY) -> float:
     return score if score >= least - 1e-12 else 0.0
 
 
-def _sequence(text: pa.Scalar) -> tuple[list[int], np.ndarray]:
+def _sequence(text: str | None) -> tuple[list[int], np.ndarray]:
     """Shingles of a text in order, and the sorted labelled ones."""
-    for w in W.chunks(pa.array([text.as_py()], pa.string())):
+    for w in W.chunks(pa.array([text], pa.string())):
         shingles = _shingles(w)[0]
         if len(shingles):
             return shingles.tolist(), np.sort(_labelled(shingles, np.zeros(len(shingles), np.int64)))
     return [], np.empty(0, np.uint64)
 
 
-def _next_keys(lead: np.ndarray, node: np.ndarray, linked: bool) -> tuple[bool, np.ndarray]:
-    """Whether the member stays in its bucket, and its shingles outside the leader that are next keys."""
-    outside = np.setdiff1d(node, lead, assume_unique=True)
-    shared = len(node) - len(outside)
-    if linked:
-        return False, outside
-    if shared >= SIMILARITY * (len(lead) + len(outside)):   # the same shingles in another order
-        return True, outside[:0]
-    apart = len(outside) + len(lead) - shared
-    slack = (1 - SIMILARITY) / (1 + SIMILARITY)
-    needed = max(1, math.ceil((apart - slack * (len(lead) + len(node))) / 2 - 1e-9))
-    return False, outside[:max(0, len(outside) - needed + 1)]
-
-
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, text of a, text of b) to (a, b, similarity, stays, keys); a is the leader."""
-    last, left, left_set = None, [], np.empty(0, np.uint64)
-    for batch in batches:
-        scores, stays, keys = [], [], []
-        for a, text_a, text_b in zip(batch.column(0), batch.column(2), batch.column(3), strict=True):
-            if a.as_py() != last:
-                last = a.as_py()
-                left, left_set = _sequence(text_a)
-            right, right_set = _sequence(text_b)
-            scores.append(aligned(left, right))
-            stay, key = _next_keys(left_set, right_set, scores[-1] > 0)
-            stays.append(stay)
-            keys.append(key.view(np.int64))
-        yield pa.record_batch({"a": batch.column(0), "b": batch.column(1),
-                               "similarity": pa.array(scores, pa.float64()),
-                               "stays": pa.array(stays, pa.bool_()),
-                               "next": pa.array(keys, pa.list_(pa.int64()))})
-
-
-def _star(buckets: DataFrame) -> DataFrame:
-    """(key, lead, node): each member of a bucket beside the shortest one.
-
-    Members need no look where all of them are linked to an earlier leader.
-    """
-    head = F.struct("shingles", "node")
-    lead = (buckets.groupBy("key").agg(F.min(head).alias("head"), F.count("*").alias("n"),
-                                       F.max("open").alias("any_open"))
-            .filter("n > 1 and any_open").select("key", F.col("head.node").alias("lead")))
-    return buckets.join(lead, "key").filter("node <> lead").select("key", "lead", "node", "shingles")
-
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """Number of labelled shingles that each two of the sets share."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, which, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    many = times > 1
+    column = (np.cumsum(many) - 1)[which]
+    held = many[which]
+    owner, column = owner[held], column[held]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(many.sum()), 4096):
+        at = slice(*np.searchsorted(column, [low, low + 4096]))
+        part = np.zeros((len(sets), 4096), np.float32)
+        part[owner[at], column[at] - low] = 1
+        out += part @ part.T
+    return out
 
-def verified_links(nodes: DataFrame, texts: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Links (a, b, similarity) between candidate nodes.
 
-    ``nodes`` has node, shingles and keys, ``texts`` gives node and text for a
-    table of wanted nodes.  Rounds go on until every bucket is used up.
+def _group_links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Links that join the members of two blocks of a group (or of one)."""
+    rows = rows.sort_values("node", ignore_index=True)
+    nodes, block = rows["node"].tolist(), rows["block"].to_numpy()
+    texts = [_sequence(t) for t in rows["text"]]
+    sizes = np.array([len(x[1]) for x in texts])
+    shared = _shared([x[1] for x in texts])
+    union = sizes[:, None] + sizes[None, :] - shared
+    near = np.triu(shared >= SIMILARITY * union - 1e-3, 1)
+    if key[1] != key[2]:
+        near &= block[:, None] != block[None, :]
+    root = list(range(len(nodes)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    links = []
+    for a, b in zip(*(x.tolist() for x in np.nonzero(near)), strict=True):
+        top_a, top_b = find(a), find(b)
+        if top_a != top_b and (score := aligned(texts[a][0], texts[b][0])):
+            root[max(top_a, top_b)] = min(top_a, top_b)
+            links.append((nodes[a], nodes[b], score))
+    return pd.DataFrame(links, columns=["a", "b", "similarity"])
+
+
+def candidate_ties(nodes: DataFrame) -> DataFrame:
+    """(a, b): each member of a bucket beside the smallest one."""
+    buckets = nodes.select(F.explode("keys").alias("key"), "node")
+    lead = (buckets.groupBy("key").agg(F.min("node").alias("lead"), F.count("*").alias("n"))
+            .filter("n > 1").select("key", "lead"))
+    return (buckets.join(lead, "key").filter("node <> lead")
+            .select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
+
+
+def verified_links(nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], block: int = BLOCK) -> DataFrame:
+    """Links (a, b, similarity) that join all near-duplicates among the candidates.
+
+    ``nodes`` has node and keys, ``texts`` gives node and text for a table of
+    wanted nodes.
     """
-    spark = nodes.sparkSession
-    links = spark.createDataFrame([], "a binary, b binary, similarity double")
-    seen = spark.createDataFrame([], "a binary, b binary, similarity double, stays boolean, next array<long>")
-    buckets = nodes.select(F.explode("keys").alias("key"), "node", "shingles", F.lit(True).alias("open"))
-    while True:
-        star = C.written(_star(buckets), "star")
-        if star.isEmpty():
-            return links
-        wanted_pairs = star.select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct()
-        pairs = C.written(wanted_pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        text = C.written(texts(wanted), "texts")
-        checked = C.written(
-            pairs.join(text.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-            .join(text.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-            .select("a", "b", "text_a", "text_b")
-            .mapInArrow(_verify, seen.schema), "checked")
-        links = links.unionByName(checked.filter("similarity > 0").select("a", "b", "similarity"))
-        seen = seen.unionByName(checked)
-        judged = star.join(seen.select(F.col("a").alias("lead"), F.col("b").alias("node"),
-                                       (F.col("similarity") == 0).alias("open"), "stays", "next"),
-                           ["lead", "node"])
-        narrower = (judged.select("lead", "node", "shingles", "open", F.explode("next").alias("s")).distinct()
-                    .select(F.xxhash64("lead", "s").alias("key"), "node", "shingles", "open"))
-        again = judged.filter("stays").select("key", "node", "shingles", F.lit(True).alias("open"))
-        buckets = C.written(narrower.unionByName(again), "buckets")
+    member = components(C.written(candidate_ties(nodes), "ties"))
+    groups = member.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    dealt = member.join(groups, "label").withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return (paired.join(texts(member.select("node")), "node")
+            .select("label", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                    "node", "block", "text")
+            .groupBy("label", "low", "high")
+            .applyInPandas(_group_links, "a binary, b binary, similarity double"))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, class_id, class_size, n_links, kept.
+    """Per row: doc_id, class_id, class_size, kept.
 
     class_id is the smallest doc_id among the rows whose texts are linked
     (similarity of the aligned five-word shingles at least 0.8), directly or
-    through others; n_links counts the links of the row's text to different
-    texts.  Texts with the same words are one class; null, empty and blank
+    through others.  Texts with the same words are one class; null, empty and blank
     texts are one such class.  Texts under five words are one shingle.  kept
     is true for one row per class: smallest doc_id (null last), then place.
     """
@@ -270,33 +265,29 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     sketches = C.written(
         rows.select("doc_id", *_PLACE, "text").mapInArrow(
             _sketch, f"doc_id long, {C.FILE} long, {C.ROW} long, digest binary, "
-                     "shingles long, keys array<long>"),
+                     "keys array<long>"),
         "sketches")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *_PLACE)
     nodes = C.written(
         sketches.groupBy(F.col("digest").alias("node"))
         .agg(F.min(first).alias("first"), F.count("*").alias("copies"),
-             F.first("shingles").alias("shingles"), F.first("keys").alias("keys")),
+             F.first("keys").alias("keys")),
         "nodes")
 
     def texts(wanted: DataFrame) -> DataFrame:
         places = wanted.join(nodes, "node").select("node", *[f"first.{c}" for c in _PLACE])
         return rows.join(C.sized_broadcast(C.written(places, "places")), _PLACE).select("node", "text")
 
-    links = verified_links(nodes, texts)
+    links = C.written(verified_links(nodes, texts), "links")
     labels = components(links)
-    degree = (links.select(F.explode(F.array("a", "b")).alias("node"))
-              .groupBy("node").agg(F.count("*").alias("n_links")))
-    named = (nodes.select("node", "first", "copies").join(labels, "node", "left").join(degree, "node", "left")
+    named = (nodes.select("node", "first", "copies").join(labels, "node", "left")
              .withColumn("label", F.coalesce("label", "node")))
     classes = named.groupBy("label").agg(F.min("first").alias("head"),
                                          F.sum("copies").cast("long").alias("class_size"))
-    of_node = named.join(classes, "label").select(
-        F.col("node").alias("digest"), "head", "class_size",
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    of_node = named.join(classes, "label").select(F.col("node").alias("digest"), "head", "class_size")
     own = ((F.col(C.FILE) == F.col(f"head.{C.FILE}")) & (F.col(C.ROW) == F.col(f"head.{C.ROW}")))
-    return (sketches.drop("keys", "shingles").join(of_node, "digest")
-            .select("doc_id", F.col("head.doc_id").alias("class_id"), "class_size", "n_links",
+    return (sketches.drop("keys").join(of_node, "digest")
+            .select("doc_id", F.col("head.doc_id").alias("class_id"), "class_size",
                     own.alias("kept"), *_PLACE))
 
 

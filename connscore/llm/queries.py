@@ -19,7 +19,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _near.near_dedup(C.table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "class_id", "class_size", "n_links", "kept")
+    return out.select("doc_id", "class_id", "class_size", "kept")
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
