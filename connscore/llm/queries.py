@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from connscore.llm import bpe as _bpe
 from connscore.llm import common as C
 from connscore.llm import exact_dedup as _exact
+from connscore.llm import language_id as _language
 from connscore.llm import near_dedup as _near
+from connscore.llm import packing as _packing
+from connscore.llm import quality as _quality
 from connscore.llm import substring_dedup as _substring
 
 
@@ -17,17 +22,38 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _bpe.round_trip(C.table(spark, sf_dir, "documents"),
+                           public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _language.language_id(C.table(spark, sf_dir, "documents"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _near.near_dedup(C.table(spark, sf_dir, "documents"))
     return out.select("doc_id", "class_id", "class_size", "kept")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _quality.classify(C.table(spark, sf_dir, "documents"), C.table(spark, sf_dir, "labels"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _packing.pack(C.table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _substring.substring_dedup(C.table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_byte_bpe": op2_byte_bpe,
+    "op3_language_id": op3_language_id,
     "op7_near_dedup": op7_near_dedup,
+    "op8_quality": op8_quality,
+    "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
 }
