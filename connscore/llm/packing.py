@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import itertools
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,11 +35,12 @@ LENGTH, END = 2048, 0
 #: Pricing rounds, configurations taken from a round, share of a length that a step covers.
 ROUNDS, PER_ROUND, STEP = 120, 64, 0.25
 
-#: Distinct stems whose ids a worker keeps between batches.
-CACHED_STEMS = 600_000
+#: Distinct stems and words whose ids a worker keeps between batches.
+CACHED_STEMS, CACHED_WORDS = 500_000, 800_000
 
 _PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 _stems: dict[str, dict[str, bytes]] = {}
+_words: dict[str, dict[str, bytes]] = {}
 _tokenizers: dict[str, object] = {}
 
 
@@ -52,7 +54,7 @@ def _tokenizer(path: str):
 
 
 def _stem_ids(path: str, stems: set[str]) -> dict[str, bytes]:
-    """Ids of stems as little-endian 32-bit numbers; known ones are not encoded again."""
+    """Ids of stems as 32-bit numbers; known ones are not encoded again."""
     cache = _stems.setdefault(path, {})
     if len(cache) + len(stems) > CACHED_STEMS:
         cache.clear()
@@ -60,7 +62,7 @@ def _stem_ids(path: str, stems: set[str]) -> dict[str, bytes]:
     for low in range(0, len(new), 4096):
         part = new[low:low + 4096]
         for s, e in zip(part, _tokenizer(path).encode_batch_fast(part, add_special_tokens=False), strict=True):
-            cache[s] = np.array(e.ids, "<u4").tobytes()
+            cache[s] = array("I", e.ids).tobytes()
     return cache
 
 
@@ -70,25 +72,30 @@ def token_bytes(path: str, texts: list[str]) -> Iterator[bytes]:
     The tokenizer drops white space and cuts before and after a run of
     punctuation next to letters, so blanks split a text, and a word's leading
     and trailing ASCII punctuation is encoded apart from a stem that begins
-    and ends in a letter or digit.
+    and ends in a letter or digit.  It lowers case, so ASCII stems are lowered
+    before they are looked up.
     """
-    words: dict[str, bytes | None] = {}
     split = [t.replace("\n", " ").split(" ") for t in texts]
-    for s in split:
-        words.update(dict.fromkeys(s))
+    words = _words.setdefault(path, {})
+    if len(words) > CACHED_WORDS:
+        words.clear()
+    new = set(itertools.chain.from_iterable(split)).difference(words)
     parts = {}
-    for w in words:
+    for w in new:
+        if w.isalnum():
+            parts[w] = (w,)
+            continue
         stem = w.strip(_PUNCTUATION)
         at = w.find(stem) if stem else len(w)
         head, tail = w[:at], w[at + len(stem):]
         inside = not stem or stem[0].isalnum() and stem[-1].isalnum()   # marks and symbols join punctuation
         if not inside or tail.startswith("'") or head.endswith("'"):   # contractions join a quote to letters
-            parts[w] = (w, "", "")
+            parts[w] = (w,)
         else:
             parts[w] = (head, stem, tail)
-    cache = _stem_ids(path, {p for three in parts.values() for p in three if p})
-    for w, three in parts.items():
-        words[w] = b"".join([cache[p] for p in three if p])
+    cache = _stem_ids(path, {p.lower() if p.isascii() else p for some in parts.values() for p in some if p})
+    for w, some in parts.items():
+        words[w] = b"".join([cache[p.lower() if p.isascii() else p] for p in some if p])
     for s in split:
         yield b"".join(map(words.__getitem__, s))
 
@@ -97,8 +104,8 @@ def _pieces(path: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([END], "<u4").tobytes()
         for whole in batches:
-            for low in range(0, whole.num_rows, 512):
-                batch = whole.slice(low, 512)
+            for low in range(0, whole.num_rows, 1024):
+                batch = whole.slice(low, 1024)
                 texts = [t or "" for t in batch.column(3).to_pylist()]
                 owner, piece, start, size, crc = [], [], [], [], []
                 for i, ids in enumerate(token_bytes(path, texts)):
