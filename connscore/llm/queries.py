@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from connscore.llm import ann as _ann
 from connscore.llm import bpe as _bpe
 from connscore.llm import common as C
 from connscore.llm import exact_dedup as _exact
@@ -14,6 +15,7 @@ from connscore.llm import language_id as _language
 from connscore.llm import near_dedup as _near
 from connscore.llm import packing as _packing
 from connscore.llm import quality as _quality
+from connscore.llm import sharding as _sharding
 from connscore.llm import substring_dedup as _substring
 
 
@@ -31,6 +33,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _language.language_id(C.table(spark, sf_dir, "documents"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sharding.shard(C.table(spark, sf_dir, "documents"))
+
+
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ann.nearest(C.table(spark, sf_dir, "embeddings"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _near.near_dedup(C.table(spark, sf_dir, "documents"))
     return out.select("doc_id", "class_id", "class_size", "kept")
@@ -52,6 +62,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_language_id": op3_language_id,
+    "op4_sharding": op4_sharding,
+    "op5_nearest": op5_nearest,
     "op7_near_dedup": op7_near_dedup,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
