@@ -32,9 +32,11 @@ _NONE = np.int64(1 << 40)
 class Merges:
     """A rank file: token bytes by id, and the rank of each pair that may merge."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, size: int | None = None):
+        """The first ``size`` tokens of the file, or all."""
         with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)
+                          if size is None or int(b) < size}
         self.size = max(self.ranks.values()) + 1
         self.token = {i: t for t, i in self.ranks.items()}
         self.decimal = {i: str(i) for i in self.token}
@@ -161,8 +163,8 @@ class Merges:
 
 
 @cache
-def merges(path: str) -> Merges:
-    return Merges(path)
+def merges(path: str, size: int | None = None) -> Merges:
+    return Merges(path, size)
 
 
 def encode(path: str, pattern: str, texts: list[str]) -> list[np.ndarray]:

@@ -12,6 +12,7 @@ from connscore.llm import bpe as _bpe
 from connscore.llm import common as C
 from connscore.llm import exact_dedup as _exact
 from connscore.llm import language_id as _language
+from connscore.llm import lm as _lm
 from connscore.llm import near_dedup as _near
 from connscore.llm import packing as _packing
 from connscore.llm import quality as _quality
@@ -41,6 +42,10 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ann.nearest(C.table(spark, sf_dir, "embeddings"))
 
 
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lm.score(C.table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _near.near_dedup(C.table(spark, sf_dir, "documents"))
     return out.select("doc_id", "class_id", "class_size", "kept")
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_sharding": op4_sharding,
     "op5_nearest": op5_nearest,
+    "op6_lm_score": op6_lm_score,
     "op7_near_dedup": op7_near_dedup,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
