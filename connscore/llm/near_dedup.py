@@ -262,11 +262,11 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     is true for one row per class: smallest doc_id (null last), then place.
     """
     rows = C.located(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "near-docs")
-    sketches = C.written(
-        rows.select("doc_id", *_PLACE, "text").mapInArrow(
-            _sketch, f"doc_id long, {C.FILE} long, {C.ROW} long, digest binary, "
-                     "keys array<long>"),
-        "sketches")
+    with C.settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}):
+        sketches = C.written(
+            rows.select("doc_id", *_PLACE, "text").mapInArrow(
+                _sketch, f"doc_id long, {C.FILE} long, {C.ROW} long, digest binary, keys array<long>"),
+            "sketches")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", *_PLACE)
     nodes = C.written(
         sketches.groupBy(F.col("digest").alias("node"))

@@ -36,7 +36,7 @@ LENGTH, END = 2048, 0
 ROUNDS, PER_ROUND, STEP = 120, 64, 0.25
 
 #: Distinct stems and words whose ids a worker keeps between batches.
-CACHED_STEMS, CACHED_WORDS = 500_000, 800_000
+CACHED_STEMS, CACHED_WORDS = 400_000, 400_000
 
 _PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 _stems: dict[str, dict[str, bytes]] = {}

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
