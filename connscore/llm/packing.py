@@ -35,8 +35,8 @@ LENGTH, END = 2048, 0
 #: Pricing rounds, configurations taken from a round, share of a length that a step covers.
 ROUNDS, PER_ROUND, STEP = 120, 64, 0.25
 
-#: Distinct stems and words whose ids a worker keeps between batches.
-CACHED_STEMS, CACHED_WORDS = 400_000, 400_000
+#: Distinct words, and as many stems, whose ids a worker keeps between batches.
+CACHED_WORDS = 900_000
 
 _PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 _stems: dict[str, dict[str, bytes]] = {}
@@ -53,10 +53,10 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
-def _stem_ids(path: str, stems: set[str]) -> dict[str, bytes]:
+def _stem_ids(path: str, stems: set[str], cached: int) -> dict[str, bytes]:
     """Ids of stems as 32-bit numbers; known ones are not encoded again."""
     cache = _stems.setdefault(path, {})
-    if len(cache) + len(stems) > CACHED_STEMS:
+    if len(cache) + len(stems) > cached:
         cache.clear()
     new = [s for s in stems if s not in cache]
     for low in range(0, len(new), 4096):
@@ -66,7 +66,7 @@ def _stem_ids(path: str, stems: set[str]) -> dict[str, bytes]:
     return cache
 
 
-def token_bytes(path: str, texts: list[str]) -> Iterator[bytes]:
+def token_bytes(path: str, texts: list[str], cached: int = CACHED_WORDS) -> Iterator[bytes]:
     """Ids of each text, as the tokenizer gives for the whole text.
 
     The tokenizer drops white space and cuts before and after a run of
@@ -77,7 +77,7 @@ def token_bytes(path: str, texts: list[str]) -> Iterator[bytes]:
     """
     split = [t.replace("\n", " ").split(" ") for t in texts]
     words = _words.setdefault(path, {})
-    if len(words) > CACHED_WORDS:
+    if len(words) > cached:
         words.clear()
     new = set(itertools.chain.from_iterable(split)).difference(words)
     parts = {}
@@ -93,14 +93,15 @@ def token_bytes(path: str, texts: list[str]) -> Iterator[bytes]:
             parts[w] = (w,)
         else:
             parts[w] = (head, stem, tail)
-    cache = _stem_ids(path, {p.lower() if p.isascii() else p for some in parts.values() for p in some if p})
+    cache = _stem_ids(path, {p.lower() if p.isascii() else p for some in parts.values() for p in some if p},
+                      cached)
     for w, some in parts.items():
         words[w] = b"".join([cache[p.lower() if p.isascii() else p] for p in some if p])
     for s in split:
         yield b"".join(map(words.__getitem__, s))
 
 
-def _pieces(path: str, length: int):
+def _pieces(path: str, length: int, cached: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = np.array([END], "<u4").tobytes()
         for whole in batches:
@@ -108,7 +109,7 @@ def _pieces(path: str, length: int):
                 batch = whole.slice(low, 1024)
                 texts = [t or "" for t in batch.column(3).to_pylist()]
                 owner, piece, start, size, crc = [], [], [], [], []
-                for i, ids in enumerate(token_bytes(path, texts)):
+                for i, ids in enumerate(token_bytes(path, texts, cached)):
                     ids = memoryview(ids + end)
                     n = len(ids) // 4
                     for k, at in enumerate(range(0, n, length)):
@@ -233,17 +234,20 @@ def _placed(table: np.ndarray):
     return run
 
 
-def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH,
+         cached: int = CACHED_WORDS) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
     A null text is empty: one piece that holds the end id alone.  Repeated
     rows and ids are packed each for itself.  An empty table gives no piece.
+    Workers keep the ids of ``cached`` words and stems, which costs about 300
+    bytes each; with fewer, more words are encoded again.
     The histogram and the plan have at most ``length`` and a few thousand rows.
     """
     rows = C.located(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "packing-docs")
     kept = f"doc_id long, {C.FILE} long, {C.ROW} long, piece int, start long, length long, ids_crc32 long"
     pieces = C.written(rows.select("doc_id", C.FILE, C.ROW, "text")
-                       .mapInArrow(_pieces(tokenizer_path, length), kept), "pieces")
+                       .mapInArrow(_pieces(tokenizer_path, length, cached), kept), "pieces")
     histogram = {r["length"]: r["n"] for r in
                  pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}   # at most `length` rows
     table, _ = plan(histogram, length)

@@ -13,6 +13,10 @@ from connscore.llm import quality as _quality
 from connscore.llm import substring_dedup as _substring
 
 
+#: Words that a worker keeps while packing; workers also hold what earlier stages left.
+PACKING_CACHE = 100_000
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity under trusted text is above their language's threshold go."""
     return _quality.kept_rows(spark, docs, C.table(spark, sf_dir, "labels"))
@@ -35,7 +39,7 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of what is left, each with its sequence and its place there."""
-    return _packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return _packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), cached=PACKING_CACHE)
 
 
 STAGES = [
