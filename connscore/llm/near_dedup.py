@@ -40,7 +40,7 @@ SHINGLE, SIMILARITY = 5, 0.8
 ELL, ROWS, BANDS = 2, 2, 16
 
 #: Members of a group that one task compares with each other or with as many others.
-BLOCK = 1000
+BLOCK = 500
 
 _PLACE = [C.FILE, C.ROW]
 _MAX = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -189,9 +189,9 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     out = np.zeros((len(sets), len(sets)), np.float32)
-    for low in range(0, int(many.sum()), 4096):
-        at = slice(*np.searchsorted(column, [low, low + 4096]))
-        part = np.zeros((len(sets), 4096), np.float32)
+    for low in range(0, int(many.sum()), 1024):
+        at = slice(*np.searchsorted(column, [low, low + 1024]))
+        part = np.zeros((len(sets), 1024), np.float32)
         part[owner[at], column[at] - low] = 1
         out += part @ part.T
     return out
