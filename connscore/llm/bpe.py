@@ -77,7 +77,7 @@ class Merges:
         held = np.flatnonzero(pair < _NONE)
         held = held[np.argsort(pair[held], kind="stable")]
         ranks, starts = np.unique(pair[held], return_index=True)
-        index = {r: [p] for r, p in zip(ranks.tolist(), np.split(held, starts[1:]), strict=True)}
+        index = {r: [p] for r, p in zip(ranks.tolist(), np.split(held, starts[1:]), strict=False)}
         queue = list(index)
         heapq.heapify(queue)
         odd: set[int] = set()
