@@ -49,7 +49,8 @@ def confusion_counts(df: DataFrame, label_col: str = "label",
         F.count_if(v_neg & p_pos).alias("fp"),
         F.count_if(v_pos & p_neg).alias("fn"),
         F.count(F.lit(1)).alias("n"),
-        F.count_if(v != p).alias("n_mismatch"),
+        # a row without a prediction or label is an error, not a hit
+        F.count_if(~v.eqNullSafe(p)).alias("n_mismatch"),
     )
 
 
@@ -79,7 +80,7 @@ def collapsed_metrics(df: DataFrame, label_col: str = "label",
 def error_rate(df: DataFrame, label_col: str = "label",
                prediction_col: str = "prediction") -> DataFrame:
     v, p = _pair_cols(label_col, prediction_col)
-    return (df.agg(F.count(F.lit(1)).alias("n"), F.count_if(v != p).alias("n_mismatch"))
+    return (df.agg(F.count(F.lit(1)).alias("n"), F.count_if(~v.eqNullSafe(p)).alias("n_mismatch"))
             .withColumn("error", ratio("n_mismatch", "n"))
             .withColumn("accuracy", F.lit(1.0) - F.col("error")))
 
@@ -171,7 +172,9 @@ def threshold_table(df: DataFrame, score_col: str, label_col: str = "label",
     form a hot group downstream; that table is checkpointed once.
     """
     lab = F.col(label_col).cast("double")
-    g = (df.groupBy(F.col(score_col).cast("double").alias("threshold"))
+    # rows without a score take no part in the curve or its totals
+    g = (df.filter(F.col(score_col).isNotNull())
+         .groupBy(F.col(score_col).cast("double").alias("threshold"))
          .agg(F.count_if(lab > 0.5).alias("pos"), F.count_if(lab <= 0.5).alias("neg")))
     # the quantile job and both window branches read the distinct-score
     # table: compute it once and checkpoint it instead of rescanning the input

@@ -22,6 +22,9 @@ from connscore.schema import CONNECTION_LAYOUT, NUMERIC, Layout
 
 MALFORMED = "malformed"
 
+#: A plain decimal number, with or without an exponent.
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
 
 def read_records(spark: SparkSession, path: str | Sequence[str],
                  layout: Layout = CONNECTION_LAYOUT, keep_line: bool = False) -> DataFrame:
@@ -63,7 +66,9 @@ def parse_lines(df: DataFrame, layout: Layout = CONNECTION_LAYOUT,
     for i, (name, role) in enumerate(layout.fields):
         raw = F.trim(F.try_element_at(F.col("__parts"), F.lit(i + 1)))
         if role == NUMERIC:
-            val = raw.try_cast("double")
+            # plain decimal numbers only: the cast alone takes 8d, NaN and Infinity
+            val = F.when(raw.rlike(NUMBER), raw.try_cast("double"))
+            val = F.when(F.abs(val) < float("inf"), val)
             bad_numbers.append(val.isNull())
         else:
             val = raw
