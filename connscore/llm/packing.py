@@ -39,7 +39,7 @@ ROUNDS, PER_ROUND, STEP = 120, 64, 0.25
 CACHED_WORDS = 900_000
 
 _PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
-_stems: dict[str, dict[str, bytes]] = {}
+_stems: dict[str, _Stems] = {}
 _words: dict[str, dict[str, bytes]] = {}
 _tokenizers: dict[str, object] = {}
 
@@ -53,17 +53,44 @@ def _tokenizer(path: str):
     return _tokenizers[path]
 
 
-def _stem_ids(path: str, stems: set[str], cached: int) -> dict[str, bytes]:
-    """Ids of stems as 32-bit numbers; known ones are not encoded again."""
-    cache = _stems.setdefault(path, {})
-    if len(cache) + len(stems) > cached:
-        cache.clear()
-    new = [s for s in stems if s not in cache]
-    for low in range(0, len(new), 4096):
-        part = new[low:low + 4096]
-        for s, e in zip(part, _tokenizer(path).encode_batch_fast(part, add_special_tokens=False), strict=True):
-            cache[s] = array("I", e.ids).tobytes()
-    return cache
+class _Stems(dict):
+    """Ids of word parts as 32-bit numbers, each worked out when it is first asked for."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        tokenizer = _tokenizer(path)
+        self._normal = tokenizer.normalizer.normalize_str
+        self._split = tokenizer.pre_tokenizer.pre_tokenize_str
+        self._merge = tokenizer.model.tokenize
+
+    def __missing__(self, part: str) -> bytes:
+        if part.isascii() and part.isalpha() and part.islower():   # as it is after normalising and splitting
+            ids = [t.id for t in self._merge(part)]
+        else:
+            ids = [t.id for piece, _ in self._split(self._normal(part)) for t in self._merge(piece)]
+        self[part] = out = array("I", ids).tobytes()
+        return out
+
+
+def _word_ids(word: str, stems: _Stems) -> bytes:
+    """Ids of a word without blanks in it."""
+    if word.isascii():   # the tokenizer lowers case
+        word = word.lower()
+    if word.isalnum():
+        return stems[word]
+    stem = word.strip(_PUNCTUATION)
+    if not stem:
+        return stems[word]
+    at = word.find(stem)
+    head, tail = word[:at], word[at + len(stem):]
+    if not (stem[0].isalnum() and stem[-1].lower()[-1].isalnum()):   # marks and symbols join punctuation
+        return stems[word]
+    if tail.startswith("'") or head.endswith("'"):       # contractions join a quote to letters
+        return stems[word]
+    out = stems[stem]
+    if head:
+        out = stems[head] + out
+    return out + stems[tail] if tail else out
 
 
 def token_bytes(path: str, texts: list[str], cached: int = CACHED_WORDS) -> Iterator[bytes]:
@@ -72,31 +99,21 @@ def token_bytes(path: str, texts: list[str], cached: int = CACHED_WORDS) -> Iter
     The tokenizer drops white space and cuts before and after a run of
     punctuation next to letters, so blanks split a text, and a word's leading
     and trailing ASCII punctuation is encoded apart from a stem that begins
-    and ends in a letter or digit.  It lowers case, so ASCII stems are lowered
-    before they are looked up.
+    and ends in a letter or digit.  A part goes through the tokenizer's own
+    normaliser, splitter and merges, without the offsets that a whole encoding
+    keeps.
     """
     split = [t.replace("\n", " ").split(" ") for t in texts]
     words = _words.setdefault(path, {})
     if len(words) > cached:
         words.clear()
-    new = set(itertools.chain.from_iterable(split)).difference(words)
-    parts = {}
-    for w in new:
-        if w.isalnum():
-            parts[w] = (w,)
-            continue
-        stem = w.strip(_PUNCTUATION)
-        at = w.find(stem) if stem else len(w)
-        head, tail = w[:at], w[at + len(stem):]
-        inside = not stem or stem[0].isalnum() and stem[-1].isalnum()   # marks and symbols join punctuation
-        if not inside or tail.startswith("'") or head.endswith("'"):   # contractions join a quote to letters
-            parts[w] = (w,)
-        else:
-            parts[w] = (head, stem, tail)
-    cache = _stem_ids(path, {p.lower() if p.isascii() else p for some in parts.values() for p in some if p},
-                      cached)
-    for w, some in parts.items():
-        words[w] = b"".join([cache[p.lower() if p.isascii() else p] for p in some if p])
+    if path not in _stems:
+        _stems[path] = _Stems(path)
+    stems = _stems[path]
+    if len(stems) > cached:
+        stems.clear()
+    for w in set(itertools.chain.from_iterable(split)).difference(words):
+        words[w] = _word_ids(w, stems)
     for s in split:
         yield b"".join(map(words.__getitem__, s))
 

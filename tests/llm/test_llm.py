@@ -7,6 +7,7 @@ import math
 import random
 import re
 import zlib
+from array import array
 
 import numpy as np
 import public_tokenizers as P
@@ -337,3 +338,12 @@ def test_substring_dedup_odd_and_periodic_rows(spark, odd):
     assert substring.substring_dedup(df.limit(0)).count() == 0
     cut = substring.without_repeats(odd)
     assert cut.columns == odd.columns and cut.count() == len(ROWS)
+
+
+def test_packing_ids_of_odd_words_equal_the_tokenizer():
+    rng = random.Random(3)
+    signs = "abcABZ019 \n\t'.,-_!éÉßİıΣςσµªº\u0301\u0300\u3000\u2003<|>😀中Ⅷ²½ﬁ\x00\x1f's't're"
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    texts += ["<|startoftext|> x <|endoftext|>", "don't we'LL 'tis rock'n'roll", "ΑΣ ΑΣ. ΣΑΣ", "İ! İ.", "e\u0301."]
+    whole = packing._tokenizer(WORDS).encode_batch(texts, add_special_tokens=False)
+    assert list(packing.token_bytes(WORDS, texts)) == [array("I", e.ids).tobytes() for e in whole]
