@@ -11,9 +11,9 @@ This is the test phase of the batch jobs run continuously:
   error over everything seen so far: one global streaming aggregate whose
   state is a single row of counters;
 * ``start_scored_sink`` / ``start_quarantine`` / ``start_metrics`` -- sinks
-  (scored rows, rejected lines, running metrics) with checkpoints under
-  the shared checkpoint folder, so a restarted query resumes exactly where
-  it stopped (file source offsets and aggregate state are recovered).
+  (scored rows, rejected lines, running metrics).  The caller names the
+  checkpoint folder (in shared storage, one per query) and passes the same
+  one after a restart: file offsets and aggregate state are recovered from it.
 """
 
 from __future__ import annotations
@@ -26,7 +26,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from connscore.operators import metrics as M
 from connscore.schema import Layout
-from connscore.session import scratch_path
 from connscore.sources.records import parse_lines, quarantined, well_formed
 
 
@@ -52,35 +51,31 @@ def running_metrics(scored: DataFrame, mode: str = "binary",
     return M.prf1(M.confusion_counts(scored, label_col, prediction_col, mode))
 
 
-def start_quarantine(records: DataFrame, out_path: str,
-                     checkpoint: str | None = None, trigger_once: bool = False) -> StreamingQuery:
-    spark = records.sparkSession
+def start_quarantine(records: DataFrame, out_path: str, checkpoint: str,
+                     trigger_once: bool = False) -> StreamingQuery:
     w = (quarantined(records).select("value", "n_fields", "reason")
          .writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-quarantine")))
+         .option("checkpointLocation", checkpoint))
     if trigger_once:
         w = w.trigger(availableNow=True)
     return w.start(out_path)
 
 
-def start_scored_sink(scored: DataFrame, out_path: str, columns: list[str],
-                      checkpoint: str | None = None,
+def start_scored_sink(scored: DataFrame, out_path: str, columns: list[str], checkpoint: str,
                       trigger_once: bool = False) -> StreamingQuery:
-    """Append the scored rows (chosen columns) to parquet, exactly once."""
-    spark = scored.sparkSession
+    """Append the scored rows (chosen columns) to parquet, exactly once per checkpoint."""
     w = (scored.select(*columns).writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-scored")))
+         .option("checkpointLocation", checkpoint))
     if trigger_once:
         w = w.trigger(availableNow=True)
     return w.start(out_path)
 
 
-def start_metrics(metrics: DataFrame, query_name: str, checkpoint: str | None = None,
+def start_metrics(metrics: DataFrame, query_name: str, checkpoint: str,
                   sink: str = "memory", trigger_once: bool = False) -> StreamingQuery:
     """Running metrics to a sink in complete mode (the state is one row)."""
-    spark = metrics.sparkSession
     w = (metrics.writeStream.format(sink).outputMode("complete").queryName(query_name)
-         .option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{query_name}")))
+         .option("checkpointLocation", checkpoint))
     if trigger_once:
         w = w.trigger(availableNow=True)
     return w.start()

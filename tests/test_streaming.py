@@ -30,8 +30,9 @@ def test_stream_scoring_matches_batch(spark, tmp_path):
     records = record_stream(spark, src, L_LINE, max_files_per_trigger=2)
     scored = scored_stream(records, model_path,
                            prepare=lambda d: jobs.with_binary_target(d, L_ROLES))
-    q = start_metrics(running_metrics(scored), "stream_metrics_test")
-    qq = start_quarantine(records, str(tmp_path / "quarantine"))
+    q = start_metrics(running_metrics(scored), "stream_metrics_test",
+                      scratch_path(spark, "ckpt-metrics"))
+    qq = start_quarantine(records, str(tmp_path / "quarantine"), scratch_path(spark, "ckpt-quarantine"))
     try:
         q.processAllAvailable()
         qq.processAllAvailable()
@@ -84,7 +85,7 @@ def test_scored_rows_sink_matches_batch(spark, tmp_path):
                            prepare=lambda d: jobs.with_binary_target(d, L_ROLES))
     out = str(tmp_path / "scored")
     q = start_scored_sink(scored, out, ["l_orderkey", "l_linenumber", "label", "prediction"],
-                          trigger_once=True)
+                          scratch_path(spark, "ckpt-scored"), trigger_once=True)
     q.awaitTermination(300)
     got = spark.read.parquet(out)
     assert got.count() == li.count()
@@ -92,3 +93,15 @@ def test_scored_rows_sink_matches_batch(spark, tmp_path):
         jobs.with_binary_target(well_formed(parse_lines(spark.read.text(src), L_LINE)), L_ROLES)
     ).select("l_orderkey", "l_linenumber", "label", "prediction")
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
+
+
+def test_restarted_quarantine_keeps_new_bad_lines(spark, tmp_path):
+    src, out = tmp_path / "landing", str(tmp_path / "quarantine")
+    src.mkdir()
+    ckpt = scratch_path(spark, "ckpt-quarantine-restart")
+    for name, lines in (("a.txt", "1,2,x,4,5,6,O,N\n1,2,3\n"), ("b.txt", "1,2\n1,2,8d,4,5,6,O,N\n")):
+        (src / name).write_text(lines)
+        start_quarantine(record_stream(spark, str(src), L_LINE), out, ckpt,
+                         trigger_once=True).awaitTermination()
+    assert sorted(r.value for r in spark.read.parquet(out).collect()) == [
+        "1,2", "1,2,3", "1,2,8d,4,5,6,O,N", "1,2,x,4,5,6,O,N"]
