@@ -74,8 +74,12 @@ def exact_dedup(docs: DataFrame, digest_bytes: int = 32) -> DataFrame:
     same id the first by place.  An empty table gives an empty result.
     ``digest_bytes`` under 32 makes digests collide (tests).
     """
-    spark = docs.sparkSession
-    rows = C.located(docs.select("doc_id", "text"), "dedup-docs")
+    return located_dedup(C.located(docs.select("doc_id", "text"), "dedup-docs"), digest_bytes)
+
+
+def located_dedup(rows: DataFrame, digest_bytes: int = 32) -> DataFrame:
+    """``exact_dedup`` of rows that have the place columns of ``common.located``; the result has them too."""
+    spark = rows.sparkSession
     todo, done, level = rows, [], 0
     with C.settings(spark, _STATE):
         while todo is not None:
@@ -129,5 +133,5 @@ def _differing(rows: DataFrame, state: DataFrame, level: int, digest_bytes: int)
 def kept_rows(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     rows = C.located(docs, "dedup-docs")
-    result = exact_dedup(docs).filter("kept").select(*_PLACE)
+    result = located_dedup(rows.select("doc_id", "text", *_PLACE)).filter("kept").select(*_PLACE)
     return rows.join(result, _PLACE, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -261,8 +261,13 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     texts are one such class.  Texts under five words are one shingle.  kept
     is true for one row per class: smallest doc_id (null last), then place.
     """
-    rows = C.located(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "near-docs")
-    with C.settings(docs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}):
+    return located_dedup(C.located(docs.select("doc_id", "text"), "near-docs"))
+
+
+def located_dedup(located: DataFrame) -> DataFrame:
+    """``near_dedup`` of rows that have the place columns of ``common.located``; the result has them too."""
+    rows = located.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *_PLACE)
+    with C.settings(rows.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000"}):
         sketches = C.written(
             rows.select("doc_id", *_PLACE, "text").mapInArrow(
                 _sketch, f"doc_id long, {C.FILE} long, {C.ROW} long, digest binary, keys array<long>"),
@@ -294,5 +299,5 @@ def near_dedup(docs: DataFrame) -> DataFrame:
 def kept_rows(docs: DataFrame) -> DataFrame:
     """One row of each class of ``docs``, with all its columns."""
     rows = C.located(docs, "near-docs")
-    kept = near_dedup(docs).filter("kept").select(*_PLACE)
+    kept = located_dedup(rows).filter("kept").select(*_PLACE)
     return rows.join(kept, _PLACE, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -29,3 +29,16 @@ def test_stages_on_an_empty_table(spark):
     for i, (_, stage) in enumerate(pipeline.STAGES):
         docs = C.written(stage(spark, docs, SF), f"empty-{i}")
         assert docs.count() == 0
+
+
+def test_dedup_stages_keep_the_same_rows_of_frames_without_files(spark):
+    docs = C.table(spark, SF, "documents")
+    memory = spark.createDataFrame(docs.collect(), docs.schema)
+    union = docs.filter("doc_id % 2 = 0").unionByName(docs.filter("doc_id % 2 = 1"))
+    for _, stage in pipeline.STAGES[1:3]:
+        want = sorted(r.doc_id for r in stage(spark, docs, SF).collect())
+        assert 0 < len(want) < docs.count()
+        for df in (memory, union):
+            out = stage(spark, df, SF)
+            assert out.columns == docs.columns
+            assert sorted(r.doc_id for r in out.collect()) == want
