@@ -198,6 +198,20 @@ def test_lm_gradients_and_windows():
     assert np.allclose(lm.sequence_scores(p, codes[:60], np.array([0, 60])), whole[:60], atol=1e-5)
 
 
+def test_lm_codes_see_half_a_window_of_their_text():
+    rng = np.random.default_rng(1)
+    p = lm._initial(rng)
+    assert p["up"].shape == (lm.WIDTH, 2 * lm.WIDTH)
+    codes = rng.integers(0, 4096, 200)
+    whole = lm.sequence_scores(p, codes, np.array([0, 200]))
+    back, seen = 16, []
+    for i in range(back, 200):
+        other = codes.copy()
+        other[i - back] = (other[i - back] + 1000) % 4096
+        seen.append(lm.sequence_scores(p, other, np.array([0, 200]))[i] != whole[i])
+    assert np.mean(seen) > 0.95
+
+
 # op7
 
 def test_near_dedup_against_all_pairs(documents):
