@@ -11,6 +11,7 @@ from array import array
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from tokenizers import Tokenizer
@@ -212,6 +213,32 @@ def test_lm_codes_see_half_a_window_of_their_text():
     assert np.mean(seen) > 0.95
 
 
+def test_lm_learns_from_whole_texts_and_more_of_more_rows(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(lm, "fit", lambda windows, *a: taken.append(windows.collect()) or lm._initial(np.random.default_rng(0)))
+    monkeypatch.setattr(lm, "LEAST_BYTES", 1 << 16)
+    for n in (20, 200):
+        rows = [(i, " ".join(["early"] * 4000 + ["zebra"] * 4000)) for i in range(n)]
+        lm.score(spark.createDataFrame(rows, "doc_id long, text string"), BYTES)
+    whole = [np.frombuffer(x.window, "<u2") for x in taken[1]]
+    assert {len(x) for x in whole} == {lm.WINDOW + 1}
+    early, late = (set(lm.coded(BYTES, next(lm._lowered(pa.array([w]))))[0][:-1].tolist()) for w in ("early", "zebra"))
+    share = [sum(np.isin(x, list(c)).sum() for x in whole) for c in (early - late, late - early)]
+    assert min(share) > 0.3 * max(share)
+    assert len(taken[1]) > 5 * len(taken[0])
+
+
+def test_lm_every_passage_is_drawn_whole():
+    texts = [" ".join(f"wörd{i}" for i in range(k)) for k in (0, 1, 3, 700, 2000)] + ["x" * 5000 + " y"]
+    batch = pa.record_batch({"file": pa.array([1] * 6), "row": pa.array(range(6)), "text": pa.array(texts)})
+    windows = [np.frombuffer(x, "<u2") for b in lm._training_windows(BYTES, 1.0)(iter([batch]))
+               for x in b.column(0).to_pylist()]
+    want = np.concatenate([np.append(lm.END, lm.coded(BYTES, w)[0]) for t in texts for w in lm._lowered(pa.array([t]))])
+    assert np.array_equal(np.concatenate([windows[0][:1], *[x[1:] for x in windows[:-1]]]),
+                          want[:1 + lm.WINDOW * (len(windows) - 1)])
+    assert np.array_equal(windows[-1], want[-lm.WINDOW - 1:])
+
+
 # op7
 
 def test_near_dedup_against_all_pairs(documents):
