@@ -16,6 +16,11 @@ than once in the block is known to be repeated there, is reported at once, and
 travels alone, marked as held twice.  A passage that a third of the documents
 share so reaches its bucket once per block.  The number of buckets follows the
 bytes of the table.
+
+Strings that hold the edge of such a passage, or a shared line, differ by what
+each document has around it, and would all go to the bucket of one minimiser.
+So the windows of minimisers with more than ``HOT_WINDOWS`` of them in the
+table travel one by one to buckets of their own hashes, where equal ones meet.
 """
 
 from __future__ import annotations
@@ -43,6 +48,9 @@ LONGEST_RUN = 64
 #: Text bytes whose windows share a bucket, and packed bytes a task holds before it sends them.
 BUCKET_BYTES, HELD_BYTES = 8 << 20, 16 << 20
 
+#: Windows of a minimiser above which they are dealt by their own hashes, bytes that count for one of them.
+HOT_WINDOWS, WINDOW_BYTES = 1 << 15, 256
+
 #: Minimisers a task holds before it sends them.
 HELD_RUNS = 1 << 20
 
@@ -231,8 +239,11 @@ def _repeated_minimisers(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
                          "windows": out[4].astype(np.int32), "minimiser": out[0]})
 
 
-def _strings(n_buckets: int, window: int):
-    """Map side of the second shuffle: texts with their runs to packed strings for their buckets."""
+def _strings(n_buckets: int, n_hot: int, window: int):
+    """Map side of the second shuffle: texts with their runs to packed strings for their buckets.
+
+    Windows of hot minimisers are strings of their own, in ``n_hot`` buckets after the others.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = _Sender(n_buckets, window)
         for batch in batches:
@@ -240,15 +251,23 @@ def _strings(n_buckets: int, window: int):
             file, row = (columns[c].to_numpy(zero_copy_only=False) for c in _PLACE)
             runs = columns["__runs"]
             offsets = runs.offsets.to_numpy()
-            fields = [runs.values.field(i).to_numpy() for i in range(3)]
+            fields = [runs.values.field(i).to_numpy(zero_copy_only=False) for i in range(4)]
             for w in W.chunks(columns["text"]):
                 low, high = offsets[w.first], offsets[w.first + len(w.offsets) - 1]
                 doc = np.repeat(np.arange(len(w.offsets) - 1),
                                 np.diff(offsets[w.first:w.first + len(w.offsets)]))
-                first, n, least = (f[low:high] for f in fields)
+                first, n, least, hot = (f[low:high] for f in fields)
                 at = first + w.offsets[doc]
+                bucket = (W.mix(least.view(np.uint64)) % np.uint64(n_buckets)).astype(np.int64)
+                if hot.any():
+                    each = np.where(hot, n, 1)   # a string for each window of a hot run
+                    nth = np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)
+                    first, at, n = (np.repeat(x, each) for x in (first, at, np.where(hot, 1, n)))
+                    first, at, doc, hot = first + nth, at + nth, np.repeat(doc, each), np.repeat(hot, each)
+                    own = W.mix(W.grams(w.hash, window)[at]) % np.uint64(max(1, n_hot))
+                    bucket = np.where(hot, n_buckets + own.astype(np.int64), np.repeat(bucket, each))
                 begin, end = w.start[at].tolist(), w.end[at + n + window - 2].tolist()
-                bucket = (W.mix(least.view(np.uint64)) % np.uint64(n_buckets)).tolist()
+                bucket = bucket.tolist()
                 files, rows = file[doc + w.first].tolist(), row[doc + w.first].tolist()
                 firsts, ns, data = first.tolist(), n.tolist(), w.data
                 for i, b in enumerate(begin):
@@ -323,20 +342,32 @@ def _bucket_spans(texts: list[bytes], weight: np.ndarray, places: list[tuple[int
     return np.array(out, np.int64).reshape(-1, 4)
 
 
+def sent_strings(rows: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER,
+                 bucket_bytes: int = BUCKET_BYTES, hot_windows: int = HOT_WINDOWS) -> DataFrame:
+    """(bucket, n, payload): the packed strings of the windows whose minimiser is repeated."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_buckets = max(1, math.ceil(size / bucket_bytes))
+    runs = C.written(
+        rows.select(*_PLACE, "text").mapInArrow(_minimisers(n_buckets, window, minimiser), _SENT)
+        .groupBy("bucket").applyInPandas(_repeated_minimisers, _RUNS), "runs")
+    hot = C.written(runs.groupBy("minimiser").agg(F.sum("windows").alias("n")).filter(F.col("n") > hot_windows),
+                    "hot-minimisers")
+    n_hot = math.ceil((hot.agg(F.sum("n")).first()[0] or 0) * WINDOW_BYTES / bucket_bytes)
+    marked = runs.join(C.sized_broadcast(hot.select("minimiser", F.lit(True).alias("found"))), "minimiser", "left")
+    by_row = (marked.withColumn("hot", F.coalesce("found", F.lit(False))).groupBy(*_PLACE)
+              .agg(F.collect_list(F.struct("first", "windows", "minimiser", "hot")).alias("__runs")))
+    # all columns of rows go along, so this join and the caller's share one exchange of the texts
+    return rows.join(by_row, _PLACE).mapInArrow(_strings(n_buckets, n_hot, window), _SENT)
+
+
 def repeated_spans(rows: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER,
-                   bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                   bucket_bytes: int = BUCKET_BYTES, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """Spans of words under windows that start elsewhere too.
 
     ``rows`` has text and the place columns of ``common.located``; the result
     has the place, the first word and the word past the last (they may overlap).
     """
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_buckets = max(1, math.ceil(size / bucket_bytes))
-    runs = (rows.select(*_PLACE, "text").mapInArrow(_minimisers(n_buckets, window, minimiser), _SENT)
-            .groupBy("bucket").applyInPandas(_repeated_minimisers, _RUNS)
-            .groupBy(*_PLACE).agg(F.collect_list(F.struct("first", "windows", "minimiser")).alias("__runs")))
-    # all columns of rows go along, so this join and the caller's share one exchange of the texts
-    sent = rows.join(runs, _PLACE).mapInArrow(_strings(n_buckets, window), _SENT)
+    sent = sent_strings(rows, window, minimiser, bucket_bytes, hot_windows)
     return sent.groupBy("bucket").applyInPandas(_count(window), _SPANS)
 
 
@@ -368,14 +399,15 @@ def _cut(extra: list[str], text_out: bool):
     return run
 
 
-def _with_spans(rows: DataFrame, window: int, minimiser: int, bucket_bytes: int) -> DataFrame:
-    spans = (repeated_spans(rows, window, minimiser, bucket_bytes)
+def _with_spans(rows: DataFrame, window: int, minimiser: int, bucket_bytes: int,
+                hot_windows: int = HOT_WINDOWS) -> DataFrame:
+    spans = (repeated_spans(rows, window, minimiser, bucket_bytes, hot_windows)
              .groupBy(*_PLACE).agg(F.collect_list(F.struct("first", "last")).alias("__spans")))
     return rows.join(spans, _PLACE, "left")
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER,
-                    bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+                    bucket_bytes: int = BUCKET_BYTES, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """Per row of ``docs``: doc_id, n_words, n_removed, kept_sha256.
 
     Words are runs of bytes other than ASCII white space.  Each word under a
@@ -385,7 +417,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINI
     table gives an empty result.
     """
     rows = C.located(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "substring-docs")
-    return (_with_spans(rows, window, minimiser, bucket_bytes).select("doc_id", "text", "__spans")
+    return (_with_spans(rows, window, minimiser, bucket_bytes, hot_windows).select("doc_id", "text", "__spans")
             .mapInArrow(_cut(["doc_id"], False),
                         "doc_id long, n_words long, n_removed long, result string")
             .withColumnRenamed("result", "kept_sha256"))

@@ -381,6 +381,21 @@ def test_substring_dedup_odd_and_periodic_rows(spark, odd):
     assert cut.columns == odd.columns and cut.count() == len(ROWS)
 
 
+def test_substring_dedup_deals_windows_around_a_shared_line(spark):
+    rng = random.Random(5)
+    own = lambda n: " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(n))
+    line, passage = own(12), own(60)
+    rows = [(i, f"{own(40)} {line if i % 2 else passage} {own(40)}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring.substring_dedup(df, bucket_bytes=1 << 16, hot_windows=200)
+    assert collections.Counter(map(tuple, got.collect())) == brute_repeats(rows, 35)
+    located = C.located(df, "around")
+    held = collections.Counter()
+    for r in substring.sent_strings(located, bucket_bytes=1 << 16, hot_windows=200).collect():
+        held[r.bucket] += len(r.payload)
+    assert max(held.values()) < 0.1 * sum(held.values())
+
+
 def test_packing_ids_of_odd_words_equal_the_tokenizer():
     rng = random.Random(3)
     signs = "abcABZ019 \n\t'.,-_!éÉßİıΣςσµªº\u0301\u0300\u3000\u2003<|>😀中Ⅷ²½ﬁ\x00\x1f's't're"
