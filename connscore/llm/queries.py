@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from connscore.llm import ann as _ann
 from connscore.llm import bpe as _bpe
 from connscore.llm import common as C
+from connscore.llm import conversation_repair as _repair
 from connscore.llm import exact_dedup as _exact
 from connscore.llm import language_id as _language
 from connscore.llm import lm as _lm
@@ -18,6 +19,7 @@ from connscore.llm import packing as _packing
 from connscore.llm import quality as _quality
 from connscore.llm import sharding as _sharding
 from connscore.llm import substring_dedup as _substring
+from connscore.llm import whitening as _whitening
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +65,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _substring.substring_dedup(C.table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _whitening.whiten(C.table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _repair.repair(_repair.damaged(C.table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -74,4 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_conversation_repair": op12_conversation_repair,
 }
