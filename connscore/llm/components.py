@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from connscore.llm import common as C
 
 
+def thinned(links: DataFrame) -> DataFrame:
+    """Links (a, b) with the same components: one for each b, and the pairs of a that share a b.
+
+    Each b stays linked to its smallest a; its other a are linked to that one,
+    and equal links fall together.  For links whose number for one b is bounded
+    (by the keys of a sketch), as they are gathered.
+    """
+    pairs = F.transform("every", lambda a: F.when(a == F.col("least"), F.struct(a.alias("a"), F.col("b").alias("b")))
+                        .otherwise(F.struct(F.col("least").alias("a"), a.alias("b"))))
+    return (links.groupBy("b").agg(F.collect_set("a").alias("every"), F.min("a").alias("least"))
+            .select(F.inline(pairs)).distinct())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for each node of ``links`` (a, b); label is the smallest node of its component.
 

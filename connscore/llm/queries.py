@@ -12,6 +12,7 @@ from connscore.llm import bpe as _bpe
 from connscore.llm import common as C
 from connscore.llm import conversation_repair as _repair
 from connscore.llm import exact_dedup as _exact
+from connscore.llm import jaccard_join as _jaccard
 from connscore.llm import language_id as _language
 from connscore.llm import lm as _lm
 from connscore.llm import near_dedup as _near
@@ -73,6 +74,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _repair.repair(_repair.damaged(C.table(spark, sf_dir, "conversations")))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _jaccard.jaccard_components(C.table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_byte_bpe": op2_byte_bpe,
@@ -86,4 +91,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring_dedup": op10_substring_dedup,
     "op11_whitening": op11_whitening,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_jaccard_join": op13_jaccard_join,
 }
