@@ -9,11 +9,13 @@ a key are candidates.  Equal texts are one node from the start.
 
 Buckets only say who might belong together: each member is tied to the
 smallest one of its bucket, and the components of these ties are groups, so a
-text travels once however many buckets hold it.  A group is compared whole, in
-blocks of ``BLOCK`` members: a task takes two blocks, gets the set similarity
-of all their pairs from one matrix product over shared shingles, and aligns
-the pairs that reach the threshold, unless links found before already join
-them.  A large group is so many tasks, and no pair is left out.
+text travels once however many buckets hold it.  A group's members are first
+aligned with its head, a text each.  What that links is one class; members
+left over are compared with the whole group, in blocks of ``BLOCK``: a task
+takes two blocks, gets the set similarity of all their pairs from one matrix
+product over shared shingles, and aligns the pairs that reach the threshold,
+unless links found before already join them.  G members of which R are left
+over send G texts and another G + R * G / BLOCK, and no pair is left out.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.sql import functions as F
 
 from connscore.llm import common as C
 from connscore.llm import words as W
-from connscore.llm.components import components
+from connscore.llm.components import components, thinned
 
 #: Words of a shingle, and the least similarity of near-duplicates.
 SHINGLE, SIMILARITY = 5, 0.8
@@ -197,18 +199,45 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _alignment(a: tuple, b: tuple) -> float:
+    """Similarity of two texts' shingles, 0 if under the threshold; sets decide first."""
+    shared = len(np.intersect1d(a[1], b[1], assume_unique=True))
+    return aligned(a[0], b[0]) if shared >= SIMILARITY * (len(a[1]) + len(b[1]) - shared) - 1e-3 else 0.0
+
+
+def _head_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (label, chunk, node, text), each chunk's head first, to the members that link to their head."""
+    now, head = None, None
+    for batch in batches:
+        found = []
+        for label, chunk, node, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            own = _sequence(text)
+            if (label, chunk) != now:
+                now, head = (label, chunk), own
+            elif score := _alignment(head, own):
+                found.append((label, node, score))
+        yield pa.record_batch({"a": pa.array([x[0] for x in found], pa.binary()),
+                               "b": pa.array([x[1] for x in found], pa.binary()),
+                               "similarity": pa.array([x[2] for x in found], pa.float64())})
+
+
 def _group_links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Links that join the members of two blocks of a group (or of one)."""
-    rows = rows.sort_values("node", ignore_index=True)
-    nodes, block = rows["node"].tolist(), rows["block"].to_numpy()
+    """Links between members left over (role 1) and a block of their group (role 2), or in a whole group (role 0).
+
+    Members that are linked to the group's head (``main``) are one class from the start.
+    """
+    rows = rows.sort_values(["role", "node"], ignore_index=True)
+    nodes, role = rows["node"].tolist(), rows["role"].to_numpy()
     texts = [_sequence(t) for t in rows["text"]]
     sizes = np.array([len(x[1]) for x in texts])
     shared = _shared([x[1] for x in texts])
     union = sizes[:, None] + sizes[None, :] - shared
     near = np.triu(shared >= SIMILARITY * union - 1e-3, 1)
-    if key[1] != key[2]:
-        near &= block[:, None] != block[None, :]
-    root = list(range(len(nodes)))
+    if role.any():
+        near &= role[:, None] != role[None, :]
+    seen: dict = {}
+    root = [seen.setdefault("main" if main else node, i) for i, (node, main) in
+            enumerate(zip(nodes, rows["main"], strict=True))]
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -234,22 +263,50 @@ def candidate_ties(nodes: DataFrame) -> DataFrame:
             .select(F.col("lead").alias("a"), F.col("node").alias("b")).distinct())
 
 
+def group_places(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(label, part, block, role, node, main): the tasks that compare what the heads left over, and who goes there.
+
+    ``members`` has label, node and main (linked to the group's head).  Groups without
+    anything left over are done.
+    """
+    groups = members.groupBy("label").agg(F.count("*").alias("n"), F.count_if(~F.col("main")).alias("rest"))
+    dealt = members.join(groups.filter("rest > 0").select(
+        "label", F.ceil(F.col("n") / block).cast("int").alias("blocks"),
+        F.ceil(F.col("rest") / block).cast("int").alias("parts")), "label")
+    hashed, zero = F.xxhash64("node"), F.lit(0)
+    block_of, part_of = (F.pmod(hashed, F.col(c)).cast("int") for c in ("blocks", "parts"))
+
+    def place(part, to, role):
+        return F.struct(part.alias("part"), to.alias("block"), F.lit(role).alias("role"))
+
+    as_block = F.transform(F.sequence(zero, F.col("parts") - 1), lambda p: place(p, block_of, 2))
+    as_part = F.transform(F.sequence(zero, F.col("blocks") - 1), lambda b: place(part_of, b, 1))
+    places = (F.when(F.col("blocks") == 1, F.array(place(zero, zero, 0)))
+              .when(F.col("main"), as_block).otherwise(F.concat(as_block, as_part)))
+    return dealt.select("label", "node", "main", F.inline(places))
+
+
 def verified_links(nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], block: int = BLOCK) -> DataFrame:
     """Links (a, b, similarity) that join all near-duplicates among the candidates.
 
     ``nodes`` has node and keys, ``texts`` gives node and text for a table of
     wanted nodes.
     """
-    member = components(C.written(candidate_ties(nodes), "ties"))
-    groups = member.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    dealt = member.join(groups, "label").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return (paired.join(texts(member.select("node")), "node")
-            .select("label", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                    "node", "block", "text")
-            .groupBy("label", "low", "high")
+    member = components(C.written(thinned(candidate_ties(nodes)), "ties"))
+    groups = member.groupBy("label").agg(F.ceil(F.count("*") / block).cast("int").alias("chunks"))
+    dealt = member.join(groups, "label").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    heads = groups.select("label", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
+                          F.col("label").alias("node"))
+    rows = dealt.filter("node <> label").select("label", "chunk", "node").union(heads)
+    found = (rows.join(texts(member.select("node")), "node").select("label", "chunk", "node", "text")
+             .repartition("label", "chunk").sortWithinPartitions("label", "chunk", F.col("node") != F.col("label")))
+    to_head = C.written(found.mapInArrow(_head_links, "a binary, b binary, similarity double"), "head-links")
+    done = to_head.select(F.col("b").alias("node"), F.lit(True).alias("main"))
+    left = C.written(group_places(member.join(done, "node", "left").withColumn(
+        "main", F.coalesce("main", F.col("node") == F.col("label"))), block), "left-over")
+    rest = (left.join(texts(left.select("node").distinct()), "node").groupBy("label", "part", "block")
             .applyInPandas(_group_links, "a binary, b binary, similarity double"))
+    return to_head.union(rest)
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
