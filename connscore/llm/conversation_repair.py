@@ -288,11 +288,12 @@ def damaged(conversations: DataFrame) -> DataFrame:
     ).drop("copy")
 
 
-def repair(rows: DataFrame) -> DataFrame:
+def repair(rows: DataFrame, gone_column: str | None = None) -> DataFrame:
     """Per conversation: its faults, the cheapest repair and the hash of the repaired text.
 
-    ``rows`` has conv_id, turn, role, text and, for rows that only say that
-    their conversation exists, gone.  Other columns are not read.  Null role or
+    ``rows`` has conv_id, turn, role and text; ``gone_column`` names a boolean
+    column that is true for rows that only say that their conversation exists.
+    Other columns are not read.  Null role or
     text counts as one space, a null conv_id is a conversation of its own.
     Rows go by turn (nulls first), equal turns by role and text in byte order;
     of equal rows the first is no duplicate.  A row with an empty role cannot be
@@ -300,7 +301,7 @@ def repair(rows: DataFrame) -> DataFrame:
     An empty table gives an empty table.
     """
     space = F.lit(" ")
-    gone = F.col("gone") if "gone" in rows.columns else F.lit(False)
+    gone = F.col(gone_column) if gone_column else F.lit(False)
     rows = rows.select("conv_id", gone.alias("gone"), "turn", F.coalesce("role", space).alias("role"),
                        F.coalesce("text", space).alias("text")).repartition("conv_id")
     # the window's keys hold conv_id, so it needs no second shuffle

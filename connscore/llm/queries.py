@@ -71,7 +71,7 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _repair.repair(_repair.damaged(C.table(spark, sf_dir, "conversations")))
+    return _repair.repair(_repair.damaged(C.table(spark, sf_dir, "conversations")), "gone")
 
 
 def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

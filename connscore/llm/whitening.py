@@ -35,7 +35,7 @@ SCALE, OFFSET = 64, 1_000_000
 PARTS = 32
 
 _EPS = np.finfo(float).eps
-_EDGE = float(1 << 62)
+_EDGE = float(1 << 61)
 _LOW = 40    # bits of the lower half of a wide sum
 
 
@@ -52,9 +52,8 @@ class Wide:
         return Wide(self.high + other.high + (low >> _LOW), low & ((1 << _LOW) - 1))
 
     def plus(self, block: np.ndarray) -> "Wide":
-        if block.dtype == object:
-            return self.add(Wide((block >> _LOW).astype(np.int64), (block & ((1 << _LOW) - 1)).astype(np.int64)))
-        return self.add(Wide(block >> _LOW, block & ((1 << _LOW) - 1)))
+        low = block & ((1 << _LOW) - 1)
+        return self.add(Wide(block >> _LOW, low.astype(np.int64)))    # Python numbers stay so in the upper half
 
     def whole(self) -> np.ndarray:
         return np.asarray(self.high).astype(object) * (1 << _LOW) + np.asarray(self.low).astype(object)
@@ -247,7 +246,7 @@ def whiten(vectors: DataFrame, components: int = COMPONENTS) -> DataFrame:
     Vectors of one length are whitened among themselves, so each length has
     its own fit list.  Components without variance (e at most d times the
     rounding unit of the largest) are left out, so equal vectors alone, empty
-    vectors and an empty table give no rows.  x is held at 2**62 in size, a deviation
+    vectors and an empty table give no rows.  x is held at 2**61 in size, a deviation
     beyond a long is null.  Equal rows come as often as they are there; a null
     vec_id stays null.
     """
