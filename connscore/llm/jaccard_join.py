@@ -6,14 +6,17 @@ the whole corpus, kept in hashed slots; any order gives the same links, this
 one keeps trees small).  Two sets that link share one of the first
 ``size - ceil(0.85 size) + 1`` shingles of each, so each such shingle is the
 root of a signature tree over the sets that begin with it, and no link lies
-outside the trees.
+outside the trees.  Trees with the same members (a shared passage gives one
+for each of its shingles) are one tree.
 
-Every set has a bitmap of about eight bits a shingle.  A tree's inner nodes
+Every set has a bitmap of two to four bits a shingle.  A tree's inner nodes
 hold the OR of the bitmaps below, the range of sizes and the label if there is
 only one.  A dual traversal takes pairs of nodes from the root down and leaves
 those whose sizes are too far apart, whose largest possible overlap (shared
 bits, and what bits can hide) is too small, or which are one component
-already; pairs of sets that remain are compared exactly.
+already; pairs of sets that remain are compared exactly.  A set also carries
+its first place in the order at which it meets the tree: what lies before
+cannot be shared at the pair's first common shingle, which bounds the overlap too.
 
 So that thousands of near copies do not meet pairwise, the members of a tree
 in one band of sizes are first compared with the one whose shingles are most
@@ -32,6 +35,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from connscore.llm import common as C
 from connscore.llm import words as W
@@ -41,7 +45,7 @@ from connscore.llm.components import components, thinned
 SHINGLE, PERCENT = 4, 85
 
 #: Bits of a bitmap for each shingle, most bits, children of a tree node.
-BITS, MOST_BITS, FANOUT = 8, 1 << 16, 8
+BITS, MOST_BITS, FANOUT = 2, 1 << 16, 8
 
 #: Rows of a tree that one task takes; pairs of tree nodes bounded at once.
 BLOCK, PAIRS = 2048, 512
@@ -174,21 +178,25 @@ def _bitmaps(hashes: np.ndarray, owner: np.ndarray, size: np.ndarray) -> tuple[n
 # ---- signature trees --------------------------------------------------------------------
 
 class Tree:
-    """Levels of nodes over sets of one bitmap width, leaves first; a node's children lie side by side."""
+    """Levels of nodes over sets of one bitmap width, leaves first; a node's children lie side by side.
 
-    def __init__(self, bitmap: np.ndarray, size: np.ndarray, label: np.ndarray, row: np.ndarray):
+    A node is (OR of the bitmaps, least and greatest size, label, most hidden
+    shingles, most shingles from the place on where a set meets the tree).
+    """
+
+    def __init__(self, bitmap: np.ndarray, size: np.ndarray, label: np.ndarray, reach: np.ndarray, row: np.ndarray):
         order = np.argsort(size, kind="stable")
         self.row = row[order]
         hidden = size[order] - np.bitwise_count(bitmap[order]).sum(axis=1, dtype=np.int64)
-        self.levels = [(bitmap[order], size[order], size[order], label[order], hidden)]
+        self.levels = [(bitmap[order], size[order], size[order], label[order], hidden, reach[order])]
         while len(self.levels[-1][1]) > 1:
-            bits, low, high, label, hidden = self.levels[-1]
+            bits, low, high, label, hidden, reach = self.levels[-1]
             at = np.arange(0, len(low), FANOUT)
             least, most = np.minimum.reduceat(label, at), np.maximum.reduceat(label, at)
             self.levels.append((np.bitwise_or.reduceat(bits, at, axis=0), np.minimum.reduceat(low, at),
                                 np.maximum.reduceat(high, at),
                                 np.where((least == most) & (least >= 0), least, -1),   # -1: several labels
-                                np.maximum.reduceat(hidden, at)))
+                                np.maximum.reduceat(hidden, at), np.maximum.reduceat(reach, at)))
 
     def children(self, level: int, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Children of nodes of ``level``, and which of ``nodes`` each belongs to."""
@@ -208,10 +216,11 @@ def _folded(bits: np.ndarray, words: int) -> np.ndarray:
 
 def _may_link(left: tuple, a: np.ndarray, right: tuple, b: np.ndarray) -> np.ndarray:
     """Whether some sets under the nodes a and b can link and are not one component."""
-    bits_a, low_a, high_a, label_a, hidden_a = (x[a] for x in left)
-    bits_b, low_b, high_b, label_b, hidden_b = (x[b] for x in right)
+    bits_a, low_a, high_a, label_a, hidden_a, reach_a = (x[a] for x in left)
+    bits_b, low_b, high_b, label_b, hidden_b, reach_b = (x[b] for x in right)
     near = (100 * high_a >= PERCENT * low_b) & (100 * high_b >= PERCENT * low_a)
     near &= (label_a != label_b) | (label_a < 0)
+    near &= (100 + PERCENT) * np.minimum(reach_a, reach_b) >= PERCENT * (low_a + low_b)
     at = np.flatnonzero(near)
     words = min(bits_a.shape[1], bits_b.shape[1])
     narrow_a, narrow_b = _folded(bits_a[at], words), _folded(bits_b[at], words)
@@ -259,32 +268,33 @@ def dual_traversal(left: Tree, right: Tree) -> Iterator[tuple[np.ndarray, np.nda
             work.append((i, j, a, b))
 
 
-def _trees(bitmaps: list[bytes], size: np.ndarray, label: np.ndarray, rows: np.ndarray) -> dict[int, Tree]:
+def _trees(bitmaps: list[bytes], size: np.ndarray, label: np.ndarray, reach: np.ndarray,
+           rows: np.ndarray) -> dict[int, Tree]:
     """A tree for each width of bitmap among ``rows``."""
     width = np.array([len(bitmaps[r]) for r in rows])
     out = {}
     for w in np.unique(width):
         at = rows[width == w]
         bits = np.frombuffer(b"".join(bitmaps[r] for r in at), np.uint64).reshape(len(at), w // 8)
-        out[int(w)] = Tree(bits, size[at], label[at], at)
+        out[int(w)] = Tree(bits, size[at], label[at], reach[at], at)
     return out
 
 
 def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (token, part, block, role, node, size, label, bitmap), sorted by the first three, to pairs (a, b)."""
+    """Rows (tree, part, block, role, node, size, label, reach, bitmap), sorted by the first three, to pairs (a, b)."""
     held: list[tuple] = []
 
     def pairs() -> Iterator[pa.RecordBatch]:
         roles = np.array([r[0] for r in held])
-        nodes, bitmaps = [r[1] for r in held], [r[4] for r in held]
-        size = np.array([r[2] for r in held], np.int64)
+        nodes, bitmaps = [r[1] for r in held], [r[5] for r in held]
+        size, reach = (np.array([r[k] for r in held], np.int64) for k in (2, 4))
         label = np.unique([r[3] for r in held], return_inverse=True)[1].astype(np.int64)
         if (roles == 0).all():          # a whole tree
-            trees = _trees(bitmaps, size, label, np.arange(len(held)))
+            trees = _trees(bitmaps, size, label, reach, np.arange(len(held)))
             meets = [(trees[v], trees[w]) for v in trees for w in trees if v == w or 2 * v == w]
         else:                           # members outside the main label (1) and a block of all (2)
-            left = _trees(bitmaps, size, label, np.flatnonzero(roles == 1))
-            right = _trees(bitmaps, size, label, np.flatnonzero(roles == 2))
+            left = _trees(bitmaps, size, label, reach, np.flatnonzero(roles == 1))
+            right = _trees(bitmaps, size, label, reach, np.flatnonzero(roles == 2))
             meets = [(left[v], right[w]) for v in left for w in right if v == w or 2 * v == w or v == 2 * w]
         for one, other in meets:
             for a, b in dual_traversal(one, other):
@@ -295,39 +305,68 @@ def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     now = None
     for batch in batches:
-        for token, part, block, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if (token, part, block) != now:
+        for tree, part, block, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (tree, part, block) != now:
                 if len(held) > 1:
                     yield from pairs()
-                held, now = [], (token, part, block)
+                held, now = [], (tree, part, block)
             held.append(tuple(row))
     if len(held) > 1:
         yield from pairs()
 
 
-def _unresolved(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of trees that may still link to one of another label: (token, node, size, label)."""
-    named = (rows.join(labels, "node", "left")
-             .select("token", "node", "size", "band", F.coalesce("label", "node").alias("label")))
-    cells = named.groupBy("token", "band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    around = (cells.select("token", F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])).alias("band"),
-                           "low", "high")
-              .groupBy("token", "band").agg(F.min("low").alias("low"), F.max("high").alias("high")))
-    other = (F.col("low") != F.col("label")) | (F.col("high") != F.col("label"))
-    return named.join(around, ["token", "band"]).filter(other).select("token", "node", "size", "label")
+def tree_members(nodes: DataFrame) -> DataFrame:
+    """(tree, node, size, rarity, reach): the sets of each tree of two members at least.
+
+    ``nodes``: node, size, rarity, prefix.  A shingle's rows meet once; trees
+    whose members have the same hashes are joined (should two others agree by chance,
+    theirs are one larger tree, and nothing is lost).  ``reach`` is the number of
+    shingles from the first place on at which the set meets the tree.
+    """
+    rows = nodes.select("node", F.col("size").cast("int").alias("size"), "rarity",
+                        F.posexplode("prefix").alias("place", "token"))
+    same = Window.partitionBy("token")
+    met = rows.select("*", F.count("*").over(same).alias("n"), F.bit_xor(F.xxhash64("node")).over(same).alias("h"),
+                      F.bit_xor(F.xxhash64("node", F.lit(1))).over(same).alias("g")).filter("n > 1")
+    return (met.groupBy(F.xxhash64("h", "g", "n").alias("tree"), "node", "size", "rarity")
+            .agg((F.col("size") - F.min("place")).alias("reach")))
+
+
+def _band(size: str):
+    """Sets that link are at most one band apart."""
+    return F.floor(F.log(F.col(size).cast("double")) / F.lit(-math.log(PERCENT / 100))).cast("int")
+
+
+def _unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of trees that may still link to one of another label: (tree, node, size, label, reach).
+
+    A row stays if some cell (tree, band of sizes) beside it has another label,
+    a size that the row's reach allows, and a reach that allows the row's size.
+    """
+    most = F.floor(F.col("reach") * (100 + PERCENT) / PERCENT) - F.col("size")   # greatest size that it can link to
+    named = (members.join(labels, "node", "left")
+             .select("tree", "node", "size", "band", "reach", F.coalesce("label", "node").alias("label"), most.alias("most")))
+    cells = named.groupBy("tree", "band").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.min("size").alias("least"), F.max("most").alias("widest"))
+    around = (cells.select("tree", F.explode(F.array(*[F.col("band") + k for k in (-1, 0, 1)])).alias("band"),
+                           F.struct("low", "high", "least", "widest").alias("cell"))
+              .groupBy("tree", "band").agg(F.collect_list("cell").alias("cells")))     # three at most
+    meets = F.exists("cells", lambda c: ((c["low"] != F.col("label")) | (c["high"] != F.col("label")))
+                     & (c["least"] <= F.col("most")) & (c["widest"] >= F.col("size")))
+    return named.join(around, ["tree", "band"]).filter(meets).select("tree", "node", "size", "label", "reach")
 
 
 def tree_pairs(members: DataFrame, bitmaps: DataFrame, block: int = BLOCK) -> DataFrame:
     """Distinct pairs (a, b) of nodes of different labels that the signature trees cannot rule out.
 
-    ``members``: token, node, size, label; ``bitmaps``: node, bitmap.
+    ``members``: tree, node, size, label, reach; ``bitmaps``: node, bitmap.
     """
-    by_label = members.groupBy("token", "label").agg(F.count("*").alias("n"))
-    trees = by_label.groupBy("token").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main"))
-    trees = trees.select("token", F.ceil(F.col("n") / block).cast("int").alias("blocks"),
+    by_label = members.groupBy("tree", "label").agg(F.count("*").alias("n"))
+    trees = by_label.groupBy("tree").agg(F.sum("n").alias("n"), F.max(F.struct("n", "label")).alias("main"))
+    trees = trees.select("tree", F.ceil(F.col("n") / block).cast("int").alias("blocks"),
                          F.ceil((F.col("n") - F.col("main.n")) / block).cast("int").alias("parts"),
                          F.col("main.label").alias("main"))
-    dealt = members.join(trees, "token")
+    dealt = members.join(trees, "tree")
     hashed = F.xxhash64("node")
     block_of = F.pmod(hashed, F.col("blocks")).cast("int")
     part_of = F.pmod(hashed, F.greatest("parts", F.lit(1))).cast("int")
@@ -337,10 +376,10 @@ def tree_pairs(members: DataFrame, bitmaps: DataFrame, block: int = BLOCK) -> Da
     as_part = F.transform(F.sequence(zero, F.col("blocks") - 1), lambda b: place(part_of, b, 1))
     places = (F.when((F.col("blocks") == 1) | (F.col("parts") == 0), F.array(place(zero, zero, 0)))
               .when(F.col("label") == F.col("main"), as_block).otherwise(F.concat(as_block, as_part)))
-    rows = (dealt.filter("parts > 0").select("token", "node", "size", "label", F.inline(places))
+    rows = (dealt.filter("parts > 0").select("tree", "node", "size", "label", "reach", F.inline(places))
             .join(bitmaps, "node")
-            .select("token", "part", "block", "role", "node", "size", "label", "bitmap")
-            .repartition("token", "part", "block").sortWithinPartitions("token", "part", "block"))
+            .select("tree", "part", "block", "role", "node", "size", "label", "reach", "bitmap")
+            .repartition("tree", "part", "block").sortWithinPartitions("tree", "part", "block"))
     return rows.mapInArrow(_tree_pairs, "a binary, b binary").distinct()
 
 
@@ -390,13 +429,13 @@ def verified(pairs: DataFrame, places: DataFrame, texts: DataFrame, name: str) -
 
 def _first_pairs(rows: DataFrame) -> DataFrame:
     """Each member of a tree and band beside its most common one, and these beside those of the next band."""
-    leads = rows.groupBy("token", "band").agg(F.min(F.struct("rarity", "node")).alias("lead"),
-                                              F.count("*").alias("n"))
-    leads = leads.select("token", "band", F.col("lead.node").alias("lead"), "n")
-    own = (rows.join(leads.filter("n > 1"), ["token", "band"]).filter("node <> lead")
+    leads = rows.groupBy("tree", "band").agg(F.min(F.struct("rarity", "node")).alias("lead"),
+                                             F.count("*").alias("n"))
+    leads = leads.select("tree", "band", F.col("lead.node").alias("lead"), "n")
+    own = (rows.join(leads.filter("n > 1"), ["tree", "band"]).filter("node <> lead")
            .select(F.col("lead").alias("a"), F.col("node").alias("b")))
-    above = leads.select("token", (F.col("band") - 1).alias("band"), F.col("lead").alias("b"))
-    across = leads.join(above, ["token", "band"]).filter("lead <> b").select(F.col("lead").alias("a"), "b")
+    above = leads.select("tree", (F.col("band") - 1).alias("band"), F.col("lead").alias("b"))
+    across = leads.join(above, ["tree", "band"]).filter("lead <> b").select(F.col("lead").alias("a"), "b")
     return own.union(across).distinct()
 
 
@@ -427,10 +466,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             F.min(first).alias("first"), F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
         .select("node", "doc_id", "copies", *[F.col(f"first.{c}").alias(c) for c in _PLACE]), "nodes")
     nodes = sets.join(C.sized_broadcast(places.select(*_PLACE)), _PLACE, "left_semi")
-    band = F.floor(F.log(F.col("size").cast("double")) / F.lit(-math.log(PERCENT / 100)))
-    prefixes = nodes.select(F.explode("prefix").alias("token"), "node", "size", "rarity", band.alias("band"))
-    shared = prefixes.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").select("token")
-    members = C.written(prefixes.join(shared, "token"), "trees")
+    members = C.written(tree_members(nodes).withColumn("band", _band("size")), "trees")
 
     texts = rows.select("text", *_PLACE)
     node_places = places.select("node", *_PLACE)
