@@ -10,22 +10,22 @@
 * ``threshold_table`` -- exact cumulative counts per distinct score, the
   basis of the F-measure-by-threshold curve and of the area under ROC.
   The running sum over a global order is computed without a
-  single-partition window: scores are cut into range buckets at
-  approximate quantiles, each bucket runs its own window in parallel, and a
-  small table of bucket offsets (one row per bucket) is broadcast back.
+  single-partition window: scores are cut into range blocks whose number
+  follows the number of distinct scores (``ranking.running_sums``).
+* ``ThresholdCurve`` -- one written threshold table for the curve, the best
+  F-measure, the area under ROC and the summary, removed when it is closed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from connscore.functions.ratios import f_measure, ratio
-from connscore.operators.prepare import materialize
-from connscore.session import default_parallelism
+from connscore.operators.ranking import running_sums
+from connscore.sources.scratch import scratch_scope, scratch_table
 
 
 def _pair_cols(label_col: str, prediction_col: str) -> tuple[Column, Column]:
@@ -34,8 +34,12 @@ def _pair_cols(label_col: str, prediction_col: str) -> tuple[Column, Column]:
 
 def confusion_counts(df: DataFrame, label_col: str = "label",
                      prediction_col: str = "prediction",
-                     mode: str = "binary") -> DataFrame:
+                     mode: str = "binary", rows: Column | None = None,
+                     extra: Sequence[Column] = ()) -> DataFrame:
+    """tp, tn, fp, fn, n, n_mismatch of the rows (of those that ``rows`` holds for), beside ``extra`` aggregates."""
     v, p = _pair_cols(label_col, prediction_col)
+    if rows is not None:
+        v, p = F.when(rows, v), F.when(rows, p)
     if mode == "binary":
         v_pos, p_pos = v == 1.0, p == 1.0
     elif mode == "collapsed":
@@ -48,9 +52,10 @@ def confusion_counts(df: DataFrame, label_col: str = "label",
         F.count_if(v_neg & p_neg).alias("tn"),
         F.count_if(v_neg & p_pos).alias("fp"),
         F.count_if(v_pos & p_neg).alias("fn"),
-        F.count(F.lit(1)).alias("n"),
+        (F.count(F.lit(1)) if rows is None else F.count_if(rows)).alias("n"),
         # a row without a prediction or label is an error, not a hit
         F.count_if(~v.eqNullSafe(p)).alias("n_mismatch"),
+        *extra,
     )
 
 
@@ -110,57 +115,15 @@ def per_class_metrics(df: DataFrame, label_col: str = "label",
 
 
 def running_totals(df: DataFrame, key: str, value_cols: Sequence[str],
-                   descending: bool = False, n_buckets: int | None = None,
-                   rel_error: float | None = None) -> DataFrame:
+                   descending: bool = False, n_buckets: int | None = None) -> DataFrame:
     """Exact inclusive running sums of ``value_cols`` in the order of ``key``.
 
     ``df`` must hold one row per distinct key.  Adds ``cum_<v>`` (sum over
-    rows at or before this key) and ``total_<v>`` (grand total).
-
-    Scale plan: approximate quantiles of the key cut it into ~n_buckets
-    ranges (the quantile job returns n_buckets-1 numbers to the driver);
-    every bucket runs a window independently; bucket totals (n_buckets
-    rows) get an exclusive prefix sum and are broadcast back.  Because the
-    keys are distinct, no bucket can hold a hot group.
+    rows at or before this key) and ``total_<v>`` (grand total).  The number of
+    range blocks follows the number of rows unless ``n_buckets`` sets it.
     """
-    spark = df.sparkSession
-    n_buckets = n_buckets or max(2, default_parallelism(spark))
-    # quantile error well below one bucket width keeps bucket sizes even
-    rel_error = rel_error if rel_error is not None else min(1e-3, 0.25 / n_buckets)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    keyed = df.withColumn("__k", F.col(key).cast("double"))
-    cuts = sorted(set(keyed.approxQuantile("__k", probs, rel_error))) if probs else []
-    inner = [c for c in cuts if c not in (float("-inf"), float("inf"))]
-    if inner:
-        b = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol="__k",
-                       outputCol="__b", handleInvalid="keep").transform(keyed)
-    else:
-        b = keyed.withColumn("__b", F.lit(0.0))
-    if descending:
-        b = b.withColumn("__b", -F.col("__b"))
-        order = F.col(key).desc()
-    else:
-        order = F.col(key).asc()
-    w_in = (Window.partitionBy("__b").orderBy(order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    within = b.select(*df.columns, "__b",
-                      *[F.sum(v).over(w_in).alias(f"__in_{v}") for v in value_cols])
-    totals = b.groupBy("__b").agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols])
-    w_prev = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy()
-    offsets = totals.select(
-        "__b",
-        *[F.coalesce(F.sum(f"__t_{v}").over(w_prev), F.lit(0)).alias(f"__o_{v}")
-          for v in value_cols],
-        *[F.sum(f"__t_{v}").over(w_all).alias(f"total_{v}") for v in value_cols],
-    )
-    # offsets has one row per bucket (bounded by n_buckets): safe to broadcast
-    joined = within.join(F.broadcast(offsets), "__b")
-    return joined.select(
-        *df.columns,
-        *[(F.col(f"__in_{v}") + F.col(f"__o_{v}")).alias(f"cum_{v}") for v in value_cols],
-        *[F.col(f"total_{v}") for v in value_cols],
-    )
+    order = F.col(key).desc() if descending else F.col(key).asc()
+    return running_sums(df, [order], value_cols, n_buckets)
 
 
 def threshold_table(df: DataFrame, score_col: str, label_col: str = "label",
@@ -169,22 +132,17 @@ def threshold_table(df: DataFrame, score_col: str, label_col: str = "label",
 
     A row is positive when its label > 0.5.  Scores are first reduced to one
     row per distinct value (partial aggregation), so repeated scores never
-    form a hot group downstream; that table is checkpointed once.
+    form a hot group downstream; that table is written once.
     """
     lab = F.col(label_col).cast("double")
     # rows without a score take no part in the curve or its totals
     g = (df.filter(F.col(score_col).isNotNull())
          .groupBy(F.col(score_col).cast("double").alias("threshold"))
          .agg(F.count_if(lab > 0.5).alias("pos"), F.count_if(lab <= 0.5).alias("neg")))
-    # the quantile job and both window branches read the distinct-score
-    # table: compute it once and checkpoint it instead of rescanning the input
-    return running_totals(materialize(g), "threshold", ["pos", "neg"], descending=True,
-                          n_buckets=n_buckets)
+    return running_totals(g, "threshold", ["pos", "neg"], descending=True, n_buckets=n_buckets)
 
 
-def f_measure_by_threshold(df: DataFrame, score_col: str, label_col: str = "label",
-                           n_buckets: int | None = None) -> DataFrame:
-    t = threshold_table(df, score_col, label_col, n_buckets)
+def _curve(t: DataFrame) -> DataFrame:
     precision = ratio("cum_pos", F.col("cum_pos") + F.col("cum_neg"))
     recall = ratio("cum_pos", "total_pos")
     return t.select(
@@ -196,39 +154,13 @@ def f_measure_by_threshold(df: DataFrame, score_col: str, label_col: str = "labe
     ).withColumn("f_measure", f_measure("precision", "recall"))
 
 
-def best_f_measure(curve: DataFrame) -> DataFrame:
-    """Largest F-measure and its threshold (ties -> larger threshold)."""
-    best = curve.agg(F.max(F.struct("f_measure", "threshold")).alias("b"))
-    return best.select(F.col("b.threshold").alias("threshold"),
-                       F.col("b.f_measure").alias("f_measure"))
-
-
-def area_under_roc(df: DataFrame, score_col: str, label_col: str = "label",
-                   n_buckets: int | None = None) -> DataFrame:
-    """Exact area under the ROC curve (ties count one half).
+def _summary(t: DataFrame) -> DataFrame:
+    """n_pos, n_neg, auc, best_threshold, best_f_measure of a threshold table, one row.
 
     AUC = sum over scores s of pos(s) * (negatives below s + neg(s)/2) / (P*N),
-    with negatives below s = N - (negatives at or above s).
+    with negatives below s = N - (negatives at or above s); ties count one half.
     """
-    t = threshold_table(df, score_col, label_col, n_buckets)
-    below = F.col("total_neg") - F.col("cum_neg")
-    contrib = F.col("pos").cast("double") * (below + F.col("neg") / F.lit(2.0))
-    agg = t.agg(F.sum(contrib).alias("s"), F.max("total_pos").alias("n_pos"),
-                F.max("total_neg").alias("n_neg"))
-    return agg.select(
-        F.col("n_pos").cast("long").alias("n_pos"),
-        F.col("n_neg").cast("long").alias("n_neg"),
-        F.try_divide(F.col("s"), F.col("n_pos").cast("double") * F.col("n_neg")).alias("auc"),
-    )
-
-
-def threshold_summary(df: DataFrame, score_col: str, label_col: str = "label",
-                      n_buckets: int | None = None) -> DataFrame:
-    """AUC and the best F-measure threshold from one threshold table, one row."""
-    t = threshold_table(df, score_col, label_col, n_buckets)
-    precision = ratio("cum_pos", F.col("cum_pos") + F.col("cum_neg"))
-    recall = ratio("cum_pos", "total_pos")
-    f = f_measure(precision, recall)
+    f = f_measure(ratio("cum_pos", F.col("cum_pos") + F.col("cum_neg")), ratio("cum_pos", "total_pos"))
     below = F.col("total_neg") - F.col("cum_neg")
     contrib = F.col("pos").cast("double") * (below + F.col("neg") / F.lit(2.0))
     agg = t.agg(F.sum(contrib).alias("s"), F.max("total_pos").alias("n_pos"),
@@ -241,3 +173,95 @@ def threshold_summary(df: DataFrame, score_col: str, label_col: str = "label",
         F.col("best.threshold").alias("best_threshold"),
         F.col("best.f_measure").alias("best_f_measure"),
     )
+
+
+class ThresholdCurve:
+    """One threshold table, written once, for every figure that is read from it.
+
+    ``with ThresholdCurve(df, "score") as c: c.curve(); c.best(); c.auc(); c.summary()``.
+    Leaving the block removes all tables that it has written, so rows of ``curve``
+    have to be read inside; the one-row results hold their values and stay.
+    ``n_unscored`` rows have no score and take no part.
+    """
+
+    def __init__(self, df: DataFrame, score_col: str, label_col: str = "label", n_buckets: int | None = None):
+        self._df, self._args = df, (score_col, label_col, n_buckets)
+        self._scope = scratch_scope(df.sparkSession)
+
+    def __enter__(self) -> "ThresholdCurve":
+        self._scope.__enter__()
+        self.table = scratch_table(threshold_table(self._df, *self._args), "thresholds")
+        return self
+
+    def __exit__(self, *error) -> None:
+        self._scope.__exit__(*error)
+
+    def _held(self, one_row: DataFrame) -> DataFrame:
+        return one_row.sparkSession.createDataFrame(one_row.collect(), one_row.schema)
+
+    def curve(self) -> DataFrame:
+        return _curve(self.table)
+
+    def best(self) -> DataFrame:
+        return self._held(best_f_measure(self.curve()))
+
+    def summary(self) -> DataFrame:
+        unscored = self._df.filter(F.col(self._args[0]).isNull()).count()
+        return self._held(_summary(self.table).withColumn("n_unscored", F.lit(unscored).cast("long")))
+
+    def auc(self) -> DataFrame:
+        return self._held(_summary(self.table).select("n_pos", "n_neg", "auc"))
+
+
+def f_measure_by_threshold(df: DataFrame, score_col: str, label_col: str = "label",
+                           n_buckets: int | None = None) -> DataFrame:
+    """The whole curve; its table stays until ``release_scratch``, as the rows are read later."""
+    return _curve(threshold_table(df, score_col, label_col, n_buckets))
+
+
+def best_f_measure(curve: DataFrame) -> DataFrame:
+    """Largest F-measure and its threshold (ties -> larger threshold)."""
+    best = curve.agg(F.max(F.struct("f_measure", "threshold")).alias("b"))
+    return best.select(F.col("b.threshold").alias("threshold"),
+                       F.col("b.f_measure").alias("f_measure"))
+
+
+def best_threshold(df: DataFrame, score_col: str, label_col: str = "label") -> DataFrame:
+    """(threshold, f_measure) of the largest F-measure, one row; leaves no table behind."""
+    with ThresholdCurve(df, score_col, label_col) as c:
+        return c.best()
+
+
+def area_under_roc(df: DataFrame, score_col: str, label_col: str = "label",
+                   n_buckets: int | None = None) -> DataFrame:
+    """Exact area under the ROC curve (ties count one half), one row; leaves no table behind."""
+    with ThresholdCurve(df, score_col, label_col, n_buckets) as c:
+        return c.auc()
+
+
+def area_under_roc_by(df: DataFrame, group: str, score_col: str, label_col: str = "label") -> DataFrame:
+    """(group, n_pos, n_neg, auc): the exact area under the curve of every group, in one pass for all.
+
+    The running sums go over all groups in order; what a group's own sums lack
+    is the negatives of its own before, so the sum up to its first score is taken off.
+    """
+    lab = F.col(label_col).cast("double")
+    with scratch_scope(df.sparkSession):
+        g = (df.filter(F.col(score_col).isNotNull()).groupBy(group, F.col(score_col).cast("double").alias("threshold"))
+             .agg(F.count_if(lab > 0.5).alias("pos"), F.count_if(lab <= 0.5).alias("neg")))
+        t = running_sums(g, [F.col(group).asc_nulls_first(), F.col("threshold").desc()], ["neg"])
+        # sum of pos * (negatives of the group at or above, less half of those that tie)
+        sums = t.groupBy(group).agg(
+            F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / F.lit(2.0))).alias("above"),
+            F.min(F.col("cum_neg") - F.col("neg")).alias("before"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
+        wrong = F.col("above") - F.col("n_pos").cast("double") * F.col("before")
+        out = sums.select(group, F.col("n_pos").cast("long").alias("n_pos"), F.col("n_neg").cast("long").alias("n_neg"),
+                          (F.lit(1.0) - F.try_divide(wrong, F.col("n_pos").cast("double") * F.col("n_neg"))).alias("auc"))
+        return df.sparkSession.createDataFrame(out.collect(), out.schema)    # one row a group
+
+
+def threshold_summary(df: DataFrame, score_col: str, label_col: str = "label",
+                      n_buckets: int | None = None) -> DataFrame:
+    """AUC, best F-measure threshold and rows without a score from one threshold table, one row."""
+    with ThresholdCurve(df, score_col, label_col, n_buckets) as c:
+        return c.summary()
