@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,6 +134,64 @@ def assign_nearest(df: DataFrame, features_col: str, center_ids: Sequence[int],
     return out.drop("__feats") if feats_col == "__feats" else out
 
 
+def _two_nearest_batches(features_col: str, center_ids: Sequence[int], centers: Sequence[Sequence[float]]):
+    """Per Arrow batch: nearest centre (ties to the smaller id), squared distance to it and to the next centre."""
+    import numpy as np
+
+    cent = np.asarray(centers, dtype=np.float64)
+    cid = np.asarray(center_ids, dtype=np.int32)
+    chunk = max(1, 2_000_000 // max(1, len(cent)))
+
+    def run(batches):
+        for pdf in batches:
+            feats = pdf[features_col]
+            valid = feats.notna().to_numpy()
+            pred, near, far = (np.zeros(len(pdf), t) for t in (np.int32, np.float64, np.float64))
+            if valid.any():
+                x = np.stack(feats[valid].to_numpy()).astype(np.float64)
+                found = []
+                for s in range(0, len(x), chunk):
+                    acc = np.zeros((len(x[s:s + chunk]), len(cent)))
+                    for j in range(cent.shape[1]):
+                        diff = x[s:s + chunk, j:j + 1] - cent[None, :, j]
+                        acc = acc + diff * diff
+                    b, rows = acc.argmin(axis=1), np.arange(len(acc))
+                    least = acc[rows, b]
+                    acc[rows, b] = np.inf
+                    found.append((cid[b], least, acc.min(axis=1)))
+                pred[valid], near[valid], far[valid] = (np.concatenate(c) for c in zip(*found))
+            out = pdf.assign(prediction=pred, distance=near, next_distance=far)
+            if not valid.all():
+                out["prediction"] = out["prediction"].astype("Int32").where(valid)
+                out["distance"], out["next_distance"] = out["distance"].where(valid), out["next_distance"].where(valid)
+            yield out
+
+    return run
+
+
+def assign_two_nearest(df: DataFrame, features_col: str, center_ids: Sequence[int],
+                       centers: Sequence[Sequence[float]]) -> DataFrame:
+    """``df`` with prediction, distance and next_distance (squared, to the second nearest centre; infinite if k is 1)."""
+    schema = (T.StructType(list(df.schema.fields)).add("prediction", T.IntegerType(), True)
+              .add("distance", T.DoubleType(), True).add("next_distance", T.DoubleType(), True))
+    return df.mapInPandas(_two_nearest_batches(features_col, center_ids, centers), schema)
+
+
+def cluster_quality(assigned: DataFrame) -> DataFrame:
+    """(cost, silhouette) of rows with distance and next_distance, in one aggregate.
+
+    The simplified silhouette of a row is (b - a) / b for its distances a and b
+    to the nearest and the next centre: 1 on a centre, 0 half way, and without
+    the pairwise distances of rows.  One centre has no silhouette, which is
+    given as 0; a row on two centres at once counts 0.
+    """
+    a, b = F.sqrt("distance"), F.sqrt("next_distance")
+    inside = (F.when(F.col("next_distance") == 0, F.lit(0.0))
+              .when(F.col("next_distance") == float("inf"), F.lit(0.0)).otherwise((b - a) / b))
+    return assigned.agg(F.coalesce(F.sum("distance"), F.lit(0.0)).alias("cost"),
+                        F.avg(F.when(F.col("distance").isNotNull(), inside)).alias("silhouette"))
+
+
 def clustering_cost(assigned: DataFrame, distance_col: str = "distance") -> DataFrame:
     """Sum of squared distances to the nearest centre (one row)."""
     return assigned.agg(F.sum(distance_col).alias("cost"))
@@ -155,12 +213,35 @@ def cluster_majority(assigned: DataFrame, cluster_col: str = "prediction",
     the rows reaches the shuffle as one partial row per partition; the
     second aggregate sees at most clusters x labels rows.
     """
-    counts = cluster_label_counts(assigned, cluster_col, label_col)
+    return majority_of_counts(cluster_label_counts(assigned, cluster_col, label_col))
+
+
+def majority_of_counts(counts: DataFrame) -> DataFrame:
+    """(prediction, label): the label with most rows per cluster; ``counts`` has prediction, label, n."""
     return (counts.groupBy("prediction")
             .agg(F.max(F.struct("n", "label")).alias("best"))
             .select("prediction", F.col("best.label").alias("label")))
 
 
+def keep_label_counts(assigned: DataFrame, path: str, batch: str, cluster_col: str = "prediction",
+                      label_col: str = "label") -> str:
+    """Keep the (cluster, label) counts of one batch of scored rows in the counts table at ``path``.
+
+    A batch has a folder of its own, so keeping it again after a failure
+    replaces it, and the rows of earlier batches are never scored again.
+    """
+    if not batch or not all(c.isalnum() or c in "-_." for c in batch):
+        raise ValueError("a batch name consists of letters, digits, '-', '_' and '.'")
+    cluster_label_counts(assigned, cluster_col, label_col).write.mode("overwrite").parquet(f"{path}/batch={batch}")
+    return path
+
+
+def kept_label_counts(spark: SparkSession, path: str, label_type: str = "double") -> DataFrame:
+    """(prediction, label, n) over all batches kept at ``path``."""
+    kept = spark.read.schema(f"prediction int, label {label_type}, n long").parquet(path)
+    return kept.groupBy("prediction", "label").agg(F.sum("n").alias("n"))
+
+
 def _dictionary_side(dictionary: DataFrame, max_rows: int | None) -> DataFrame:
     if max_rows is not None and max_rows <= BROADCAST_DICT_ROWS:
         return F.broadcast(dictionary)
@@ -174,14 +255,18 @@ def join_cluster_labels(scored: DataFrame, dictionary: DataFrame,
     """Scored rows x dictionary on cluster id -> (keep..., actual_label, label).
 
     ``max_dictionary_rows`` is the known bound on dictionary size (the number
-    of clusters); only with such a bound is the dictionary broadcast.
+    of clusters); only with such a bound is the dictionary broadcast.  With
+    ``how="left"`` every row stays, and ``__covered`` says whether its cluster has an entry.
     """
     s = scored.select(*keep, F.col(actual_col).alias("actual_label"),
                       F.col(cluster_col).alias("__cid"))
-    d = _dictionary_side(dictionary.select(F.col("prediction").alias("__cid"),
-                                           F.col("label").alias("label")),
-                         max_dictionary_rows)
-    return s.join(d, "__cid", how).drop("__cid")
+    d = dictionary.select(F.col("prediction").alias("__cid"), F.col("label").alias("label"))
+    if how == "left":   # which rows found an entry, beside those whose entry has a null label
+        d = d.withColumn("__found", F.lit(True))
+    joined = s.join(_dictionary_side(d, max_dictionary_rows), "__cid", how).drop("__cid")
+    if how == "left":
+        return joined.withColumn("__covered", F.coalesce("__found", F.lit(False))).drop("__found")
+    return joined
 
 
 def uncovered_rows(scored: DataFrame, dictionary: DataFrame,

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from connscore.functions.vectors import argmax_index, linear_margin, sigmoid
 from connscore.operators.features import assembler, scaler
 from connscore.operators.labels import category_indexers
+from connscore.operators.prepare import Spread, spread_input
 
 
 # Instances are stacked into blocks of up to this size for the block-based
@@ -231,6 +232,89 @@ def linear_score(model: PipelineModel, df: DataFrame,
                            .otherwise(F.lit(0.0))))
 
 
+#: Feature name of a class's constant term in a weight table.
+INTERCEPT = "(intercept)"
+
+
+def _ovr_parts(model: PipelineModel):
+    """(input cols, weights per class, intercept per class) in units of the raw columns, or None.
+
+    Recognises [VectorAssembler, StandardScalerModel, OneVsRestModel of
+    logistic regressions]; the scaler is folded into the weights.
+    """
+    from pyspark.ml.classification import LogisticRegressionModel, OneVsRestModel
+    from pyspark.ml.feature import StandardScalerModel, VectorAssembler
+
+    st = model.stages
+    if (len(st) != 3 or not isinstance(st[0], VectorAssembler) or not isinstance(st[1], StandardScalerModel)
+            or not isinstance(st[2], OneVsRestModel)
+            or not all(isinstance(m, LogisticRegressionModel) for m in st[2].models)):
+        return None
+    cols = st[0].getInputCols()
+    mean = st[1].mean.toArray() if st[1].getWithMean() else [0.0] * len(cols)
+    scale = [(0.0 if s == 0 else 1.0 / s) if st[1].getWithStd() else 1.0 for s in st[1].std.toArray()]
+    weights, intercepts = [], []
+    for m in st[2].models:
+        raw = [float(w) * float(f) for w, f in zip(m.coefficients.toArray(), scale)]
+        weights.append(raw)
+        intercepts.append(float(m.intercept) - sum(w * float(c) for w, c in zip(raw, mean)))
+    return cols, weights, intercepts
+
+
+def one_vs_rest_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """(class, position, feature, weight): a fitted one-vs-rest pipeline as a table, a margin a class.
+
+    A class's margin is the sum of weight * column over its rows, its
+    ``(intercept)`` row (position -1) taken with 1.  The table has classes x
+    (features + 1) rows and can be saved, read and compared like any other.
+    """
+    parts = _ovr_parts(model)
+    if parts is None:
+        raise ValueError("not a scaler and one-vs-rest pipeline of logistic regressions")
+    cols, weights, intercepts = parts
+    rows = [(k, i, c, w) for k, per_class in enumerate(weights) for i, (c, w) in enumerate(zip(cols, per_class))]
+    rows += [(k, -1, INTERCEPT, b) for k, b in enumerate(intercepts)]
+    return spark.createDataFrame(rows, "class int, position int, feature string, weight double")
+
+
+def score_one_vs_rest_table(df: DataFrame, table: DataFrame, margins: bool = False) -> DataFrame:
+    """``df`` with prediction (largest margin, ties to the lower class) and max_margin from a weight table.
+
+    The table is a model's parameters; it becomes expressions, so rows are
+    scored where they lie, in one pass for all classes and inside generated code.
+    A row without one of the columns' values has no prediction.
+    ``margins`` adds margin_<class>.
+    """
+    weights: dict[int, dict] = {}
+    for r in table.collect():
+        weights.setdefault(r["class"], {})[r["position"]] = (r["feature"], r["weight"])
+    classes = sorted(weights)
+    per_class = []
+    for k in classes:
+        terms = sorted((p, f, w) for p, (f, w) in weights[k].items() if p >= 0)
+        per_class.append(linear_margin([F.col(f"`{f}`") for _, f, _ in terms], [w for _, _, w in terms],
+                                       weights[k].get(-1, (INTERCEPT, 0.0))[1]))
+    out = df.select("*", *[m.alias(f"__margin_{k}") for k, m in zip(classes, per_class)])
+    named = [F.col(f"__margin_{k}") for k in classes]
+    best = F.greatest(*named) if len(named) > 1 else named[0]
+    prediction = F.lit(None).cast("double")
+    for k, m in reversed(list(zip(classes, named))):
+        prediction = F.when(m == best, F.lit(float(k))).otherwise(prediction)
+    complete = F.lit(True)
+    for m in named:
+        complete = complete & m.isNotNull()
+    return out.select(*[F.col(f"`{c}`") for c in df.columns], F.when(complete, prediction).alias("prediction"),
+                      F.when(complete, best).alias("max_margin"),
+                      *([m.alias(f"margin_{k}") for k, m in zip(classes, named)] if margins else []))
+
+
+def one_vs_rest_score(model: PipelineModel, df: DataFrame) -> DataFrame | None:
+    """A fitted one-vs-rest pipeline scored by expressions; None when the pipeline has another shape."""
+    if _ovr_parts(model) is None:
+        return None
+    return score_one_vs_rest_table(df, one_vs_rest_table(df.sparkSession, model))
+
+
 def prediction_only(model: PipelineModel) -> PipelineModel:
     """The same pipeline, with a probabilistic classifier told to compute
     only ``prediction`` (no raw-prediction or probability vectors per row)."""
@@ -246,11 +330,13 @@ def prediction_only(model: PipelineModel) -> PipelineModel:
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """``prediction`` (and ``score`` for linear models) for every row.
 
-    Linear pipelines are evaluated as codegen expressions; other classifiers
-    compute only the prediction column.
+    Binary and one-vs-rest linear pipelines are evaluated as codegen
+    expressions; other classifiers compute only the prediction column.
     """
-    fast = linear_score(model, df)
-    return fast if fast is not None else prediction_only(model).transform(df)
+    for fast in (linear_score(model, df), one_vs_rest_score(model, df)):
+        if fast is not None:
+            return fast
+    return prediction_only(model).transform(df)
 
 
 # ---- fitting with one cached copy of the estimator's input -------------------------
@@ -266,22 +352,22 @@ def estimator_columns(est, extra: Sequence[str] = ()) -> list[str]:
     return list(dict.fromkeys([*cols, *extra]))
 
 
-def fit_pipeline(pipeline: Pipeline, df: DataFrame, cache_input: bool = True) -> PipelineModel:
+def fit_pipeline(pipeline: Pipeline, df: DataFrame, cache_input: bool = True,
+                 spread: Spread | None = None) -> PipelineModel:
     """Fit feature stages, then the final estimator on a cached, narrow input.
 
     Estimators such as logistic regression and k-means cache their own copy
     of any uncached input.  Caching exactly the frame they read (features and
     label, after the feature stages) means one cached copy instead of two.
     Trees bin and cache their input themselves: use ``cache_input=False``.
-    A narrow input is spread over the cluster first (see ``prepare``).
+    A narrow input is spread over the cluster first if the caller says how
+    (see ``prepare``).
     """
     from pyspark import StorageLevel
 
-    from connscore.operators.prepare import spread_input
-
     stages = pipeline.getStages()
     est = stages[-1]
-    with spread_input(df) as src:
+    with spread_input(df, spread) as src:
         prefix = Pipeline(stages=stages[:-1]).fit(src.df)
         feats = prefix.transform(src.df).select(*estimator_columns(est))
         if not cache_input:

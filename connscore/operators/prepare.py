@@ -4,18 +4,24 @@ Iterative estimators (logistic regression, k-means, trees) pass over their
 input once per iteration or level.  Two things decide their speed:
 
 * parallelism -- a narrow input (few files / row groups) gives few scan
-  tasks, and every later pass inherits that.  The input is spread over the
-  cluster only when it has fewer partitions than the default parallelism;
-  a wide scan (the normal case on large data) is left untouched, so no
-  shuffle is added there.
+  tasks, and every later pass inherits that.  The caller, who knows the size,
+  gives a ``Spread``: so many partitions, dealt by these keys and sorted by
+  them inside.  Without one the input's own partitions stay (the normal case
+  on large data: no shuffle is added).
 * reuse -- the prepared input is persisted with MEMORY_AND_DISK: a lost
   executor's blocks are recomputed from the scan lineage, and partitions
   that do not fit in memory spill to local disk instead of failing.
+
+Estimators that draw from their input partition by partition (k-means) follow
+the partitioning.  A ``Spread`` fixes it, rows in order, whatever the number of
+cores or shuffle partitions, so a fit can be repeated elsewhere.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
@@ -23,27 +29,28 @@ from pyspark.sql import DataFrame
 from connscore.session import checkpoint_root
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """``df`` repartitioned to the default parallelism when it is narrower.
+@dataclass(frozen=True)
+class Spread:
+    """Number of partitions and the key columns that rows are dealt and sorted by.
 
-    When the partition count cannot be read (no RDD view, e.g. a remote
-    session), the input is treated as wide and left as it is.
+    The keys must be columns of the input; with keys that name a row, a
+    partition holds the same rows in the same order every time.
     """
-    try:
-        n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view of this DataFrame
-        return df
-    if current < n:
-        return df.repartition(n)
-    return df
+    partitions: int
+    keys: tuple[str, ...]
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        return df.repartition(self.partitions, *self.keys).sortWithinPartitions(*self.keys)
+
+
+def spread_by_rows(rows: int, keys: tuple[str, ...], rows_per_partition: int = 100_000) -> Spread:
+    """A spread whose number of partitions follows the number of rows."""
+    return Spread(max(8, -(-rows // rows_per_partition)), tuple(keys))
 
 
 @contextmanager
-def persisted(df: DataFrame, min_partitions: int | None = None,
-              spread: bool = True):
-    prepared = ensure_parallelism(df, min_partitions) if spread else df
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+def persisted(df: DataFrame, spread: Spread | None = None) -> Iterator[DataFrame]:
+    prepared = (spread.apply(df) if spread else df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield prepared
     finally:
@@ -62,18 +69,15 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 @contextmanager
-def spread_input(df: DataFrame, min_partitions: int | None = None):
-    """Yield ``df`` spread over the cluster when it is narrow.
-
-    A narrow input (fewer partitions than the default parallelism) is small
-    by construction, so its spread copy is cached while the caller reads it
-    more than once (feature-stage fit, then feature caching); a wide input is
-    yielded unchanged and never cached here.  The copy is dropped when the
-    block exits, or earlier through ``release()`` on the yielded handle.
+def spread_input(df: DataFrame, spread: Spread | None = None) -> Iterator["_Handle"]:
+    """Yield a handle on ``df``, spread when the caller asks for it.
+
+    A spread copy is cached while the caller reads it more than once
+    (feature-stage fit, then feature caching); an input that stays as it is is
+    never cached here.  The copy is dropped when the block exits, or earlier
+    through ``release()`` on the handle.
     """
-    spread = ensure_parallelism(df, min_partitions)
-    narrow = spread is not df
-    handle = _Handle(spread.persist(StorageLevel.MEMORY_AND_DISK) if narrow else spread, narrow)
+    handle = _Handle(spread.apply(df).persist(StorageLevel.MEMORY_AND_DISK) if spread else df, spread is not None)
     try:
         yield handle
     finally:

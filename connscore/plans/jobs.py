@@ -20,14 +20,30 @@ from connscore.operators import clusters as C
 from connscore.operators import metrics as M
 from connscore.operators import models as MD
 from connscore.operators import profile as PR
-from connscore.operators.sweeps import k_values, select_min, sweep_fits
+from connscore.operators.prepare import Spread
+from connscore.operators.sweeps import k_values, select_best, sweep_fits
 from connscore.plans.roles import Roles
-from connscore.sources.cluster_dict import read_cluster_dict, write_cluster_dict
+from connscore.sources.cluster_dict import checked_cluster_dict, read_cluster_dict, write_cluster_dict
 from connscore.sources.model_store import load_pipeline, save_model
 
 
 # Fits persist only the columns they read (features and label), so the
-# spread/cache step moves and stores as little as possible.
+# spread/cache step moves and stores as little as possible.  ``spread`` says
+# how a narrow input is dealt first; without it the input's partitions stay.
+
+def _training_rows(df: DataFrame, cols, spread: Spread | None) -> DataFrame:
+    """The columns of a fit, of rows that have a label, and what they are dealt by.
+
+    Every classifier job leaves rows without a label out of the fit in this one
+    place; ``unlabelled_rows`` counts them.
+    """
+    keys = [k for k in (spread.keys if spread else ()) if k not in cols and k != "label"]
+    return df.filter(F.col("label").isNotNull()).select(*cols, "label", *keys)
+
+
+def unlabelled_rows(records: DataFrame, roles: Roles) -> DataFrame:
+    """(n, n_unlabelled): rows, and those that no fit takes because their label is null."""
+    return records.agg(F.count("*").alias("n"), F.count_if(F.col(roles.label).isNull()).alias("n_unlabelled"))
 
 # ---- labels ------------------------------------------------------------------------
 
@@ -61,11 +77,12 @@ def categorical_values(records: DataFrame, roles: Roles) -> DataFrame:
 # ---- binary logistic regression ----------------------------------------------------
 
 def logreg_binary_train(records: DataFrame, roles: Roles, path: str,
-                        reg_param: float = 0.01, max_iter: int = 20) -> PipelineModel:
-    train = with_binary_target(records, roles).filter(F.col("label").isNotNull())
+                        reg_param: float = 0.01, max_iter: int = 20,
+                        spread: Spread | None = None) -> PipelineModel:
+    train = with_binary_target(records, roles)
     model = MD.fit_pipeline(MD.logistic_pipeline(list(roles.numeric), reg_param=reg_param,
                                                  max_iter=max_iter),
-                            train.select(*roles.numeric, "label"))
+                            _training_rows(train, roles.numeric, spread), spread=spread)
     save_model(model, path)
     return model
 
@@ -88,33 +105,38 @@ def training_summary(model: PipelineModel, records: DataFrame, roles: Roles) ->
 
 def logreg_multiclass_train(records: DataFrame, roles: Roles, path: str,
                             reg_param: float = 0.01, max_iter: int = 10,
-                            parallelism: int = 1) -> PipelineModel:
+                            parallelism: int = 1, spread: Spread | None = None) -> PipelineModel:
     train = with_class_target(records, roles)
     model = MD.fit_pipeline(MD.one_vs_rest_pipeline(list(roles.numeric), reg_param=reg_param,
                                                     max_iter=max_iter, parallelism=parallelism),
-                            train.select(*roles.numeric, "label"))
+                            _training_rows(train, roles.numeric, spread), spread=spread)
     save_model(model, path)
     return model
 
 
 def logreg_multiclass_test(spark: SparkSession, records: DataFrame, roles: Roles,
                            path: str) -> DataFrame:
-    scored = load_pipeline(path).transform(with_class_target(records, roles))
+    scored = MD.score(load_pipeline(path), with_class_target(records, roles))
     return M.collapsed_metrics(scored)
 
 
+def logreg_multiclass_table(spark: SparkSession, path: str) -> DataFrame:
+    """(class, position, feature, weight) of a saved one-vs-rest model."""
+    return MD.one_vs_rest_table(spark, load_pipeline(path))
+
+
 def multiclass_per_class_test(spark: SparkSession, records: DataFrame, roles: Roles,
                               path: str) -> DataFrame:
     """Per-class precision / recall / F1 of a saved multi-class model
     (one-vs-rest or multiClass tree) on class-index labels."""
-    scored = load_pipeline(path).transform(with_class_target(records, roles))
+    scored = MD.score(load_pipeline(path), with_class_target(records, roles))
     return M.per_class_metrics(scored)
 
 
 # ---- decision tree ------------------------------------------------------------------
 
 def tree_train(records: DataFrame, roles: Roles, path: str, mode: str = "binary",
-               max_depth: int = 4, max_bins: int = 100) -> PipelineModel:
+               max_depth: int = 4, max_bins: int = 100, spread: Spread | None = None) -> PipelineModel:
     if mode == "binary":
         train = with_binary_target(records, roles)
     elif mode == "multiClass":
@@ -125,7 +147,8 @@ def tree_train(records: DataFrame, roles: Roles, path: str, mode: str = "binary"
     # trees bin and cache their input themselves: spread only, no extra copy
     model = MD.fit_pipeline(MD.tree_pipeline(list(roles.feature_order), roles.vocabularies,
                                              max_depth=max_depth, max_bins=max_bins),
-                            train.select(*roles.feature_order, "label"), cache_input=False)
+                            _training_rows(train, roles.feature_order, spread), cache_input=False,
+                            spread=spread)
     save_model(model, path)
     return model
 
@@ -155,11 +178,14 @@ def kmeans_cost(model: PipelineModel, df: DataFrame) -> float:
 
 
 def kmeans_sweep(spark: SparkSession, vectors: DataFrame, ks, seed: int = 1,
-                 max_iter: int = 20, feature_cols=None) -> tuple[DataFrame, dict]:
-    """One k-means fit per k; (k, cost) table and the fitted pipelines.
+                 max_iter: int = 20, feature_cols=None, label_col: str | None = None,
+                 spread: Spread | None = None) -> tuple[DataFrame, dict]:
+    """One k-means fit per k; (k, cost, silhouette[, f1]) table and the fitted pipelines.
 
     The scaler is fitted once and the scaled vectors are cached once for the
-    whole sweep (``sweep_fits``).
+    whole sweep (``sweep_fits``).  Cost and simplified silhouette of a k come from
+    one pass over the cache; with ``label_col`` a second one labels the
+    clusters by majority and gives the collapsed F1.
     """
     ks = list(ks)
     prefix = Pipeline(stages=MD.kmeans_pipeline(ks[0], feature_cols).getStages()[:-1])
@@ -168,18 +194,34 @@ def kmeans_sweep(spark: SparkSession, vectors: DataFrame, ks, seed: int = 1,
         return MD.kmeans_pipeline(k, feature_cols, seed=seed, max_iter=max_iter).getStages()[-1]
 
     def evaluate(k, km, cached):
-        return {"k": k, "cost": centres_cost(km, cached)}
+        ids, centers = C.model_centers(km)
+        extra = [F.col(label_col).alias("label")] if label_col else []
+        rows = cached.select(vector_to_array(F.col(km.getFeaturesCol())).alias("__f"), *extra)
+        scored = C.assign_two_nearest(rows, "__f", ids, centers).drop("__f")
+        row = {"k": k, **C.cluster_quality(scored).first().asDict()}
+        if label_col:
+            pairs = C.join_cluster_labels(scored, C.cluster_majority(scored), max_dictionary_rows=k)
+            row["f1"] = M.collapsed_metrics(pairs, "actual_label", "label").first()["f1"]
+        return row
 
-    return sweep_fits(spark, prefix, vectors, ks, make, evaluate, "k int, cost double")
+    schema = "k int, cost double, silhouette double" + (", f1 double" if label_col else "")
+    return sweep_fits(spark, prefix, vectors, ks, make, evaluate, schema,
+                      extra_cols=[label_col] if label_col else [], spread=spread)
 
 
 def kmeans_train(spark: SparkSession, records: DataFrame, roles: Roles, model_path: str,
-                 dict_path: str, min_k: int, max_k: int, step: int = 10) -> DataFrame:
-    """Sweep k, keep the lowest-cost model, save it and its cluster labels."""
-    train = with_class_target(records, roles).select(*roles.numeric, "label")
+                 dict_path: str, min_k: int, max_k: int, step: int = 10, choose: str = "cost",
+                 spread: Spread | None = None) -> DataFrame:
+    """Sweep k, keep the best model, save it and its cluster labels.
+
+    ``choose``: ``cost`` (lowest; falls with k, so it takes a large one), ``silhouette`` or ``f1`` (highest;
+    the F1 of normal against the rest after labelling).  Ties go to the smaller k.
+    """
+    train = _training_rows(with_class_target(records, roles), roles.numeric, spread)
     table, models = kmeans_sweep(spark, train, k_values(min_k, max_k, step),
-                                 feature_cols=list(roles.numeric))
-    best_k = int(select_min(table).first()["k"])
+                                 feature_cols=list(roles.numeric), label_col="label" if choose == "f1" else None,
+                                 spread=spread)
+    best_k = int(select_best(table, choose).first()["k"])
     best = models[best_k]
     save_model(best, model_path)
     write_cluster_dict(C.cluster_majority(best.transform(train)), dict_path)
@@ -187,20 +229,37 @@ def kmeans_train(spark: SparkSession, records: DataFrame, roles: Roles, model_pa
 
 
 def kmeans_relabel(spark: SparkSession, records: DataFrame, roles: Roles,
-                   model_path: str, dict_path: str) -> DataFrame:
-    """Recompute cluster labels from a saved model without refitting."""
+                   model_path: str, dict_path: str, counts_path: str | None = None,
+                   batch: str = "all") -> DataFrame:
+    """Recompute cluster labels from a saved model without refitting.
+
+    With ``counts_path`` only ``records`` are scored: their (cluster, label)
+    counts are kept there as ``batch`` (a repeated batch replaces itself), and the
+    labels are the majority over the counts of all batches kept so far.
+    """
     scored = load_pipeline(model_path).transform(with_class_target(records, roles))
-    dictionary = C.cluster_majority(scored)
+    if counts_path is None:
+        dictionary = C.cluster_majority(scored)
+    else:
+        C.keep_label_counts(scored, counts_path, batch)
+        dictionary = C.majority_of_counts(C.kept_label_counts(spark, counts_path))
     write_cluster_dict(dictionary, dict_path)
     return dictionary
 
 
 def kmeans_test(spark: SparkSession, records: DataFrame, roles: Roles,
                 model_path: str, dict_path: str) -> DataFrame:
-    """Score rows, map clusters to labels, collapsed normal/attack metrics."""
+    """Score rows, map clusters to labels, collapsed normal/attack metrics.
+
+    The dictionary is checked first: one label a cluster, clusters of this
+    model only.  ``n_uncovered`` rows fell into a cluster without a label (no
+    training row was there) and are in no other figure.
+    """
     model = load_pipeline(model_path)
     k = model.stages[-1].getK()
-    dictionary = read_cluster_dict(spark, dict_path)
+    dictionary = checked_cluster_dict(read_cluster_dict(spark, dict_path), k)
     scored = model.transform(with_class_target(records, roles))
-    pairs = C.join_cluster_labels(scored, dictionary, max_dictionary_rows=k)
-    return M.collapsed_metrics(pairs, "actual_label", "label")
+    pairs = C.join_cluster_labels(scored, dictionary, how="left", max_dictionary_rows=k)
+    covered = F.col("__covered")
+    return M.prf1(M.confusion_counts(pairs, "actual_label", "label", "collapsed", rows=covered,
+                                     extra=[F.count_if(~covered).alias("n_uncovered")]))
