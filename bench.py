@@ -26,6 +26,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from connscore.operators import clusters as C  # noqa: E402
 from connscore.operators import metrics as M  # noqa: E402
 from connscore.operators import models as MD  # noqa: E402
+from connscore.operators.prepare import spread_by_rows  # noqa: E402
 from connscore.plans import jobs, queries as Q  # noqa: E402
 from connscore.plans.roles import L_KEYS, L_ROLES, lineitem  # noqa: E402
 from connscore.schema import CATEGORY, LABEL, NUMERIC, layout  # noqa: E402
@@ -47,6 +48,8 @@ def _warm_up(spark, small_dir: str) -> None:
     small = lineitem(spark, small_dir)
     p = scratch_path(spark, "warm")
     jobs.logreg_binary_train(small, L_ROLES, p + "-lr")
+    jobs.logreg_multiclass_train(small, L_ROLES, p + "-ovr")
+    jobs.logreg_multiclass_test(spark, small, L_ROLES, p + "-ovr").collect()
     jobs.logreg_binary_test(spark, small, L_ROLES, p + "-lr").collect()
     jobs.tree_train(small, L_ROLES, p + "-tree", "binary", 4)
     jobs.tree_test(spark, small, L_ROLES, p + "-tree").collect()
@@ -89,23 +92,24 @@ def main() -> None:
     dict_path = scratch_path(spark, "bench-dict")
 
     # logistic regression: fit scaler + model, save; then load, score, metrics
-    timed("lr_train", lambda: jobs.logreg_binary_train(li, L_ROLES, lr_path))
+    spread = spread_by_rows(li.count(), tuple(L_KEYS))
+    timed("lr_train", lambda: jobs.logreg_binary_train(li, L_ROLES, lr_path, spread=spread))
     lr_model = timed("lr_load", lambda: load_pipeline(lr_path))
     timed("lr_test", lambda: M.binary_metrics(
         MD.score(lr_model, jobs.with_binary_target(li, L_ROLES))).collect())
 
     # decision tree (depth 10, maxBins 100, category slot index-coded)
-    timed("tree_train", lambda: jobs.tree_train(li, L_ROLES, tree_path, "binary", 10))
+    timed("tree_train", lambda: jobs.tree_train(li, L_ROLES, tree_path, "binary", 10, spread=spread))
     tree_model = timed("tree_load", lambda: load_pipeline(tree_path))
     timed("tree_test", lambda: M.binary_metrics(
         MD.score(tree_model, jobs.with_binary_target(li, L_ROLES))).collect())
 
     # k-means k=24 on scaled numerics: fit the scaler, cache the scaled
     # vectors once, fit k-means on them, save; then label clusters.
-    target = jobs.with_class_target(li, L_ROLES).select(*L_ROLES.numeric, "label")
+    target = jobs.with_class_target(li, L_ROLES).select(*L_ROLES.numeric, "label", *L_KEYS)
 
     def km_fit_save():
-        model = MD.fit_pipeline(MD.kmeans_pipeline(24, list(L_ROLES.numeric)), target)
+        model = MD.fit_pipeline(MD.kmeans_pipeline(24, list(L_ROLES.numeric)), target, spread=spread)
         save_model(model, km_path)
         return model
 
@@ -123,15 +127,20 @@ def main() -> None:
 
     timed("kmeans_test", km_test)
 
+    # one-vs-rest: three binary fits; scored from its weight table
+    ovr_path = scratch_path(spark, "bench-ovr")
+    timed("ovr_train", lambda: jobs.logreg_multiclass_train(li, L_ROLES, ovr_path, spread=spread))
+    timed("ovr_test", lambda: jobs.logreg_multiclass_test(spark, li, L_ROLES, ovr_path).collect())
+
     # statistics job: label frequency and category vocabularies
     timed("label_counts", lambda: Q.label_counts(spark, sf_dir).collect())
-    timed("category_vocabulary", lambda: Q.category_cardinality(spark, sf_dir).collect())
+    timed("category_cardinality", lambda: Q.category_cardinality(spark, sf_dir).collect())
     # metric passes
     timed("f_by_threshold", lambda: Q.f_by_threshold(spark, sf_dir).collect())
     timed("area_under_roc", lambda: Q.area_under_roc(spark, sf_dir).collect())
     timed("per_class_prf", lambda: Q.per_class_prf(spark, sf_dir).collect())
     timed("nearest_center", lambda: _run(Q.nearest_center_fixed(spark, sf_dir)))
-    timed("ingest_quarantine", lambda: _run(Q.ingest_records(spark, sf_dir)))
+    timed("ingest_records", lambda: _run(Q.ingest_records(spark, sf_dir)))
 
     # text-file ingest, as the source application reads its logs: the table
     # is landed once as comma-separated lines (untimed), then read back

@@ -19,9 +19,10 @@ from connscore.operators import clusters as C
 from connscore.operators import features as FE
 from connscore.operators import metrics as M
 from connscore.operators import models as MD
+from connscore.operators.prepare import spread_by_rows
 from connscore.operators.sweeps import sweep_fits
 from connscore.plans import jobs
-from connscore.plans.roles import L_ROLES, embeddings, lineitem
+from connscore.plans.roles import L_KEYS, L_ROLES, embeddings, lineitem
 from connscore.session import scratch_path
 
 HALF, LOW, HIGH, INNER = 25, 15, 35, 10
@@ -54,20 +55,26 @@ def learned_tree_bands(spark, sf):
 
 
 def learned_tree_rule(spark, sf):
-    """The root's rule as explained: feature position and whole part of the threshold."""
-    train, _ = _split(spark, sf, _HALVES)
+    """The root's rule as explained: feature position, whole part of the threshold, and held-out rows it gets wrong."""
+    train, held_out = _split(spark, sf, _HALVES)
     model = jobs.tree_train(train, _HALF_ROLES, scratch_path(spark, "learned-rule"), "binary", 1)
     rule = r"If \(feature (\d+) <= ([0-9.]+)\)"
-    return (MD.tree_debug_rows(spark, model).filter(F.col("rule").rlike(rule))
-            .select(F.regexp_extract("rule", rule, 1).cast("int").alias("feature"),
-                    F.floor(F.regexp_extract("rule", rule, 2).cast("double")).cast("long").alias("threshold_floor")))
+    found = (MD.tree_debug_rows(spark, model).filter(F.col("rule").rlike(rule))
+             .select(F.regexp_extract("rule", rule, 1).cast("int").alias("feature"),
+                     F.regexp_extract("rule", rule, 2).cast("double").alias("threshold")).first())
+    column = list(L_ROLES.feature_order)[found["feature"]]
+    wrong = (F.col(column) > found["threshold"]) != (F.col("target") == "high")
+    return held_out.agg(F.lit(found["feature"]).alias("feature"),
+                        F.lit(int(found["threshold"])).cast("long").alias("threshold_floor"),
+                        F.count("*").alias("n_held_out"), F.count_if(wrong).alias("n_wrong"))
 
 
 def learned_depths(spark, sf):
-    """Confusion counts per depth for a target that takes two cuts."""
+    """Confusion counts per depth for a target that takes two cuts, of the rows of the fit and of held-out ones."""
     inner = f"CASE WHEN l_quantity > {INNER} AND l_quantity <= {HIGH} THEN 'inner' ELSE 'low' END"
-    train, _ = _split(spark, sf, inner)
-    rows = jobs.with_binary_target(train, _HALF_ROLES)
+    train, held_out = _split(spark, sf, inner)
+    rows, tests = (jobs.with_binary_target(r, _HALF_ROLES) for r in (train, held_out))
+    counts = ["tp", "tn", "fp", "fn", "n", "n_mismatch"]
 
     def stages(depth):
         return MD.tree_pipeline(list(L_ROLES.feature_order), L_ROLES.vocabularies, max_depth=depth).getStages()
@@ -75,8 +82,12 @@ def learned_depths(spark, sf):
     def evaluate(depth, tree, cached):
         return {"max_depth": depth, **M.confusion_counts(tree.transform(cached)).first().asDict()}
 
-    return sweep_fits(spark, Pipeline(stages=stages(1)[:-1]), rows, DEPTHS, lambda d: stages(d)[-1], evaluate,
-                      "max_depth int, tp long, tn long, fp long, fn long, n long, n_mismatch long")[0]
+    fitted, models = sweep_fits(spark, Pipeline(stages=stages(1)[:-1]), rows, DEPTHS, lambda d: stages(d)[-1], evaluate,
+                                "max_depth int, tp long, tn long, fp long, fn long, n long, n_mismatch long",
+                                spread=spread_by_rows(rows.count(), tuple(L_KEYS)))
+    unseen = spark.createDataFrame([(d, *M.confusion_counts(m.transform(tests)).select(*counts).first())
+                                    for d, m in models.items()], fitted.schema)
+    return fitted.withColumn("fold", F.lit("fit")).union(unseen.withColumn("fold", F.lit("held_out")))
 
 
 def learned_logistic(spark, sf):
@@ -136,14 +147,16 @@ ORACLE_SQL = {
   CAST(1 AS DOUBLE) AS precision, CAST(1 AS DOUBLE) AS recall, CAST(1 AS DOUBLE) AS f1
 FROM (SELECT CAST(CASE WHEN l_quantity <= {LOW} THEN 0 WHEN l_quantity <= {HIGH} THEN 1 ELSE 2 END AS DOUBLE) AS cls
       FROM lineitem WHERE {_ODD}) GROUP BY cls""",
-    "learned_tree_rule": f"""SELECT CAST(0 AS INTEGER) AS feature, CAST(max(l_quantity) AS BIGINT) AS threshold_floor
-FROM lineitem WHERE {_EVEN} AND l_quantity <= {HALF}""",
+    "learned_tree_rule": f"""SELECT CAST(0 AS INTEGER) AS feature,
+  CAST(max(CASE WHEN {_EVEN} AND l_quantity <= {HALF} THEN l_quantity END) AS BIGINT) AS threshold_floor,
+  {_count(_ODD)} AS n_held_out, CAST(0 AS BIGINT) AS n_wrong FROM lineitem""",
     # one cut takes the upper edge, which parts more; the rows below the lower one stay wrong
-    "learned_depths": f"""SELECT CAST(max_depth AS INTEGER) AS max_depth, {_count(_INSIDE)} AS tp,
+    "learned_depths": f"""SELECT CASE WHEN {_EVEN} THEN 'fit' ELSE 'held_out' END AS fold,
+  CAST(max_depth AS INTEGER) AS max_depth, {_count(_INSIDE)} AS tp,
   {_count(f'l_quantity > {HIGH} OR (l_quantity <= {INNER} AND max_depth > 1)')} AS tn,
   {_count(f'l_quantity <= {INNER} AND max_depth = 1')} AS fp, CAST(0 AS BIGINT) AS fn, count(*) AS n,
   {_count(f'l_quantity <= {INNER} AND max_depth = 1')} AS n_mismatch
-FROM lineitem, (VALUES {', '.join(f'({d})' for d in DEPTHS)}) AS d(max_depth) WHERE {_EVEN} GROUP BY max_depth""",
+FROM lineitem, (VALUES {', '.join(f'({d})' for d in DEPTHS)}) AS d(max_depth) GROUP BY ALL""",
     "learned_logistic": f"""SELECT {_count(f'{_ODD} AND l_quantity > {HALF}')} AS n_pos,
   {_count(f'{_ODD} AND l_quantity <= {HALF}')} AS n_neg, TRUE AS ordered,
   {_count(_EVEN)} AS n_train, TRUE AS calibrated FROM lineitem""",

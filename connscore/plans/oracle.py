@@ -188,6 +188,19 @@ ORACLE_SQL: dict[str, str] = {
     "ingest_records": """SELECT CAST(event_id AS DOUBLE) AS event_id, trim(event_type) AS kind,
   CAST(user_id AS DOUBLE) AS user_id, CAST(value AS DOUBLE) AS value,
   trim(event_type) AS label FROM events""",
+    "ingest_text_layout": """SELECT CAST(c_custkey AS DOUBLE) AS c_custkey, trim(c_name) AS c_name,
+  trim(c_mktsegment) AS c_mktsegment, CAST(c_acctbal AS DOUBLE) AS c_acctbal,
+  CAST(c_nationkey AS VARCHAR) AS label FROM customer WHERE NOT contains(c_name, ',')""",
+    "quarantine_by_line": f"""WITH l AS (
+  SELECT part, row_number() OVER (PARTITION BY part ORDER BY conv_id, turn) AS line_no,
+         concat_ws(',', COALESCE(CAST(conv_id AS VARCHAR), ''), COALESCE(translate(text, chr(10) || chr(13), '  '), ''),
+                   COALESCE(CAST(turn AS VARCHAR), ''), COALESCE(role, '')) AS line
+  FROM (SELECT *, conv_id % greatest(4, (SELECT (count(*) + 99999) // 100000 FROM conversations)) AS part
+        FROM conversations)),
+p AS (SELECT part, line_no, line, string_split(line, ',') AS parts FROM l)
+SELECT part, line_no, line, CAST(len(parts) AS BIGINT) AS n_fields,
+  CASE WHEN len(parts) <> 4 THEN 'field_count' ELSE 'bad_number' END AS reason
+FROM p WHERE {_CONV_BAD}""",
     "numeric_projection": "SELECT l_orderkey, l_linenumber, " + ", ".join(
         f"CAST({c} AS DOUBLE) AS {c}" for c in L_NUMERIC) + " FROM lineitem",
     "label_clean": "SELECT p_partkey, p_brand, replace(p_brand, '#', '') AS brand_clean FROM part",

@@ -1,5 +1,7 @@
 """Driver queries: every operator run over the supplied parquet tables.
 
+Queries that fit a model are in ``learned`` and ``planted``.
+
 Each function takes ``(spark, sf_dir)`` and returns a DataFrame over whole
 tables.  Doubles that an independent SQL engine recomputes are rounded to
 6 places (9 where exact inputs put values on 6-place half boundaries; sums
@@ -11,9 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import Bucketizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,23 +25,26 @@ from connscore.operators import metrics as M
 from connscore.operators import models as MD
 from connscore.operators import profile as PR
 from connscore.operators.prepare import materialize
-from connscore.operators.sweeps import select_min, sweep_fits
-from connscore.plans import jobs
 from connscore.plans.roles import (
-    CONV_LINE_COLUMNS, CONV_LINE_LAYOUT, EVENT_CLASSES, EVENT_LINE_COLUMNS,
+    CONV_LINE_COLUMNS, CONV_LINE_LAYOUT, CUSTOMER_LINE_COLUMNS, CUSTOMER_LINE_LAYOUT, EVENT_CLASSES, EVENT_LINE_COLUMNS,
     EVENT_LINE_LAYOUT, EVENT_NORMAL, EVENT_VALUE_SPLITS, L_KEYS, L_NORMAL,
-    L_NUMERIC, L_ROLES, LO_CATEGORY_COLUMNS, LO_VOCABULARIES, LOGIT_INTERCEPT,
+    L_NUMERIC, LO_CATEGORY_COLUMNS, LO_VOCABULARIES, LOGIT_INTERCEPT,
     LOGIT_WEIGHTS, OVR_INTERCEPTS, OVR_WEIGHTS, STUMP_RULE, embeddings, events,
     lineitem, lineitem_orders_part,
 )
 from connscore.session import scratch_path
 from connscore.sources.cluster_dict import read_cluster_dict, write_cluster_dict
-from connscore.sources.model_store import load_pipeline, save_model
-from connscore.sources.records import parse_lines, quarantined, to_lines, well_formed
+from connscore.sources.records import (
+    parse_lines, quarantined, read_numbered_records, read_records, to_lines, well_formed,
+)
+from connscore.sources.scratch import scratch_folder
 from connscore.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Lines of a text file that a query writes to read it again.
+LINES_PER_FILE = 100_000
+
 
 def _r(df: DataFrame, cols, places: int = 6) -> DataFrame:
     for c in cols:
@@ -51,10 +54,39 @@ def _r(df: DataFrame, cols, places: int = 6) -> DataFrame:
 
 # ---- ingest -----------------------------------------------------------------------
 
+def _as_text(spark, df, columns, name):
+    """A table's rows as comma lines in text files: what the source application reads."""
+    path = scratch_folder(spark, name)
+    to_lines(df, columns).write.text(path)
+    return path
+
+
 def ingest_records(spark, sf):
-    """events -> comma lines -> split, type, quarantine check (S1 P1 P6)."""
-    lines = to_lines(events(spark, sf), EVENT_LINE_COLUMNS)
-    return well_formed(parse_lines(lines, EVENT_LINE_LAYOUT))
+    """events as text files -> scan, split, type, quarantine check (S1 P1 P6)."""
+    path = _as_text(spark, events(spark, sf), EVENT_LINE_COLUMNS, "event-lines")
+    return well_formed(read_records(spark, path, EVENT_LINE_LAYOUT))
+
+
+def ingest_text_layout(spark, sf):
+    """A layout of text and category fields beside numbers, read from files (S3)."""
+    path = _as_text(spark, table(spark, sf, "customer"), CUSTOMER_LINE_COLUMNS, "customer-lines")
+    return well_formed(read_records(spark, path, CUSTOMER_LINE_LAYOUT))
+
+
+def quarantine_by_line(spark, sf):
+    """Bad lines of text files with file and line number; the files hold conversation lines in order."""
+    conv = table(spark, sf, "conversations")
+    files = max(4, -(-conv.count() // LINES_PER_FILE))
+    # line breaks inside a text would make more lines than rows
+    flat = conv.withColumn("text", F.translate("text", "\n\r", "  ")).withColumn(
+        "part", F.pmod("conv_id", F.lit(files)))
+    path = scratch_folder(spark, "conversation-lines")
+    order = ["part", "conv_id", "turn"]
+    (to_lines(flat, CONV_LINE_COLUMNS, keep_cols=order).repartition(files, "part").sortWithinPartitions(*order)
+     .select("part", "value").write.partitionBy("part").text(path))
+    bad = quarantined(read_numbered_records(spark, f"{path}/*", CONV_LINE_LAYOUT))
+    return bad.select(F.regexp_extract("file", "/part=([0-9]+)/", 1).cast("long").alias("part"), "line_no",
+                      F.col("value").alias("line"), F.col("n_fields").cast("long").alias("n_fields"), "reason")
 
 
 def numeric_projection(spark, sf):
@@ -263,8 +295,7 @@ def f_by_threshold(spark, sf):
 
 
 def best_f_threshold(spark, sf):
-    curve = M.f_measure_by_threshold(_lineitem_pairs(spark, sf), "score")
-    return _r(M.best_f_measure(curve), ["f_measure"])
+    return _r(M.best_threshold(_lineitem_pairs(spark, sf), "score"), ["f_measure"])
 
 
 def area_under_roc(spark, sf):
@@ -303,156 +334,10 @@ def tree_stump_score(spark, sf):
                     "prediction")
 
 
-# ---- fitted models (rows-only checks) ---------------------------------------------
-
-def fit_logistic(spark, sf):
-    li = lineitem(spark, sf)
-    model = jobs.logreg_binary_train(li, L_ROLES, scratch_path(spark, "logreg"))
-    scored = model.transform(jobs.with_binary_target(li, L_ROLES))
-    return M.binary_metrics(scored)
-
-
-def fit_logistic_summary(spark, sf):
-    """Training summary of the fitted model: exact AUC and best-F threshold."""
-    li = lineitem(spark, sf)
-    model = jobs.logreg_binary_train(li, L_ROLES, scratch_path(spark, "logreg-summary"))
-    return jobs.training_summary(model, li, L_ROLES)
-
-
-def fit_one_vs_rest(spark, sf):
-    li = lineitem(spark, sf)
-    model = jobs.logreg_multiclass_train(li, L_ROLES, scratch_path(spark, "ovr"))
-    scored = model.transform(jobs.with_class_target(li, L_ROLES))
-    return M.per_class_metrics(scored)
-
-
-def fit_tree(spark, sf):
-    li = lineitem(spark, sf)
-    model = jobs.tree_train(li, L_ROLES, scratch_path(spark, "tree"), "binary", 4)
-    return M.binary_metrics(model.transform(jobs.with_binary_target(li, L_ROLES)))
-
-
-def fit_tree_multiclass(spark, sf):
-    li = lineitem(spark, sf)
-    model = jobs.tree_train(li, L_ROLES, scratch_path(spark, "tree-mc"), "multiClass", 4)
-    return M.per_class_metrics(model.transform(jobs.with_class_target(li, L_ROLES)))
-
-
-def tree_feature_importances(spark, sf):
-    li = lineitem(spark, sf)
-    model = jobs.tree_train(li, L_ROLES, scratch_path(spark, "tree-imp"), "binary", 4)
-    names = [f"{c}_idx" if c in L_ROLES.vocabularies else c for c in L_ROLES.feature_order]
-    return MD.feature_importances(spark, model, names)
-
-
-def _embedding_vectors(spark, sf):
-    return FE.with_vector(embeddings(spark, sf), "embedding", "raw_features")
-
-
-def fit_kmeans(spark, sf):
-    vec = _embedding_vectors(spark, sf)
-    model = MD.kmeans_pipeline(10).fit(vec)
-    return C.cluster_sizes(model.transform(vec))
-
-
-def tree_rules(spark, sf):
-    li = lineitem(spark, sf)
-    model = jobs.tree_train(li, L_ROLES, scratch_path(spark, "tree-rules"), "binary", 3)
-    return MD.tree_debug_rows(spark, model)
-
-
-def model_roundtrip(spark, sf):
-    """Save, reload, rescore: the loaded model's output vs the in-memory one.
-
-    Both models score the same rows in one pass (the second pipeline runs on
-    the first one's output), so rows are compared in place, without a join.
-    """
-    li = jobs.with_binary_target(lineitem(spark, sf), L_ROLES)
-    path = scratch_path(spark, "roundtrip")
-    model = jobs.logreg_binary_train(li, L_ROLES, path)
-    loaded = load_pipeline(path)
-    first = model.transform(li).select(
-        *li.columns, F.col("prediction").alias("p_mem"),
-        vector_to_array("probability")[1].alias("q_mem"))
-    both = loaded.transform(first).select(
-        "p_mem", "q_mem", F.col("prediction").alias("p_disk"),
-        vector_to_array("probability")[1].alias("q_disk"))
-    return both.agg(F.count(F.lit(1)).alias("n"),
-                    F.count_if(F.col("p_mem") != F.col("p_disk")).alias("n_prediction_diff"),
-                    F.max(F.abs(F.col("q_mem") - F.col("q_disk"))).alias("max_probability_diff"))
-
-
-def cluster_relabel(spark, sf):
-    vec = _embedding_vectors(spark, sf).withColumn("label", F.col("label").cast("double"))
-    path = scratch_path(spark, "kmeans")
-    save_model(MD.kmeans_pipeline(10).fit(vec), path)
-    return C.cluster_majority(load_pipeline(path).transform(vec))
-
-
-def k_sweep_select(spark, sf):
-    table_, _ = jobs.kmeans_sweep(spark, _embedding_vectors(spark, sf), [5, 15, 25])
-    return select_min(table_)
-
-
-_SWEEP_COLS = ["precision", "recall", "f1", "error"]
-
-
-def sweep_k(spark, sf):
-    """Per k: fit, majority labels, collapsed metrics of the labelled clusters."""
-    vec = _embedding_vectors(spark, sf).withColumn("label", F.col("label").cast("double"))
-    prefix = Pipeline(stages=MD.kmeans_pipeline(5).getStages()[:-1])
-
-    def evaluate(k, km, cached):
-        scored = km.transform(cached)
-        pairs = C.join_cluster_labels(scored, C.cluster_majority(scored),
-                                      max_dictionary_rows=k)
-        r = M.collapsed_metrics(pairs, "actual_label", "label").first()
-        return {"k": k, **{n: r[n] for n in _SWEEP_COLS}}
-
-    table, _ = sweep_fits(spark, prefix, vec, [5, 10, 20],
-                          lambda k: MD.kmeans_pipeline(k).getStages()[-1], evaluate,
-                          "k int, precision double, recall double, f1 double, error double",
-                          extra_cols=["label"])
-    return table
-
-
-def sweep_tree_depth(spark, sf):
-    li = jobs.with_binary_target(lineitem(spark, sf), L_ROLES)
-
-    def stages(depth):
-        return MD.tree_pipeline(list(L_ROLES.feature_order), L_ROLES.vocabularies,
-                                max_depth=depth).getStages()
-
-    def evaluate(depth, tree, cached):
-        r = M.binary_metrics(tree.transform(cached)).first()
-        return {"max_depth": depth, **{n: r[n] for n in _SWEEP_COLS}}
-
-    table, _ = sweep_fits(spark, Pipeline(stages=stages(2)[:-1]), li, [2, 4, 6],
-                          lambda d: stages(d)[-1], evaluate,
-                          "max_depth int, precision double, recall double, f1 double, "
-                          "error double")
-    return table
-
-
-def sweep_lambda(spark, sf):
-    li = jobs.with_binary_target(lineitem(spark, sf), L_ROLES)
-
-    def stages(lam):
-        return MD.logistic_pipeline(L_NUMERIC, reg_param=lam).getStages()
-
-    def evaluate(lam, lr, cached):
-        r = M.binary_metrics(lr.transform(cached)).first()
-        return {"reg_param": lam, **{n: r[n] for n in _SWEEP_COLS}}
-
-    table, _ = sweep_fits(spark, Pipeline(stages=stages(0.0)[:-1]), li, [0.0, 0.01, 0.1],
-                          lambda lam: stages(lam)[-1], evaluate,
-                          "reg_param double, precision double, recall double, f1 double, "
-                          "error double")
-    return table
-
-
 QUERIES: dict[str, Query] = {
     "ingest_records": ingest_records,
+    "ingest_text_layout": ingest_text_layout,
+    "quarantine_by_line": quarantine_by_line,
     "numeric_projection": numeric_projection,
     "label_clean": label_clean,
     "binary_label": binary_label_q,
@@ -491,18 +376,4 @@ QUERIES: dict[str, Query] = {
     "logistic_score_fixed": logistic_score_fixed,
     "ovr_argmax_fixed": ovr_argmax_fixed,
     "tree_stump_score": tree_stump_score,
-    "fit_logistic": fit_logistic,
-    "fit_logistic_summary": fit_logistic_summary,
-    "fit_one_vs_rest": fit_one_vs_rest,
-    "fit_tree": fit_tree,
-    "fit_tree_multiclass": fit_tree_multiclass,
-    "fit_kmeans": fit_kmeans,
-    "tree_rules": tree_rules,
-    "tree_feature_importances": tree_feature_importances,
-    "model_roundtrip": model_roundtrip,
-    "cluster_relabel": cluster_relabel,
-    "k_sweep_select": k_sweep_select,
-    "sweep_k": sweep_k,
-    "sweep_tree_depth": sweep_tree_depth,
-    "sweep_lambda": sweep_lambda,
 }

@@ -98,6 +98,9 @@ EVENT_LINE_COLUMNS = ["event_id", "event_type", "user_id", "value", "event_type"
 CONV_LINE_LAYOUT = layout(("conv_id", NUMERIC), ("text", TEXT), ("turn", NUMERIC),
                           ("role", LABEL))
 CONV_LINE_COLUMNS = ["conv_id", "text", "turn", "role"]
+CUSTOMER_LINE_LAYOUT = layout(("c_custkey", NUMERIC), ("c_name", TEXT), ("c_mktsegment", CATEGORY),
+                              ("c_acctbal", NUMERIC), ("label", LABEL))
+CUSTOMER_LINE_COLUMNS = ["c_custkey", "c_name", "c_mktsegment", "c_acctbal", "c_nationkey"]
 
 
 # ---- table accessors (column-pruned at the scan) -----------------------------------

@@ -1,6 +1,8 @@
 """Record ingest: comma-separated connection lines into typed DataFrames.
 
 * ``read_records`` -- text scan of headerless files, then ``parse_lines``.
+* ``read_numbered`` -- the same with each line's file and number in it, so a
+  quarantined line can be found again.
 * ``parse_lines``  -- the parse as column expressions over a string column
   (``spark.read.text`` output, or lines formatted from a table).  Every
   comma splits (no quoting), as in the source format.
@@ -15,9 +17,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from connscore.operators.joins import sized_broadcast
 from connscore.schema import CONNECTION_LAYOUT, NUMERIC, Layout
 
 MALFORMED = "malformed"
@@ -43,6 +46,30 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.text(path)
 
 
+def read_numbered(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """(value, file, line_no): every line with its file and its number there, from 1.
+
+    Files are read in splits by many tasks.  A line's place in its split is
+    known where it is read; what a split's first line is follows from the line
+    counts of the splits before it in the file, a table of one row a split.
+    The scan has the same splits both times it is read.
+    """
+    here = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("__start")]
+    lines = read_lines(spark, path).select("value", *here, F.monotonically_increasing_id().alias("__at"))
+    splits = lines.groupBy("file", "__start").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = Window.partitionBy("file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    starts = splits.select("file", "__start", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1)
+                           .alias("__shift"))
+    return (lines.join(sized_broadcast(starts), ["file", "__start"])
+            .select("value", "file", (F.col("__at") + F.col("__shift")).cast("long").alias("line_no")))
+
+
+def read_numbered_records(spark: SparkSession, path: str | Sequence[str],
+                          layout: Layout = CONNECTION_LAYOUT) -> DataFrame:
+    """The records of ``read_records`` with line, n_fields, reason, file and line_no."""
+    return parse_lines(read_numbered(spark, path), layout, keep_cols=["file", "line_no"], keep_line=True)
+
+
 def split_fields(line: str | Column, sep: str = ",") -> Column:
     """Split on every separator; empty trailing fields are kept."""
     c = F.col(line) if isinstance(line, str) else line

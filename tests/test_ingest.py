@@ -117,3 +117,36 @@ def test_text_round_trip_of_a_whole_table(spark, tmp_path):
     got = well_formed(back).select(*lay.names)
     assert got.count() == src.count()
     assert got.exceptAll(src).count() == 0 and src.exceptAll(got).count() == 0
+
+
+def test_line_numbers_over_splits_and_files(spark, tmp_path):
+    from connscore.sources.records import read_numbered
+    for name, n in (("a.txt", 5000), ("b.txt", 1), ("c.txt", 700)):
+        (tmp_path / name).write_text("".join(f"{name} {i + 1} {'x' * (i % 90)}\n" for i in range(n)))
+    (tmp_path / "empty.txt").write_text("")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+        rows = read_numbered(spark, str(tmp_path)).collect()
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 5
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(rows) == 5701
+    assert all(r.value.split()[:2] == [r.file.rsplit("/", 1)[1], str(r.line_no)] for r in rows)
+
+
+def test_quarantined_lines_name_file_and_line(spark, tmp_path):
+    from connscore.sources.records import quarantined, read_numbered_records
+    from conftest import LINE_A, LINE_B
+    (tmp_path / "log").write_text(f"{LINE_A}\n1,2,3\n{LINE_B}\n{LINE_B.replace('udp', 'udp,x')}\n")
+    bad = quarantined(read_numbered_records(spark, str(tmp_path / "log"))).collect()
+    assert sorted((r.line_no, r.reason) for r in bad) == [(2, "field_count"), (4, "field_count")]
+    assert all(r.file.endswith("/log") for r in bad)
+
+
+def test_ingest_query_scans_text(spark):
+    from connscore.plans.queries import ingest_records
+    plan = ingest_records(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Scan text" in plan or "FileScan text" in plan
