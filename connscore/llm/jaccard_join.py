@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -99,7 +100,7 @@ def _count_slots(slots: int):
             parts = np.minimum(counts, 255).astype(np.uint8).reshape(SLICES, -1)
             for k in range(SLICES):
                 yield pa.record_batch({"slice": pa.array([k], pa.int32()),
-                                       "counts": pa.array([parts[k].tobytes()], pa.binary())})
+                                       "counts": pa.array([zlib.compress(parts[k].tobytes(), 1)], pa.binary())})
     return run
 
 
@@ -108,7 +109,7 @@ def _add_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for k, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            part = np.frombuffer(part, np.uint8)
+            part = np.frombuffer(zlib.decompress(part), np.uint8)
             if k in sums:
                 sums[k] += part
             else:
@@ -419,9 +420,9 @@ def verified(pairs: DataFrame, places: DataFrame, texts: DataFrame, name: str) -
     firsts = heads.select("a", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
                           F.col("a").alias("node"))
     rows = members.union(firsts)
-    wanted = C.written(rows.select("node").distinct().join(places, "node"), f"{name}-places")
-    found = texts.join(C.sized_broadcast(wanted), _PLACE).select("node", "text")
-    dealt = (rows.join(found, "node").select("a", "chunk", "node", "text")
+    # each text goes from where it lies straight to the chunks that want it
+    wanted = C.written(rows.join(places, "node"), f"{name}-places")
+    dealt = (texts.join(C.sized_broadcast(wanted), _PLACE).select("a", "chunk", "node", "text")
              .repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("node") != F.col("a")))
     with C.settings(texts.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}):
         return C.written(dealt.mapInArrow(_compare, "a binary, b binary"), f"{name}-links")
