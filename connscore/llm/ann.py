@@ -12,7 +12,9 @@ into leaves; every vector is indexed in its leaf.  A query searches its own
 leaf first, then the leaves that its stopping test does not rule out.  Within
 a block of a leaf a kd-tree of small cells is searched in the order of
 projected distance, and the vectors met are verified on their original
-coordinates.  Large leaves are split into blocks and many queries into chunks.
+coordinates.  Large leaves are split into blocks, and the queries that come to
+a leaf into chunks, so a vector travels once for each ``CHUNK`` queries that
+reach its own leaf and not at all where none does.
 """
 
 from __future__ import annotations
@@ -103,7 +105,29 @@ def _box_distance(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.n
 
 
 def _vectors(column, dimensions: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column), "<f4").reshape(-1, dimensions).astype(np.float64)
+    raw = b"".join(column)
+    kind = "<f8" if len(raw) == 8 * dimensions * len(column) else "<f4"
+    return np.frombuffer(raw, kind).reshape(-1, dimensions).astype(np.float64)
+
+
+def dealt(index: DataFrame, probes: DataFrame, leaves: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``index`` and ``probes`` by the search task (leaf, block, chunk) that they meet in.
+
+    A leaf has as many blocks as its rows need and as many chunks as its
+    probes need; pairs of a leaf and a chunk that do not exist get no rows.
+    """
+    def of_leaf(table: DataFrame, rows: int):
+        sizes = {r["leaf"]: r["n"] for r in table.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # a row a leaf
+        parts = F.array(*[F.lit(math.ceil(sizes.get(i, 0) / rows)) for i in range(leaves)])
+        return F.element_at(parts, (F.col("leaf") + 1).cast("int"))
+
+    blocks, chunks = of_leaf(index, BLOCK), of_leaf(probes, CHUNK)
+    both = index.filter(chunks > 0), probes.filter(blocks > 0)
+    return (both[0].select("vec_id", "vec", "leaf", F.pmod(F.xxhash64("vec_id"), blocks).cast("int").alias("block"),
+                           F.explode(F.sequence(F.lit(0), chunks - 1)).alias("chunk")),
+            both[1].select("query_id", "vec", "bound", "leaf",
+                           F.pmod(F.xxhash64("query_id"), chunks).cast("int").alias("chunk"),
+                           F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block")))
 
 
 def _search(dimensions: int, k: int, ratio: float):
@@ -161,33 +185,37 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row whose vec_id ``every`` divides.
 
     ``vectors`` has vec_id and embedding.  Rows without id, null, empty or zero
-    vectors and those with null or non-finite components take no part, nor do
-    vectors whose length is not the most frequent one.  score is the Euclidean
-    distance in double precision; ties go to the smaller vec_id.  Of equal
-    vectors only the k + 1 smallest ids can be among k neighbours, so only
-    those are indexed; all are queries.
+    vectors and those with null or non-finite components take no part.
+    Vectors of different lengths have no distance: each length is searched by
+    itself.  score is the Euclidean distance of the vectors as they are, in double precision; ties go to
+    the smaller vec_id.  Of equal vectors only the k + 1 smallest ids can be
+    among k neighbours, so only those are indexed; all are queries.  An empty
+    table gives an empty result.
     """
     odd = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    kind = "float" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "double"
     usable = vectors.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~odd
                             & F.exists("embedding", lambda x: x != 0)).select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.col("embedding").cast("array<float>").alias("embedding"))
-    lengths = usable.groupBy(F.size("embedding").alias("d")).agg(F.count("*").alias("n"))
-    common = lengths.orderBy(F.desc("n"), F.desc("d")).first()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if common is None:
-        return vectors.sparkSession.createDataFrame([], schema)
-    dimensions = common["d"]
+        F.col("embedding").cast(f"array<{kind}>").alias("embedding"))
+    lengths = [r["d"] for r in usable.select(F.size("embedding").alias("d")).distinct().orderBy("d").collect()]
+    out = vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for d in lengths:
+        out = out.unionByName(_nearest(usable.filter(F.size("embedding") == d), d, kind, every, k))
+    return out
+
+
+def _nearest(usable: DataFrame, dimensions: int, kind: str, every: int, k: int) -> DataFrame:
+    number = "<f4" if kind == "float" else "<f8"
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype("<f4")
-            rows = flat.reshape(-1, dimensions) + np.float32(0)   # -0 as 0
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(number)
+            rows = flat.reshape(-1, dimensions) + np.dtype(number).type(0)   # -0 as 0
             yield pa.record_batch({"vec_id": batch.column(0),
                                    "vec": pa.array([r.tobytes() for r in rows], pa.binary())})
 
-    rows = C.written(usable.filter(F.size("embedding") == dimensions)
-                     .mapInArrow(packed, "vec_id long, vec binary"), "vectors")
+    rows = C.written(usable.mapInArrow(packed, "vec_id long, vec binary"), "vectors")
     first_ids = Window.partitionBy("vec").orderBy("vec_id")
     kept = rows.withColumn("nth", F.row_number().over(first_ids)).filter(F.col("nth") <= k + 1).drop("nth")
     sample = (rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vec").toArrow())
@@ -203,24 +231,16 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
             yield pa.record_batch({"vec_id": batch.column(0), "vec": batch.column(1), "leaf": pa.array(at)})
 
     index = C.written(kept.mapInArrow(with_leaf, "vec_id long, vec binary, leaf long"), "index")
-    sizes = {r["leaf"]: r["n"] for r in index.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
     queries = C.written(rows.filter(F.col("vec_id") % every == 0)
                         .mapInArrow(with_leaf, "vec_id long, vec binary, leaf long")
                         .withColumnRenamed("vec_id", "query_id"), "queries")
-    chunks = max(1, math.ceil(queries.count() / CHUNK))
-    blocks = F.element_at(F.array(*[F.lit(max(1, math.ceil(sizes.get(i, 0) / BLOCK))) for i in range(leaves)]),
-                          (F.col("leaf") + 1).cast("int"))
-    chunk = F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk")
-    dealt = index.select("vec_id", "vec", "leaf", F.pmod(F.xxhash64("vec_id"), blocks).cast("int").alias("block"),
-                         F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"))
     ratio = stop_ratio()
     search = _search(dimensions, k + 1, ratio)
 
     def searched(probes: DataFrame) -> DataFrame:
-        spread = probes.select("query_id", "vec", "bound", "leaf", chunk,
-                               F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"))
+        left, right = dealt(index, probes, leaves)
         key = ["leaf", "block", "chunk"]
-        return (dealt.groupBy(*key).cogroup(spread.groupBy(*key))
+        return (left.groupBy(*key).cogroup(right.groupBy(*key))
                 .applyInPandas(search, "query_id long, vec_id long, score double"))
 
     home = C.written(searched(queries.withColumn("bound", F.lit(float("inf")))), "home")
