@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from connscore.llm import common as C
 
-#: A dictionary is made of so many training texts, so many characters of each.
+#: A dictionary is made of passages of so many training texts, of so many characters each.
 SAMPLE_TEXTS, SAMPLE_CHARS = 256, 500
 
 #: Bytes compressed at once, zstandard level, and the score under which a row is rejected.
@@ -34,12 +34,16 @@ def train(rows: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS)
     """Dictionary of each language from ``rows`` (doc_id, text, lang).
 
     The sample is bounded: rows are dealt by the hash of their text into
-    ``texts`` classes and each (language, class) gives its smallest hash.
+    ``texts`` classes and each (language, class) gives its smallest hash.  Of
+    such a text a passage of ``chars`` characters is taken whose place follows from the
+    hash too, anywhere in the whole text.
     """
     usable = rows.filter(F.col("lang").isNotNull() & (F.length("text") > 0)).select(
         "lang", "text", F.xxhash64("text").alias("h"))
+    places = F.greatest(F.length("text") - chars + 1, F.lit(1))
+    start = F.pmod(F.xxhash64("h"), places.cast("long")).cast("int") + 1
     picked = (usable.groupBy("lang", F.pmod("h", F.lit(texts)).alias("class"))
-              .agg(F.min(F.struct("h", F.substring("text", 1, chars).alias("sample"))).alias("least")))
+              .agg(F.min(F.struct("h", F.substring(F.col("text"), start, F.lit(chars)).alias("sample"))).alias("least")))
     samples: dict[str, list[tuple[int, str]]] = {}
     for r in picked.select("lang", "least").collect():   # at most `texts` rows a language
         samples.setdefault(r["lang"], []).append((r["least"]["h"], r["least"]["sample"].lower()))
@@ -109,7 +113,10 @@ def identify(docs: DataFrame, model: dict[str, bytes], least_score: float = LEAS
 
 
 def language_id(docs: DataFrame) -> DataFrame:
-    """Learns from rows whose crc32(doc_id) mod 4 is not 2, predicts all (a null doc_id is held in)."""
+    """Learns from rows whose crc32(doc_id) mod 4 is not 2, predicts all (a null doc_id is held in).
+
+    An empty table gives an empty result, a table without labelled training rows ``und`` throughout.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang",
                        (C.crc_remainder("doc_id", 4) == 2).alias("held_out"))
     return identify(rows, train(rows.filter(~F.col("held_out"))))
