@@ -1,15 +1,24 @@
 """Sharding by balanced label propagation.
 
 Documents with equal texts are linked.  Linked documents start in the shard of
-their hash and in each round move to the shard that most of their neighbours
-are in, as far as the shard's quota allows; what a group of links sees of a
-shard is a count, joined to its members, so no pair of links is ever listed.
-A group larger than a part of a shard is split first.  Documents without links
-fill what is left of each quota, so the counts end at most one apart.
+their hash.  In each round the members of a group see in which shards their
+neighbours are (a count for each group and shard, joined to the group, so no
+pair of links is ever listed) and wish to move, all together, to the shard
+that has most of them among those with room for all.  A shard takes the
+largest groups first, each whole, and never more rows than its quota; its room
+follows from a table of sizes, so it is exact.  Groups that are taken have
+moved; the others look again in the next round, at the room that is left.
+
+Only two kinds of groups are cut, and of either there are at most as many as
+shards: groups larger than a shard, which fill whole shards first, and groups
+larger than any room that is left in the end.  Documents without links fill
+what is left of each quota, so the counts end at most one apart.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +26,6 @@ from connscore.llm import common as C
 
 SHARDS = 16
 
-#: Rounds at most, and parts of a shard that a group may fill before it is split.
-ROUNDS, PARTS = 8, 4
-
 _PLACE = [C.FILE, C.ROW]
 
 
@@ -27,45 +33,78 @@ def _by_shard(values: list[int]) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("shard") + 1)
 
 
-def propagate(groups: DataFrame, quota: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """(group, shard) of the groups that found one shard for all their members.
+def admitted(wishes: list[tuple[int, int, int]], room: list[int]) -> dict[tuple[int, int], int]:
+    """How many groups of each size a shard takes, largest first; ``wishes``: (shard, size, groups)."""
+    left, out = list(room), {}
+    for shard, size, groups in sorted(wishes, key=lambda w: (w[0], -w[1])):
+        taken = min(groups, left[shard] // size)
+        if taken:
+            out[shard, size] = taken
+            left[shard] -= taken * size
+    return out
+
+
+def split_over(size: int, room: list[int]) -> list[tuple[int, int]]:
+    """(shard, rows) of a group that fits no shard: the largest rooms first, the last part where it just fits."""
+    out = []
+    while size:
+        fits = [i for i, r in enumerate(room) if r >= size]
+        i = min(fits, key=lambda i: (room[i], i)) if fits else max(range(len(room)), key=lambda i: (room[i], -i))
+        rows = min(size, room[i])
+        room[i] -= rows
+        size -= rows
+        out.append((i, rows))
+    return out
+
+
+def propagate(groups: DataFrame, quota: list[int]) -> tuple[DataFrame, list[tuple[str, int, int, int]], list[int]]:
+    """Where groups go: (group, shard) of whole ones, (group, first, last, shard) of parts, room left.
 
-    ``groups`` has group, shard, n: members by shard at the start.  Each round
-    every open group wants the open shard with most of its members; a shard
-    whose room does not hold all that want in takes a hashed share of them.
+    ``groups`` has group, shard, n: members by shard at the start.
     """
-    open_, room, settled = groups, list(quota), None
-    for turn in range(rounds):
-        free = [i for i, r in enumerate(room) if r > 0]
-        if not free:
-            break
-        choice = F.struct("n", F.xxhash64("group", "shard", F.lit(turn)).alias("tie"), "shard")
-        counts = open_ if turn == 0 else open_.filter(F.col("shard").isin(free))
-        best = counts.groupBy("group").agg(F.max(choice).alias("best"))
-        total = open_.groupBy("group").agg(F.sum("n").alias("members"))
-        # a group none of whose shards has room tries one by hash
-        other = F.element_at(F.array(*[F.lit(i) for i in free]),
-                             (F.pmod(F.xxhash64("group", F.lit(turn)), F.lit(len(free))) + 1).cast("int"))
-        wish = C.written(total.join(best, "group", "left").select(
-            "group", "members", F.coalesce("best.shard", other).alias("shard")), "wishes")
-        asked = {r["shard"]: r["members"] for r in
-                 wish.groupBy("shard").agg(F.sum("members").alias("members")).collect()}   # a row a shard
-        if not asked:
-            break
-        share = [min(1.0, room[i] / asked[i]) if asked.get(i) else 0.0 for i in range(len(room))]
-        drawn = F.pmod(F.xxhash64("group", F.lit(turn + 1000)), F.lit(1_000_000)) / 1_000_000
-        taken = C.written(wish.filter(drawn < _by_shard(share)), "settled")
-        for r in taken.groupBy("shard").agg(F.sum("members").alias("members")).collect():
-            room[r["shard"]] -= r["members"]
-        now = taken.select("group", "shard")
+    room, parts = list(quota), []
+    sizes = C.written(groups.groupBy("group").agg(F.sum("n").alias("size")), "group-sizes")
+
+    def cut(larger: DataFrame) -> None:
+        for r in larger.orderBy(F.desc("size"), "group").collect():    # fewer than shards
+            places = split_over(r["size"], room)
+            ends = [0, *itertools.accumulate(rows for _, rows in places)]
+            parts.extend((r["group"], a, b, shard) for (shard, _), a, b in zip(places, ends, ends[1:]))
+
+    open_, settled, turn = C.written(groups.join(sizes, "group"), "open"), None, 0
+    while not open_.isEmpty():
+        turn += 1
+        larger = open_.filter(F.col("size") > max(room)).select("group", "size").distinct()
+        if not larger.isEmpty():
+            cut(larger)
+            open_ = C.written(open_.join(F.broadcast(larger.select("group")), "group", "left_anti"), "open")
+            continue
+        # the shard with most members among those with room for all; without one, any such shard by hash
+        held = open_.filter(F.col("size") <= _by_shard(room))
+        best = held.groupBy("group").agg(
+            F.max(F.struct("n", F.xxhash64("group", "shard", F.lit(turn)).alias("tie"), "shard")).alias("best"))
+        fits = F.filter(F.sequence(F.lit(0), F.lit(len(room) - 1)),
+                        lambda i: F.element_at(F.array(*[F.lit(r) for r in room]), i + 1) >= F.col("size"))
+        other = F.element_at(fits, (F.pmod(F.xxhash64("group", F.lit(turn)), F.size(fits)) + 1).cast("int"))
+        wish = C.written(
+            open_.select("group", "size").distinct().join(best, "group", "left")
+            .select("group", "size", F.coalesce("best.shard", other).alias("shard")), "wishes")
+        # a row for each shard and size: distinct sizes sum to no more than the rows, so there are few.  The
+        # largest wish of a shard always fits, so a round takes something
+        taken = admitted([tuple(r) for r in wish.groupBy("shard", "size").agg(F.count("*").alias("groups"))
+                          .select("shard", "size", "groups").collect()], room)
+        limits = open_.sparkSession.createDataFrame([(s, z, k) for (s, z), k in taken.items()],
+                                                    "shard int, size long, taken long")
+        now = C.written(C.numbered(wish.join(C.sized_broadcast(limits), ["shard", "size"]), ["shard", "size"], ["group"], "nth")
+                        .filter(F.col("nth") < F.col("taken")).select("group", "shard"), "settled")
         settled = now if settled is None else settled.unionByName(now)
+        for (shard, size), k in taken.items():
+            room[shard] -= size * k
         open_ = C.written(open_.join(now.select("group"), "group", "left_anti"), "open")
-        if open_.isEmpty():
-            break
-    return settled if settled is not None else groups.select("group", "shard").limit(0)
+    return settled if settled is not None else groups.select("group", "shard").limit(0), parts, room
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """Per row: doc_id, size, text_crc32, law, shard, slot, grown_shard (null under this law).
 
     The law is ``rows``: counts of shards are at most one apart, slots are
@@ -79,41 +118,47 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
         F.substring(F.unhex(F.sha2(text, 256)), 1, 16).alias("digest")), "rows")
     n = rows.count()
     quota = [n // shards + (i < n % shards) for i in range(shards)]
-    most = max(1, quota[-1] // PARTS)
-    sizes = rows.groupBy("digest").agg(F.count("*").alias("copies")).filter("copies > 1")
-    place = F.xxhash64("doc_id", *_PLACE)
-    linked = C.written(
-        rows.select("doc_id", *_PLACE, "digest").join(sizes, "digest")
-        .withColumn("part", F.pmod(F.xxhash64(place, F.lit(1)), F.ceil(F.col("copies") / most)).cast("int"))
-        .select("doc_id", *_PLACE, F.xxhash64("digest", "part").alias("group"),
-                F.pmod(F.xxhash64(place, F.lit(2)), F.lit(shards)).cast("int").alias("start")), "linked")
-    groups = C.written(linked.groupBy("group", F.col("start").alias("shard")).agg(F.count("*").alias("n")),
-                       "groups")
-    found = propagate(groups, quota, rounds)
     order = ["doc_id", *_PLACE]
-    at_home = C.written(linked.join(found, "group", "left").select(
-        *order, F.coalesce("shard", "start").alias("shard"), F.col("shard").isNull().cast("int").alias("late")),
-        "at-home")
-    counts = {(r["shard"], r["late"]): r["n"] for r in
-              at_home.groupBy("shard", "late").agg(F.count("*").alias("n")).collect()}   # two rows a shard
-    first = [counts.get((i, 0), 0) for i in range(shards)]
-    held = [min(quota[i], first[i] + counts.get((i, 1), 0)) for i in range(shards)]
-    homes = C.written(
-        C.numbered(at_home, ["shard", "late"], order, "number", sum(counts.values()))
-        .withColumn("slot", F.col("number") + F.when(F.col("late") == 1, _by_shard(first)).otherwise(0))
-        .withColumn("slot", F.when(F.col("slot") < _by_shard(held), F.col("slot")))
-        .select(*_PLACE, "shard", "slot"), "homes")
-    placed = homes.filter("slot IS NOT NULL")
-    pool = C.written(rows.select(*order).join(placed.select(*_PLACE), _PLACE, "left_anti")
-                     .withColumn("all", F.lit(0)), "pool")
-    free = F.lit(None)
-    before = [sum(quota[j] - held[j] for j in range(i)) for i in range(shards)]
-    numbered = C.numbered(pool, ["all"], order, "number", n - sum(held))
-    for i in range(shards - 1, -1, -1):   # from the last shard, so the first range that fits is kept
-        free = F.when(F.col("number") < before[i] + quota[i] - held[i], F.lit(i)).otherwise(free)
-    rest = (numbered.withColumn("shard", free.cast("int"))
-            .withColumn("slot", F.col("number") - _by_shard(before) + _by_shard(held)).select(*_PLACE, "shard", "slot"))
-    return (rows.join(placed.unionByName(rest), _PLACE)
-            .select("doc_id", "size", F.col("text_crc32").cast("long").alias("text_crc32"),
-                    F.lit("rows").alias("law"), "shard", F.col("slot").cast("long").alias("slot"),
+    copies = C.written(rows.groupBy("digest").agg(F.count("*").alias("copies")).filter("copies > 1")
+                       .select(F.col("digest").alias("group")), "groups")
+    linked = C.written(rows.join(C.sized_broadcast(copies), F.col("digest") == F.col("group")).select(*order, "group"), "linked")
+    start = F.pmod(F.xxhash64("doc_id", *_PLACE), F.lit(shards)).cast("int")
+    found, parts, room = propagate(linked.groupBy("group", start.alias("shard")).agg(F.count("*").alias("n")), quota)
+    homes = linked.join(C.sized_broadcast(found), "group").select(*order, "shard")
+    if parts:
+        table = F.broadcast(rows.sparkSession.createDataFrame(    # groups and shards: at most 2 x shards squared rows
+            [(bytes(g), a, b, s) for g, a, b, s in parts], "group binary, low long, high long, shard int"))
+        of_cut = C.numbered(C.written(linked.join(F.broadcast(table.select("group").distinct()), "group", "left_semi"), "cut"),
+                            ["group"], order, "number")
+        homes = homes.unionByName(of_cut.join(table, "group").filter("number >= low and number < high").select(*order, "shard"))
+    homes = C.written(homes, "homes")
+    placed = C.numbered(homes, ["shard"], order, "slot").select(*_PLACE, "shard", "slot")
+    pool = C.written(rows.select(*order).join(homes.select(*_PLACE), _PLACE, "left_anti").withColumn("all", F.lit(0)), "pool")
+    before = [0, *itertools.accumulate(room)]
+    held = [q - r for q, r in zip(quota, room, strict=True)]
+    where = F.lit(None).cast("int")
+    for i in reversed(range(shards)):
+        where = F.when(F.col("number") < before[i + 1], F.lit(i)).otherwise(where)
+    filled = (C.numbered(pool, ["all"], order, "number").withColumn("shard", where)
+              .select(*_PLACE, "shard", (F.col("number") - _by_shard(before[:-1]) + _by_shard(held)).cast("long").alias("slot")))
+    return (rows.join(placed.unionByName(filled), _PLACE)
+            .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                     F.lit(None).cast("int").alias("grown_shard")))
+
+
+def cut_report(sharded: DataFrame) -> DataFrame:
+    """(groups, cut, parts, cut_edges, least_parts): how the groups of equal texts fared.
+
+    ``parts`` counts a group's shards, ``least_parts`` those that it needs
+    (its rows over the largest shard's, rounded up).  With each member linked to the next,
+    a group in p parts has p - 1 cut edges at least, and this sharding cuts no more.
+    """
+    group = ["text_crc32", "size"]
+    largest = sharded.groupBy("shard").agg(F.count("*").alias("rows")).agg(F.max("rows").alias("most")).first()["most"] or 1
+    by = (sharded.groupBy(*group, "shard").agg(F.count("*").alias("n")).groupBy(*group)
+          .agg(F.count("*").alias("parts"), F.sum("n").alias("n")).filter("n > 1"))
+    least = F.ceil(F.col("n") / largest)
+    return by.agg(F.count("*").alias("groups"), F.count_if(F.col("parts") > least).alias("cut"),
+                  F.coalesce(F.sum("parts"), F.lit(0)).alias("parts"),
+                  F.coalesce(F.sum(F.col("parts") - 1), F.lit(0)).alias("cut_edges"),
+                  F.coalesce(F.sum(least), F.lit(0)).cast("long").alias("least_parts"))
