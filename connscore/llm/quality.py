@@ -1,13 +1,15 @@
 """Quality classifier: interpolated modified Kneser-Ney n-grams of trusted text.
 
-A text is a sequence of 32 symbols (letters, upper case, digits and signs,
-blanks, punctuation, letters beyond ASCII, the document's edge), so an n-gram
-of ``ORDER`` symbols is a code of 20 bits and every table of the model has at
-most 32 ** ORDER rows, whatever the corpus.  Tasks count the codes of trusted
-documents and send partial counts; counts, continuation counts and back-off
-weights of all orders are joined, sharded by code, into one table of
-log-probabilities.  That table (4 MB, bounded by its code range) goes to the
-tasks, which read each whole text.
+A text is a sequence of symbols, its characters (digits are one symbol, white
+space is one, rare scripts share some), so an n-gram of ``ORDER`` symbols is a whole number of 60 bits.
+Counts of trusted documents, continuation counts, discounts and back-off
+weights are tables keyed by n-gram, sharded by it, and grow with the corpus.
+
+Documents get at them by joins.  They are dealt into blocks of files; a block
+asks once for each distinct n-gram that occurs in it, the distinct n-grams of all
+blocks are joined, order by order, to counts and weights, and each block gets
+the probabilities that it asked for.  A task reads a block's probabilities,
+then streams its documents past them and sums each document.
 
 A document is rejected if its perplexity is above the quantile that the trusted
 documents of its language have.
@@ -22,13 +24,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from connscore.llm import common as C
 
 #: Symbols of an n-gram, bits of a symbol.
-ORDER, BITS = 4, 5
+ORDER, BITS = 5, 12
 
 #: Share of trusted documents of a language that a threshold keeps.
 QUANTILE = 0.995
@@ -36,23 +37,28 @@ QUANTILE = 0.995
 #: Steps of log10 perplexity per unit in the threshold's histogram.
 STEPS = 5000
 
-_EDGE, _BEYOND, _UPPER, _SIGN, _BLANK, _POINT, _SKIP = 0, 27, 28, 29, 30, 31, 255
-_SYMBOL = np.full(256, _SIGN, np.uint8)
-_SYMBOL[97:123] = np.arange(1, 27)
-_SYMBOL[65:91] = _UPPER
-_SYMBOL[[9, 10, 11, 12, 13, 32]] = _BLANK
-_SYMBOL[[ord(c) for c in ".,;:'\"-()?"]] = _POINT
-_SYMBOL[0x80:0xC0] = _SKIP           # the rest of a letter beyond ASCII
-_SYMBOL[0xC0:] = _BEYOND
-
-
-def _codes(text: str | None, order: int = ORDER) -> np.ndarray:
-    """Codes of the n-grams of a text, one for each symbol and one for the end."""
-    s = _SYMBOL[np.frombuffer((text or "").encode(), np.uint8)]
-    s = s[s != _SKIP].astype(np.int32)
-    s = np.concatenate((np.zeros(order - 1, np.int32), s, np.zeros(1, np.int32)))
+#: Rows of a file that make a block; n-grams that a task holds before it sorts them.
+BLOCK_ROWS, HELD = 32_768, 1 << 21
+
+#: Characters up to here are symbols of their own; those beyond share the rest by hash.
+OWN = 0x600
+
+_PLACE = [C.FILE, C.ROW]
+
+
+def _symbols(text: str | None) -> np.ndarray:
+    """Symbols of a text; 0 is kept for its edges."""
+    s = np.frombuffer((text or "").encode("utf-32-le", "replace"), "<u4").astype(np.int64)
+    s = np.where((s >= 48) & (s <= 57), 48, s)
+    s = np.where((s >= 9) & (s <= 13), 32, s)
+    return np.where(s < OWN, np.maximum(s, 1), OWN + (s * 2654435761 >> 8) % ((1 << BITS) - OWN))
+
+
+def codes_of(text: str | None, order: int = ORDER) -> np.ndarray:
+    """The n-grams of a text as numbers, one for each symbol and one for the end."""
+    s = np.concatenate((np.zeros(order - 1, np.int64), _symbols(text), np.zeros(1, np.int64)))
     n = len(s) - order + 1
-    code = np.zeros(n, np.int32)
+    code = np.zeros(n, np.int64)
     for i in range(order):
         code = (code << BITS) | s[i:i + n]
     return code
@@ -60,16 +66,54 @@ def _codes(text: str | None, order: int = ORDER) -> np.ndarray:
 
 def _count(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << (BITS * order), np.int64)
+        held, size = [], 0
+
+        def counted() -> pa.RecordBatch:
+            found, times = np.unique(np.concatenate(held), return_counts=True)
+            return pa.record_batch({"code": pa.array(found, pa.int64()), "n": pa.array(times, pa.int64())})
+
         for batch in batches:
             for text in batch.column(0):
-                found, times = np.unique(_codes(text.as_py(), order), return_counts=True)
-                counts[found] += times
-        at = np.flatnonzero(counts)
-        yield pa.record_batch({"code": pa.array(at, pa.int64()), "n": pa.array(counts[at], pa.int64())})
+                held.append(codes_of(text.as_py(), order))
+                size += len(held[-1])
+                if size >= HELD:
+                    yield counted()
+                    held, size = [], 0
+        if held:
+            yield counted()
     return run
 
 
+def _asked(order: int):
+    """(block, text) to the distinct n-grams of each block that a task meets."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[int, tuple[np.ndarray, list[np.ndarray], int]] = {}
+
+        def merged(block: int) -> np.ndarray:
+            done, more, _ = sets[block]
+            return np.unique(np.concatenate([done, *more]))
+
+        for batch in batches:
+            for block, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if block not in sets:
+                    for other in list(sets):      # rows come file by file; a block that comes again asks again
+                        yield _requests(other, merged(other))
+                    sets = {block: (np.empty(0, np.int64), [], 0)}
+                done, more, size = sets[block]
+                more.append(codes_of(text.as_py(), order))
+                size += len(more[-1])
+                sets[block] = (done, more, size)
+                if size >= HELD:
+                    sets[block] = (merged(block), [], 0)
+        for block in sets:
+            yield _requests(block, merged(block))
+    return run
+
+
+def _requests(block: int, codes: np.ndarray) -> pa.RecordBatch:
+    return pa.record_batch({"block": pa.array(np.full(len(codes), block), pa.int64()), "code": pa.array(codes, pa.int64())})
+
+
 def _discounts(counts: DataFrame) -> list[float]:
     """Discounts for counts 0, 1, 2 and 3 or more; half where counts of counts do not give them."""
     row = counts.agg(*[F.count_if(F.col("n") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
@@ -82,64 +126,95 @@ def _discounts(counts: DataFrame) -> list[float]:
     return out
 
 
-def probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(code, p) of every n-gram code: interpolated modified Kneser-Ney.
+def probabilities(counts: DataFrame, order: int = ORDER, needed: DataFrame | None = None,
+                  bits: int = BITS) -> DataFrame:
+    """(code, p) of the n-grams ``needed`` (distinct; all there are if None): interpolated modified Kneser-Ney.
 
     ``counts`` has code and n of the highest order.  Lower orders count in how
-    many ways an n-gram continues to the left.
+    many ways an n-gram continues to the left.  What is needed of a lower order
+    are the endings of what is needed of the next.
     """
     spark = counts.sparkSession
-    by_order = {order: counts}
+    by_order, wanted = {order: counts}, {order: needed if needed is not None
+                                         else spark.range(1 << (bits * order)).withColumnRenamed("id", "code")}
     for k in range(order - 1, 0, -1):
-        suffix = F.col("code").bitwiseAND((1 << (BITS * k)) - 1)
-        by_order[k] = C.written(by_order[k + 1].groupBy(suffix.alias("code")).agg(F.count("*").alias("n")),
-                                f"continuations-{k}")
-    lower = spark.range(1).select(F.lit(0).cast("long").alias("code"), F.lit(1.0 / (1 << BITS)).alias("p"))
+        suffix = F.col("code").bitwiseAND((1 << (bits * k)) - 1).alias("code")
+        by_order[k] = C.written(by_order[k + 1].groupBy(suffix).agg(F.count("*").alias("n")), f"continuations-{k}")
+        wanted[k] = wanted[k + 1].select(suffix).distinct()
+        if k > 1:
+            wanted[k] = C.written(wanted[k], f"wanted-{k}")
+    lower = spark.range(1).select(F.lit(0).cast("long").alias("code"), F.lit(1.0 / (1 << bits)).alias("p"))
     for k in range(1, order + 1):
         d = _discounts(by_order[k])
         discount = F.when(F.col("n") == 1, d[1]).when(F.col("n") == 2, d[2]).otherwise(d[3])
-        context = by_order[k].groupBy(F.shiftright("code", BITS).alias("context")).agg(
+        context = by_order[k].groupBy(F.shiftright("code", bits).alias("context")).agg(
             F.sum("n").alias("total"), F.sum(discount).alias("saved"))
-        grid = spark.range(1 << (BITS * k)).withColumnRenamed("id", "code").select(
-            "code", F.shiftright("code", BITS).alias("context"),
-            F.col("code").bitwiseAND((1 << (BITS * (k - 1))) - 1).alias("suffix"))
+        parts = wanted[k].select("code", F.shiftright("code", bits).alias("context"),
+                                 F.col("code").bitwiseAND((1 << (bits * (k - 1))) - 1).alias("suffix"))
         own = F.coalesce(F.greatest(F.col("n") - discount, F.lit(0.0)) / F.col("total"), F.lit(0.0))
         back = F.coalesce(F.col("saved") / F.col("total"), F.lit(1.0))
         lower = C.written(
-            grid.join(by_order[k], "code", "left").join(context, "context", "left")
+            parts.join(by_order[k], "code", "left").join(context, "context", "left")
             .join(lower.select(F.col("code").alias("suffix"), F.col("p").alias("below")), "suffix")
             .select("code", (own + back * F.col("below")).alias("p")), f"kneser-ney-{k}")
     return lower
 
 
-def train(trusted: DataFrame, order: int = ORDER) -> np.ndarray:
-    """log10 probability by code, from the texts of ``trusted``; uniform if there are none."""
+def train(trusted: DataFrame, order: int = ORDER) -> DataFrame:
+    """(code, n): the n-grams of the texts of ``trusted``."""
     partial = trusted.select("text").mapInArrow(_count(order), "code long, n long")
-    counts = C.written(partial.groupBy("code").agg(F.sum("n").alias("n")), "ngrams")
-    table = probabilities(counts, order).select("code", "p").toArrow()   # 32 ** order rows
-    out = np.empty(1 << (BITS * order), np.float32)
-    out[table["code"].to_numpy()] = np.log10(table["p"].to_numpy())
-    return out
+    return C.written(partial.groupBy("code").agg(F.sum("n").alias("n")), "ngrams")
 
 
-def _score(table: np.ndarray, order: int):
+def _score(order: int):
+    """Rows (block, kind, code, logp, text, ...) by block, a block's probabilities (kind 0) first, to scored texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, codes, logs, ready = None, [], [], (np.empty(0, np.int64), np.empty(0))
         for batch in batches:
-            n, logp = [], []
-            for text in batch.column(batch.schema.names.index("__text")):
-                codes = _codes(text.as_py(), order)
-                n.append(len(codes))
-                logp.append(float(table[codes].sum(dtype=np.float64)))
-            out = {c: v for c, v in zip(batch.schema.names, batch.columns, strict=True) if c != "__text"}
-            out |= {"__n": pa.array(n, pa.int64()), "__logp": pa.array(logp, pa.float64())}
-            yield pa.record_batch(out)
+            blocks, kinds = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            edges = np.flatnonzero((blocks[1:] != blocks[:-1]) | (kinds[1:] != kinds[:-1])) + 1
+            n, total = [], []
+            for low, high in zip([0, *edges.tolist()], [*edges.tolist(), len(blocks)], strict=True):
+                if low == high:
+                    continue
+                if blocks[low] != now:
+                    now, codes, logs = blocks[low], [], []
+                if kinds[low] == 0:
+                    codes.append(batch.column(2).slice(low, high - low).to_numpy(zero_copy_only=False).astype(np.int64))
+                    logs.append(batch.column(3).slice(low, high - low).to_numpy(zero_copy_only=False))
+                    continue
+                if codes:
+                    known = np.concatenate(codes)
+                    turn = np.argsort(known, kind="stable")
+                    ready, codes = (known[turn], np.concatenate(logs)[turn]), []
+                for text in batch.column(4).slice(low, high - low):
+                    own = codes_of(text.as_py(), order)
+                    n.append(len(own))
+                    total.append(float(ready[1][np.searchsorted(ready[0], own)].sum(dtype=np.float64)))
+            texts = pa.array(np.flatnonzero(kinds == 1))
+            out = {name: batch.column(i).take(texts) for i, name in enumerate(batch.schema.names) if i > 4}
+            yield pa.record_batch(out | {"n_symbols": pa.array(n, pa.int64()), "logp": pa.array(total, pa.float64())})
     return run
 
 
-def scored(rows: DataFrame, table: np.ndarray, order: int = ORDER) -> DataFrame:
-    """``rows`` with __n (symbols and the end) and __logp (log10 probability of the text)."""
-    schema = StructType([*rows.schema.fields, StructField("__n", LongType()), StructField("__logp", DoubleType())])
-    return rows.select("*", F.col("text").alias("__text")).mapInArrow(_score(table, order), schema)
+def scored(rows: DataFrame, counts: DataFrame, order: int = ORDER, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(doc_id, lang, place, n_symbols, logp) of ``rows``: symbols with the end, log10 probability of the text.
+
+    ``rows`` has doc_id, text, lang and the place columns of ``common.located``.
+    """
+    block = F.xxhash64(C.FILE, F.floor(F.col(C.ROW) / block_rows)).alias("block")
+    asked = C.written(rows.select(block, "text").mapInArrow(_asked(order), "block long, code long"), "asked")
+    needed = C.written(asked.select("code").distinct(), "needed")
+    answers = (asked.join(probabilities(counts, order, needed), "code")
+               .select("block", F.lit(0).alias("kind"), "code", F.log10("p").alias("logp")))
+    kept = {"doc_id": "long", "lang": "string", C.FILE: "long", C.ROW: "long"}
+    texts = rows.select(block, F.lit(1).alias("kind"), F.lit(None).cast("long").alias("code"),
+                        F.lit(None).cast("double").alias("logp"), "text", *[F.col(c).cast(t).alias(c) for c, t in kept.items()])
+    answers = answers.select("*", F.lit(None).cast("string").alias("text"),
+                             *[F.lit(None).cast(t).alias(c) for c, t in kept.items()])
+    dealt = answers.unionByName(texts).repartition("block").sortWithinPartitions("block", "kind")
+    schema = ", ".join(f"{c} {t}" for c, t in kept.items()) + ", n_symbols long, logp double"
+    return dealt.mapInArrow(_score(order), schema)
 
 
 def _language(column: str = "lang") -> Column:
@@ -150,7 +225,7 @@ def thresholds(trusted: DataFrame, quantile: float = QUANTILE) -> tuple[DataFram
     """(language, most) of log10 perplexity, and the one over all languages (infinite without rows)."""
     cells = C.written(
         trusted.groupBy(_language().alias("language"),
-                        F.floor(-F.col("__logp") / F.col("__n") * STEPS).alias("cell"))
+                        F.floor(-F.col("logp") / F.col("n_symbols") * STEPS).alias("cell"))
         .agg(F.count("*").alias("n")), "perplexities")
 
     def edge(df: DataFrame, by: list[str]) -> DataFrame:
@@ -165,39 +240,49 @@ def thresholds(trusted: DataFrame, quantile: float = QUANTILE) -> tuple[DataFram
     return edge(cells, ["language"]), overall["most"] if overall else math.inf
 
 
-def judged(docs: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE) -> DataFrame:
-    """``docs`` with __n, __logp, __most (log10) and __keep.
+def judged(rows: DataFrame, labels: DataFrame, order: int = ORDER, quantile: float = QUANTILE) -> DataFrame:
+    """(doc_id, lang, place, n_symbols, logp, most (log10), keep) of located ``rows``.
 
     Trusted are the documents that ``labels`` (doc_id, quality, toxic) gives
     quality 1 and not toxic.  A language without trusted documents, and a null
     one, has the threshold of all.  Null and empty texts count their end alone
-    and are judged by it.  Without trusted documents everything is kept.
+    and are judged by it.  Without trusted documents everything is kept.  An empty
+    table gives an empty result; repeated rows are judged each for itself.
     """
     good = (labels.filter((F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0))
-            .select(F.col("doc_id").alias("__good")).distinct())
+            .select(F.col("doc_id").cast("long").alias("__good")).distinct())
     few = C.sized_broadcast(good)
-    trusted = docs.select("doc_id", "text", "lang").join(few, F.col("doc_id") == F.col("__good"), "left_semi")
-    table = train(trusted, order)
-    by_language, overall = thresholds(scored(trusted.select("text", "lang"), table, order), quantile)
+
+    def trusted(table: DataFrame) -> DataFrame:
+        return table.join(few, F.col("doc_id") == F.col("__good"), "left_semi")
+
+    own = C.written(scored(rows, train(trusted(rows.select("doc_id", "text")), order), order), "scores")
+    by_language, overall = thresholds(trusted(own), quantile)
     limits = C.sized_broadcast(C.written(by_language.select(F.col("language").alias("__language"),
                                                             F.col("most").alias("__own")), "thresholds"))
-    own = scored(docs, table, order)
     return (own.join(limits, _language() == F.col("__language"), "left")
-            .withColumn("__most", F.when(F.col("lang").isNotNull(), F.coalesce("__own", F.lit(overall)))
+            .withColumn("most", F.when(F.col("lang").isNotNull(), F.coalesce("__own", F.lit(overall)))
                         .otherwise(F.lit(overall)))
-            .withColumn("__keep", -F.col("__logp") / F.col("__n") <= F.col("__most"))
+            .withColumn("keep", -F.col("logp") / F.col("n_symbols") <= F.col("most"))
             .drop("__language", "__own"))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per row: doc_id, lang, n_symbols, log10_prob, perplexity, threshold, kept."""
-    rows = judged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang"), labels)
+    """Per row: doc_id, lang, n_symbols, log10_prob, perplexity, threshold, kept (see ``judged``)."""
+    located = C.located(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang"), "quality-docs")
+    rows = judged(located, labels)
     return rows.select(
-        "doc_id", "lang", F.col("__n").alias("n_symbols"), F.col("__logp").alias("log10_prob"),
-        F.pow(F.lit(10.0), -F.col("__logp") / F.col("__n")).alias("perplexity"),
-        F.pow(F.lit(10.0), F.col("__most")).alias("threshold"), F.col("__keep").alias("kept"))
+        "doc_id", "lang", "n_symbols", F.col("logp").alias("log10_prob"),
+        F.pow(F.lit(10.0), -F.col("logp") / F.col("n_symbols")).alias("perplexity"),
+        F.pow(F.lit(10.0), F.col("most")).alias("threshold"), F.col("keep").alias("kept"))
 
 
 def kept_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are not rejected, with their columns."""
-    return judged(docs, labels).filter("__keep").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that are not rejected, with all their columns, whatever those are called.
+
+    Nulls, empty texts and missing labels as in ``judged``; an empty table stays empty.
+    """
+    plain, named = C.plain_names(docs, ["doc_id", "text", "lang"])
+    rows = C.located(plain, "quality-docs")
+    kept = judged(rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", *_PLACE), labels)
+    return named(rows.join(C.sized_broadcast(kept.filter("keep").select(*_PLACE)), _PLACE, "left_semi"))
