@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
@@ -52,6 +52,16 @@ def located(df: DataFrame, name: str = "located") -> DataFrame:
         return written(df, name).select("*", *place)
 
 
+def plain_names(docs: DataFrame, read: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` under names that no operator uses, but for the columns ``read``, and what gives the names back.
+
+    Whatever other columns are called (names of an operator's own columns, names
+    with dots, names that differ in case alone), they come through unchanged.
+    """
+    inner = [c if c in read else f"__llm_column_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*inner), lambda rows: rows.select(*inner).toDF(*docs.columns)
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it is counted to be small, else as it is (shuffle join)."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

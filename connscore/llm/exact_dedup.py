@@ -131,7 +131,12 @@ def _differing(rows: DataFrame, state: DataFrame, level: int, digest_bytes: int)
 
 
 def kept_rows(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    rows = C.located(docs, "dedup-docs")
+    """The rows of ``docs`` that stay, with all their columns, whatever those are called.
+
+    Of equal texts (null as empty) the row with the smallest doc_id stays, a
+    null id last, the first in place of equal ids.  An empty table stays empty.
+    """
+    plain, named = C.plain_names(docs, ["doc_id", "text"])
+    rows = C.located(plain, "dedup-docs")
     result = located_dedup(rows.select("doc_id", "text", *_PLACE)).filter("kept").select(*_PLACE)
-    return rows.join(result, _PLACE, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return named(rows.join(result, _PLACE, "left_semi"))

@@ -316,7 +316,8 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     (similarity of the aligned five-word shingles at least 0.8), directly or
     through others.  Texts with the same words are one class; null, empty and blank
     texts are one such class.  Texts under five words are one shingle.  kept
-    is true for one row per class: smallest doc_id (null last), then place.
+    is true for one row per class: smallest doc_id (null last), then place.  An
+    empty table gives an empty result.
     """
     return located_dedup(C.located(docs.select("doc_id", "text"), "near-docs"))
 
@@ -354,7 +355,12 @@ def located_dedup(located: DataFrame) -> DataFrame:
 
 
 def kept_rows(docs: DataFrame) -> DataFrame:
-    """One row of each class of ``docs``, with all its columns."""
-    rows = C.located(docs, "near-docs")
+    """One row of each class of ``docs``, with all its columns, whatever those are called.
+
+    It is the one with the smallest doc_id (null last), then the first in
+    place; null, empty and blank texts are one class.  An empty table stays empty.
+    """
+    plain, named = C.plain_names(docs, ["doc_id", "text"])
+    rows = C.located(plain, "near-docs")
     kept = located_dedup(rows).filter("kept").select(*_PLACE)
-    return rows.join(kept, _PLACE, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return named(rows.join(kept, _PLACE, "left_semi"))

@@ -255,6 +255,8 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = LENGTH,
          cached: int = CACHED_WORDS) -> DataFrame:
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
+    The names of the tokenizer's special tokens are ordinary text in a document
+    (its ``encode_special_tokens``), so no text can end a sequence by itself.
     A null text is empty: one piece that holds the end id alone.  Repeated
     rows and ids are packed each for itself.  An empty table gives no piece.
     Workers keep the ids of ``cached`` words and stems, which costs about 300

@@ -424,20 +424,21 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINI
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
-    """``docs`` with the columns as before, repeated passages cut out of text.
+    """``docs`` with the columns as before, whatever they are called, repeated passages cut out of text.
 
     A text that loses words has its others joined by one space and n_chars
-    counted anew; any other text stays as it is.
+    counted anew; any other text, null and empty ones too, stays as it is, and
+    so do all rows.  An empty table stays empty.
     """
-    rows = C.located(docs, "substring-docs")
-    others = [c for c in docs.columns if c != "text"]
-    fields = [f for f in docs.schema.fields if f.name != "text"]
+    plain, named = C.plain_names(docs, ["text", "n_chars"])
+    rows = C.located(plain, "substring-docs")
+    others = [c for c in plain.columns if c != "text"]
+    fields = [f for f in plain.schema.fields if f.name != "text"]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields]
                        + ["n_words long", "n_removed long", "result string"])
     joined = _with_spans(rows, window, minimiser, BUCKET_BYTES).select(*others, "text", "__spans")
-    cut = joined.mapInArrow(_cut(others, True), schema)
-    out = {"text": F.col("result")}
+    cut = joined.mapInArrow(_cut(others, True), schema).withColumn("text", F.col("result"))
     if "n_chars" in others:
-        out["n_chars"] = F.when(F.col("n_removed") > 0, F.length("result")).otherwise(F.col("n_chars")).cast(
-            docs.schema["n_chars"].dataType)
-    return cut.select(*[out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("result")).otherwise(F.col("n_chars"))
+                             .cast(plain.schema["n_chars"].dataType))
+    return named(cut)

@@ -14,6 +14,7 @@ import public_tokenizers as P
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from connscore.llm import ann, bpe, exact_dedup, language_id, lm, near_dedup, packing, quality, sharding
@@ -127,6 +128,43 @@ def test_sharding_splits_a_group_larger_than_a_shard(spark):
     assert set(counts.values()) == {20}
 
 
+def test_sharding_places_groups_whole(spark):
+    """150 equal texts in one shard of 200, 1,000 in five, and groups that fill 97 % of the rows whole but for a few."""
+    for sizes, single, want in (([150], 3050, 1), ([1000], 2200, 5), ([1050], 2150, 6), ([150, 1000, 199, 200, 201], 1450, 10)):
+        rows, k = [], 0
+        for g, n in enumerate([*sizes, *[1] * single]):
+            rows += [(k + i, f"text {g}") for i in range(n)]
+            k += n
+        out = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"))
+        got = sharding.cut_report(out).first()
+        assert (got["parts"], got["least_parts"], got["cut"]) == (want, want, 0)
+        assert set(collections.Counter(r.shard for r in out.collect()).values()) == {200}
+    random.seed(5)
+    rows, k = [], 0
+    for g in range(88):
+        n = random.randrange(20, 51)
+        rows += [(k + i, f"group {g}") for i in range(n)]
+        k += n
+    rows += [(k + i, f"own {i}") for i in range(round(k * 0.03))]
+    got = sharding.cut_report(sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"))).first()
+    assert got["groups"] == 88 and got["cut"] <= 5 and got["cut_edges"] <= 10
+
+
+def test_sharding_room_is_never_exceeded():
+    random.seed(6)
+    for _ in range(200):
+        room = [random.randrange(50) for _ in range(6)]
+        wishes = [(s, z, random.randrange(1, 4)) for s in range(6) for z in random.sample(range(1, 40), 5)]
+        taken = sharding.admitted(wishes, room)
+        for s in range(6):
+            assert sum(z * k for (t, z), k in taken.items() if t == s) <= room[s]
+        left, size = list(room), random.randrange(sum(room) + 1)
+        parts = sharding.split_over(size, left)
+        assert sum(r for _, r in parts) == size and min(left) >= 0
+        fewest = next(i for i in range(7) if sum(sorted(room, reverse=True)[:i]) >= size)
+        assert len(parts) == fewest
+
+
 # op5
 
 def test_nearest_recall_and_scores(spark):
@@ -159,6 +197,27 @@ def test_nearest_odd_vectors_and_many_equal_ones(spark):
     assert ann.nearest(df.limit(0)).count() == 0
 
 
+def test_nearest_of_several_lengths_in_double_precision(spark):
+    rows = [(i, [1.0 + i * 1e-12, 2.0]) for i in range(30)] + [(100 + i, [float(i + 1)]) for i in range(5)]
+    got = collections.defaultdict(list)
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    assert [v for _, v, _ in sorted(got[0])] == list(range(1, 11))      # told apart by doubles alone
+    assert [v for _, v, _ in sorted(got[100])] == [101, 102, 103, 104]
+
+
+def test_nearest_sends_rows_for_queries_that_are_there(spark):
+    index = spark.range(40_000).select(F.col("id").alias("vec_id"), F.lit(b"v").alias("vec"), (F.col("id") % 4).alias("leaf"))
+    for n, where, want in ((600, 1, 2 * 10_000), (600, 4, 40_000), (3, 1, 10_000), (5000, 4, 3 * 40_000)):
+        probes = spark.range(n).select(F.col("id").alias("query_id"), F.lit(b"v").alias("vec"), F.lit(1.0).alias("bound"),
+                                       (F.col("id") % where).alias("leaf"))
+        left, right = ann.dealt(index, probes, 4)
+        assert left.count() == want
+        assert right.count() == 2 * n      # a leaf of 10,000 rows has two blocks
+        assert left.select("leaf", "block", "chunk").distinct().join(
+            right.select("leaf", "block", "chunk").distinct(), ["leaf", "block", "chunk"], "left_anti").isEmpty()
+
+
 # op6
 
 def test_lm_scores(documents, odd):
@@ -298,10 +357,107 @@ def test_quality_keeps_trusted_text_and_sums_to_one(spark, documents):
     bad = [r.doc_id for r in labels.collect() if r.quality == 0]
     assert sum(rows[i].kept for i in bad) < 0.5 * len(bad)
     counts = spark.createDataFrame([(3, 5), (35, 1), (67, 2), (1023, 1)], "code long, n long")
-    p = quality.probabilities(counts, 2).toPandas().sort_values("code").p.to_numpy().reshape(32, 32)
+    p = quality.probabilities(counts, 2, bits=5).toPandas().sort_values("code").p.to_numpy().reshape(32, 32)
     assert np.allclose(p.sum(axis=1), 1) and (p > 0).all()
 
 
+def kneser_ney(corpus, order):
+    """log10 probability of a symbol sequence's n-grams, by plain dictionaries."""
+    grams = collections.Counter()
+    for text in corpus:
+        s = [0] * (order - 1) + [int(x) for x in quality._symbols(text)] + [0]
+        grams.update(tuple(s[i:i + order]) for i in range(len(s) - order + 1))
+    by = {order: grams}
+    for k in range(order - 1, 0, -1):
+        by[k] = collections.Counter(g[1:] for g in by[k + 1])
+    discounts = {}
+    for k, table in by.items():
+        n = collections.Counter(table.values())
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.0
+        d = [0.0]
+        for c in (1, 2, 3):
+            x = c - (c + 1) * y * n[c + 1] / n[c] if n[c] and n[1] else 0.5
+            d.append(min(max(x, 0.05), c - 0.05))
+        discounts[k] = d
+
+    def p(gram):
+        if not gram:
+            return 1 / (1 << quality.BITS)
+        table, d = by[len(gram)], discounts[len(gram)]
+        after = {g: c for g, c in table.items() if g[:-1] == gram[:-1]}
+        below = p(gram[1:])
+        if not after:
+            return below
+        total, saved = sum(after.values()), sum(d[min(c, 3)] for c in after.values())
+        c = after.get(gram, 0)
+        return max(c - d[min(c, 3)], 0) / total + saved / total * below
+
+    def score(text):
+        s = [0] * (order - 1) + [int(x) for x in quality._symbols(text)] + [0]
+        return sum(math.log10(p(tuple(s[i:i + order]))) for i in range(len(s) - order + 1))
+    return score
+
+
+def test_quality_equals_plain_kneser_ney(spark):
+    corpus = ["the cat sat", "the cats sat on the mat", "a cat", None, "слово один два", "слово три"]
+    asked = [*corpus, "the dog", "", "тест слово", "中文字", "zzz 123", "the cat sat the cat sat"]
+    df = spark.createDataFrame([(i, t, "xx") for i, t in enumerate(asked)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(corpus))], "doc_id long, quality long, toxic long")
+    for block_rows in (2, 32_768):
+        rows = C.located(df)
+        few = rows.join(labels, "doc_id", "left_semi")
+        got = {r.doc_id: (r.n_symbols, r.logp) for r in
+               quality.scored(rows, quality.train(few, 3), 3, block_rows).collect()}
+        want = kneser_ney(corpus, 3)
+        assert set(got) == set(range(len(asked)))
+        for i, t in enumerate(asked):
+            assert got[i] == (len(t or "") + 1, pytest.approx(want(t), abs=1e-9))
+    assert {r.kept for r in quality.classify(df.filter("doc_id < 6"), labels).collect()} == {True}
+
+
+def test_quality_tells_gibberish_of_other_scripts(spark):
+    random.seed(4)
+    words = {"ru": "слово один два три город река дом свет время люди".split(),
+             "zh": "中文 文字 学习 城市 河流 时间 人们 光明".split(), "en": "river city light people time house word".split()}
+    rows = []
+    for lang, w in words.items():
+        letters = sorted(set("".join(w)))
+        for i in range(150):
+            text = " ".join(random.choice(w) for _ in range(40))
+            rows.append((len(rows), text, lang))
+        for i in range(20):
+            rows.append((10_000 + len(rows), "".join(random.choice([*letters, " "]) for _ in range(200)), lang))
+    labels = [(r[0], 1, 0) for r in rows if r[0] < 10_000]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = quality.classify(df, spark.createDataFrame(labels, "doc_id long, quality long, toxic long")).collect()
+    worst = {lang: max(r.perplexity for r in out if r.lang == lang and r.doc_id < 10_000) for lang in words}
+    assert all(r.perplexity > 3 * worst[r.lang] and not r.kept for r in out if r.doc_id >= 10_000)
+
+
+#: Names that operators use inside, names with dots, a name that differs in case alone.
+CLASHING = ["n_words", "n_removed", "result", "__n", "__logp", "__keep", "keep", "kept", "shard", "__spans", "__llm_file",
+            "__llm_row", "digest", "node", "label", "block", "a b.c", "x.y", "first", "keys", "lang_pred"]
+
+
+def test_every_operator_and_stage_with_clashing_columns(spark):
+    import corpus_pipeline as pipeline
+    own = ["doc_id", "text", "lang", "source", "n_chars"]
+    rows = [(i, t, g, "s", len(t or ""), *[f"{c}{i}" for c in CLASHING]) for i, t, g in ROWS]
+    df = spark.createDataFrame(
+        rows, ", ".join(f"`{c}` {'long' if c in ('doc_id', 'n_chars') else 'string'}" for c in own + CLASHING))
+    labels = spark.createDataFrame([(1, 1, 0), (6, 1, None)], "doc_id long, quality long, toxic long")
+    for run in (exact_dedup.exact_dedup, lambda d: bpe.round_trip(d, BYTES, P.PATTERN), language_id.language_id,
+                sharding.shard, near_dedup.near_dedup, lambda d: quality.classify(d, labels),
+                lambda d: packing.pack(d, WORDS), substring.substring_dedup):
+        assert run(df).count() >= len(ROWS)
+        assert run(df.limit(0)).count() == 0
+    place = {tuple(r)[5:] for r in df.collect()}
+    for _, stage in pipeline.STAGES[:-1]:
+        out = stage(spark, df, SF)
+        assert out.columns == df.columns
+        assert 0 < out.count() <= len(ROWS) and {tuple(r)[5:] for r in out.collect()} <= place
+
+
 def test_quality_odd_rows(spark, odd):
     none = spark.createDataFrame([], "doc_id long, quality long, toxic long")
     assert quality.kept_rows(spark, odd, none).count() == len(ROWS)
