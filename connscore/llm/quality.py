@@ -38,20 +38,24 @@ QUANTILE = 0.995
 STEPS = 5000
 
 #: Rows of a file that make a block; n-grams that a task holds before it sorts them.
-BLOCK_ROWS, HELD = 32_768, 1 << 21
+BLOCK_ROWS, HELD = 32_768, 1 << 20
 
 #: Characters up to here are symbols of their own; those beyond share the rest by hash.
 OWN = 0x600
 
 _PLACE = [C.FILE, C.ROW]
+_OWN = np.maximum(np.arange(OWN + 1), 1).astype(np.int16)
+_OWN[48:58], _OWN[9:14] = 48, 32
 
 
 def _symbols(text: str | None) -> np.ndarray:
     """Symbols of a text; 0 is kept for its edges."""
-    s = np.frombuffer((text or "").encode("utf-32-le", "replace"), "<u4").astype(np.int64)
-    s = np.where((s >= 48) & (s <= 57), 48, s)
-    s = np.where((s >= 9) & (s <= 13), 32, s)
-    return np.where(s < OWN, np.maximum(s, 1), OWN + (s * 2654435761 >> 8) % ((1 << BITS) - OWN))
+    s = np.frombuffer((text or "").encode("utf-32-le", "replace"), "<u4")
+    own = _OWN[np.minimum(s, OWN)].astype(np.int64)
+    far = np.flatnonzero(s >= OWN)
+    if len(far):
+        own[far] = OWN + (s[far].astype(np.int64) * 2654435761 >> 8) % ((1 << BITS) - OWN)
+    return own
 
 
 def codes_of(text: str | None, order: int = ORDER) -> np.ndarray:
@@ -64,6 +68,43 @@ def codes_of(text: str | None, order: int = ORDER) -> np.ndarray:
     return code
 
 
+class Places:
+    """Places of distinct codes in an array, found by hash (open addressing, all codes of a query at once)."""
+
+    def __init__(self, codes: np.ndarray):
+        bits = max(4, int(2 * len(codes)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.code = np.full(1 << bits, -1, np.int64)
+        self.place = np.full(1 << bits, -1, np.int64)
+        left, slot = np.arange(len(codes)), self._slot(codes)
+        while len(left):
+            free = self.code[slot] < 0
+            self.code[slot[free]] = codes[left[free]]         # of several that want a slot one gets it
+            won = self.code[slot] == codes[left]
+            self.place[slot[won]] = left[won]
+            left, slot = left[~won], (slot[~won] + 1) & self.mask
+
+    def _slot(self, codes: np.ndarray) -> np.ndarray:
+        return (codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        """Place of each code, -1 if it is not there."""
+        slot = self._slot(codes)
+        found = self.code[slot]
+        out = self.place[slot]
+        left = np.flatnonzero((found != codes) & (found >= 0))
+        out[found != codes] = -1
+        slot = slot[left]
+        while len(left):
+            slot = (slot + 1) & self.mask
+            found = self.code[slot]
+            hit = found == codes[left]
+            out[left[hit]] = self.place[slot[hit]]
+            going = ~hit & (found >= 0)
+            left, slot = left[going], slot[going]
+        return out
+
+
 def _count(order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -84,29 +125,40 @@ def _count(order: int):
     return run
 
 
+class _Distinct:
+    """Distinct codes of what is added; codes that are there already cost one look."""
+
+    def __init__(self):
+        self.codes, self.more, self.size = np.empty(0, np.int64), [], 0
+        self.places = Places(self.codes)
+
+    def add(self, codes: np.ndarray) -> None:
+        new = codes[self.places.of(codes) < 0]
+        self.more.append(new)
+        self.size += len(new)
+        if self.size >= max(HELD, len(self.codes)):
+            self.all()
+
+    def all(self) -> np.ndarray:
+        if self.more:
+            self.codes, self.more, self.size = np.unique(np.concatenate([self.codes, *self.more])), [], 0
+            self.places = Places(self.codes)
+        return self.codes
+
+
 def _asked(order: int):
     """(block, text) to the distinct n-grams of each block that a task meets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[int, tuple[np.ndarray, list[np.ndarray], int]] = {}
-
-        def merged(block: int) -> np.ndarray:
-            done, more, _ = sets[block]
-            return np.unique(np.concatenate([done, *more]))
-
+        now, held = None, _Distinct()
         for batch in batches:
             for block, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                if block not in sets:
-                    for other in list(sets):      # rows come file by file; a block that comes again asks again
-                        yield _requests(other, merged(other))
-                    sets = {block: (np.empty(0, np.int64), [], 0)}
-                done, more, size = sets[block]
-                more.append(codes_of(text.as_py(), order))
-                size += len(more[-1])
-                sets[block] = (done, more, size)
-                if size >= HELD:
-                    sets[block] = (merged(block), [], 0)
-        for block in sets:
-            yield _requests(block, merged(block))
+                if block != now:      # rows come file by file; a block that comes again asks again
+                    if now is not None:
+                        yield _requests(now, held.all())
+                    now, held = block, _Distinct()
+                held.add(codes_of(text.as_py(), order))
+        if now is not None:
+            yield _requests(now, held.all())
     return run
 
 
@@ -169,7 +221,7 @@ def train(trusted: DataFrame, order: int = ORDER) -> DataFrame:
 def _score(order: int):
     """Rows (block, kind, code, logp, text, ...) by block, a block's probabilities (kind 0) first, to scored texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, codes, logs, ready = None, [], [], (np.empty(0, np.int64), np.empty(0))
+        now, codes, logs, places, values = None, [], [], Places(np.empty(0, np.int64)), np.empty(0)
         for batch in batches:
             blocks, kinds = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
             edges = np.flatnonzero((blocks[1:] != blocks[:-1]) | (kinds[1:] != kinds[:-1])) + 1
@@ -184,13 +236,11 @@ def _score(order: int):
                     logs.append(batch.column(3).slice(low, high - low).to_numpy(zero_copy_only=False))
                     continue
                 if codes:
-                    known = np.concatenate(codes)
-                    turn = np.argsort(known, kind="stable")
-                    ready, codes = (known[turn], np.concatenate(logs)[turn]), []
+                    places, values, codes = Places(np.concatenate(codes)), np.concatenate(logs), []
                 for text in batch.column(4).slice(low, high - low):
                     own = codes_of(text.as_py(), order)
                     n.append(len(own))
-                    total.append(float(ready[1][np.searchsorted(ready[0], own)].sum(dtype=np.float64)))
+                    total.append(float(values[places.of(own)].sum(dtype=np.float64)))
             texts = pa.array(np.flatnonzero(kinds == 1))
             out = {name: batch.column(i).take(texts) for i, name in enumerate(batch.schema.names) if i > 4}
             yield pa.record_batch(out | {"n_symbols": pa.array(n, pa.int64()), "logp": pa.array(total, pa.float64())})
@@ -205,8 +255,9 @@ def scored(rows: DataFrame, counts: DataFrame, order: int = ORDER, block_rows: i
     block = F.xxhash64(C.FILE, F.floor(F.col(C.ROW) / block_rows)).alias("block")
     asked = C.written(rows.select(block, "text").mapInArrow(_asked(order), "block long, code long"), "asked")
     needed = C.written(asked.select("code").distinct(), "needed")
-    answers = (asked.join(probabilities(counts, order, needed), "code")
-               .select("block", F.lit(0).alias("kind"), "code", F.log10("p").alias("logp")))
+    # a block that several tasks asked for gets an answer once; equal requests are where the join put them
+    answers = (asked.join(probabilities(counts, order, needed), "code").groupBy("code", "block")
+               .agg(F.log10(F.first("p")).alias("logp")).select("block", F.lit(0).alias("kind"), "code", "logp"))
     kept = {"doc_id": "long", "lang": "string", C.FILE: "long", C.ROW: "long"}
     texts = rows.select(block, F.lit(1).alias("kind"), F.lit(None).cast("long").alias("code"),
                         F.lit(None).cast("double").alias("logp"), "text", *[F.col(c).cast(t).alias(c) for c, t in kept.items()])
