@@ -287,7 +287,7 @@ def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def pairs() -> Iterator[pa.RecordBatch]:
         roles = np.array([r[0] for r in held])
-        nodes, bitmaps = [r[1] for r in held], [r[5] for r in held]
+        nodes, bitmaps = np.array([r[1] for r in held], np.int64), [r[5] for r in held]
         size, reach = (np.array([r[k] for r in held], np.int64) for k in (2, 4))
         label = np.unique([r[3] for r in held], return_inverse=True)[1].astype(np.int64)
         if (roles == 0).all():          # a whole tree
@@ -299,10 +299,8 @@ def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             meets = [(left[v], right[w]) for v in left for w in right if v == w or 2 * v == w or v == 2 * w]
         for one, other in meets:
             for a, b in dual_traversal(one, other):
-                found = [(min(nodes[x], nodes[y]), max(nodes[x], nodes[y]))
-                         for x, y in zip(a.tolist(), b.tolist(), strict=True)]
-                yield pa.record_batch({"a": pa.array([x for x, _ in found], pa.binary()),
-                                       "b": pa.array([y for _, y in found], pa.binary())})
+                x, y = nodes[a], nodes[b]
+                yield pa.record_batch({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
 
     now = None
     for batch in batches:
@@ -317,20 +315,20 @@ def _tree_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def tree_members(nodes: DataFrame) -> DataFrame:
-    """(tree, node, size, rarity, reach): the sets of each tree of two members at least.
+    """(tree, node, reach) with size and rarity: the sets of each tree of two members at least.
 
     ``nodes``: node, size, rarity, prefix.  A shingle's rows meet once; trees
     whose members have the same hashes are joined (should two others agree by chance,
     theirs are one larger tree, and nothing is lost).  ``reach`` is the number of
     shingles from the first place on at which the set meets the tree.
     """
-    rows = nodes.select("node", F.col("size").cast("int").alias("size"), "rarity",
-                        F.posexplode("prefix").alias("place", "token"))
     same = Window.partitionBy("token")
-    met = rows.select("*", F.count("*").over(same).alias("n"), F.bit_xor(F.xxhash64("node")).over(same).alias("h"),
-                      F.bit_xor(F.xxhash64("node", F.lit(1))).over(same).alias("g")).filter("n > 1")
-    return (met.groupBy(F.xxhash64("h", "g", "n").alias("tree"), "node", "size", "rarity")
-            .agg((F.col("size") - F.min("place")).alias("reach")))
+    met = (nodes.select("node", F.posexplode("prefix").alias("place", "token"))
+           .select("*", F.count("*").over(same).alias("n"), F.bit_xor(F.xxhash64("node")).over(same).alias("h"),
+                   F.bit_xor(F.xxhash64("node", F.lit(1))).over(same).alias("g")).filter("n > 1"))
+    trees = met.groupBy(F.xxhash64("h", "g", "n").alias("tree"), "node").agg(F.min("place").alias("place"))
+    return trees.join(nodes.select("node", "size", "rarity"), "node").select(
+        "tree", "node", "size", "rarity", (F.col("size") - F.col("place")).alias("reach"))
 
 
 def _band(size: str):
@@ -381,7 +379,7 @@ def tree_pairs(members: DataFrame, bitmaps: DataFrame, block: int = BLOCK) -> Da
             .join(bitmaps, "node")
             .select("tree", "part", "block", "role", "node", "size", "label", "reach", "bitmap")
             .repartition("tree", "part", "block").sortWithinPartitions("tree", "part", "block"))
-    return rows.mapInArrow(_tree_pairs, "a binary, b binary").distinct()
+    return rows.mapInArrow(_tree_pairs, "a long, b long").distinct()
 
 
 # ---- links -----------------------------------------------------------------------------
@@ -407,8 +405,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     head, head_set = (keys[i], chunks[i]), own
                 elif linked(own, head_set):
                     found.append((keys[i], nodes[i]))
-        yield pa.record_batch({"a": pa.array([a for a, _ in found], pa.binary()),
-                               "b": pa.array([b for _, b in found], pa.binary())})
+        yield pa.record_batch({"a": pa.array([a for a, _ in found], pa.int64()),
+                               "b": pa.array([b for _, b in found], pa.int64())})
 
 
 def verified(pairs: DataFrame, places: DataFrame, texts: DataFrame, name: str) -> DataFrame:
@@ -425,7 +423,30 @@ def verified(pairs: DataFrame, places: DataFrame, texts: DataFrame, name: str) -
     dealt = (texts.join(C.sized_broadcast(wanted), _PLACE).select("a", "chunk", "node", "text")
              .repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("node") != F.col("a")))
     with C.settings(texts.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "500"}):
-        return C.written(dealt.mapInArrow(_compare, "a binary, b binary"), f"{name}-links")
+        return C.written(dealt.mapInArrow(_compare, "a long, b long"), f"{name}-links")
+
+
+def _bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, size, bitmap, b, size, bitmap) whose bitmaps do not rule out a link."""
+    for batch in batches:
+        kept = []
+        for size_a, map_a, size_b, map_b in zip(*(batch.column(i).to_pylist() for i in (1, 2, 4, 5)), strict=True):
+            one, other = (Tree(np.frombuffer(m, np.uint64)[None, :], np.array([s]), np.array([k]), np.array([s]), np.zeros(1, int))
+                          for k, (s, m) in enumerate(((size_a, map_a), (size_b, map_b))))
+            at = np.zeros(1, int)
+            kept.append(bool(_may_link(one.levels[0], at, other.levels[0], at)[0]))
+        keep = pa.array(kept, pa.bool_())
+        yield pa.record_batch({"a": batch.column(0).filter(keep), "b": batch.column(3).filter(keep)})
+
+
+def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the bitmaps of ``nodes`` (node, size, bitmap) leave."""
+    def beside(rows: DataFrame, end: str) -> DataFrame:
+        known = nodes.select(F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("bitmap").alias(f"map_{end}"))
+        return known.join(C.sized_broadcast(C.written(rows, "candidates")), end)
+
+    both = beside(beside(pairs, "a"), "b").select("a", "size_a", "map_a", "b", "size_b", "map_b")
+    return both.mapInArrow(_bounded, "a long, b long")
 
 
 def _first_pairs(rows: DataFrame) -> DataFrame:
@@ -466,12 +487,18 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         sets.filter("size > 0").groupBy("node").agg(
             F.min(first).alias("first"), F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
         .select("node", "doc_id", "copies", *[F.col(f"first.{c}").alias(c) for c in _PLACE]), "nodes")
+    # a number for each set instead of its digest: a hash that is seen to be one to one
+    for seed in range(64):
+        number = F.xxhash64("node", F.lit(seed))
+        if places.groupBy(number.alias("number")).count().filter("count > 1").isEmpty():
+            break
+    sets, places = (t.withColumn("node", F.when(F.col("node").isNotNull(), number)) for t in (sets, places))
     nodes = sets.join(C.sized_broadcast(places.select(*_PLACE)), _PLACE, "left_semi")
     members = C.written(tree_members(nodes).withColumn("band", _band("size")), "trees")
 
     texts = rows.select("text", *_PLACE)
     node_places = places.select("node", *_PLACE)
-    near = verified(_first_pairs(members), node_places, texts, "first")
+    near = verified(plausible(_first_pairs(members), nodes), node_places, texts, "first")
     left = C.written(_unresolved(members, components(thinned(near))), "unresolved")
     far = verified(tree_pairs(left, nodes.select("node", "bitmap")), node_places, texts, "tree")
     labels = components(thinned(near).union(far))
