@@ -254,7 +254,7 @@ def near_copies(seed, groups=6, copies=15, edits=5):
     return rows
 
 
-@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("seed", range(2))
 def test_join_equals_all_pairs(spark, seed):
     rows = near_copies(seed) + [(None, "A b C d"), (900, "a B c D"), (901, None), (902, " "), (903, "one"), (904, "ONE"),
                                 (905, " ".join(f"l{i}" for i in range(30_000))), (905, "one")]
