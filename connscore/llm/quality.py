@@ -38,7 +38,7 @@ QUANTILE = 0.995
 STEPS = 5000
 
 #: Rows of a file that make a block; n-grams that a task holds before it sorts them.
-BLOCK_ROWS, HELD = 32_768, 1 << 20
+BLOCK_ROWS, HELD = 32_768, 1 << 21
 
 #: Characters up to here are symbols of their own; those beyond share the rest by hash.
 OWN = 0x600
@@ -253,7 +253,8 @@ def scored(rows: DataFrame, counts: DataFrame, order: int = ORDER, block_rows: i
     ``rows`` has doc_id, text, lang and the place columns of ``common.located``.
     """
     block = F.xxhash64(C.FILE, F.floor(F.col(C.ROW) / block_rows)).alias("block")
-    asked = C.written(rows.select(block, "text").mapInArrow(_asked(order), "block long, code long"), "asked")
+    # asked twice: the requests of all blocks would take more disk than it takes time to find them again
+    asked = rows.select(block, "text").mapInArrow(_asked(order), "block long, code long")
     needed = C.written(asked.select("code").distinct(), "needed")
     # a block that several tasks asked for gets an answer once; equal requests are where the join put them
     answers = (asked.join(probabilities(counts, order, needed), "code").groupBy("code", "block")
