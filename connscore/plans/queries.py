@@ -84,7 +84,7 @@ def quarantine_by_line(spark, sf):
     order = ["part", "conv_id", "turn"]
     (to_lines(flat, CONV_LINE_COLUMNS, keep_cols=order).repartition(files, "part").sortWithinPartitions(*order)
      .select("part", "value").write.partitionBy("part").text(path))
-    bad = quarantined(read_numbered_records(spark, f"{path}/*", CONV_LINE_LAYOUT))
+    bad = quarantined(read_numbered_records(spark, path, CONV_LINE_LAYOUT))
     return bad.select(F.regexp_extract("file", "/part=([0-9]+)/", 1).cast("long").alias("part"), "line_no",
                       F.col("value").alias("line"), F.col("n_fields").cast("long").alias("n_fields"), "reason")
 
