@@ -5,9 +5,8 @@ vocabulary; a code is a token and whether it ends its word, so the codes of a
 word are never the beginning of another word's.  One block of causal
 self-attention, trained in numpy, predicts a code from those before it; the
 output is factored, first the class of the code and then the code in it.  It
-learns from passages drawn by hash from the whole training texts, a fixed share
-of their bytes; tasks train on their own and are averaged in rounds.  A
-text runs through windows of ``WINDOW`` codes that overlap by ``OVERLAP``, in
+learns from every code of every training text; tasks train on their own and are
+averaged in rounds.  A text runs through windows of ``WINDOW`` codes that overlap by ``OVERLAP``, in
 batches under one causal mask, and each code is scored once.  With one block a
 shared code only needs its key and value again, so the overlap costs little.
 
@@ -40,11 +39,11 @@ END = 2 * TOKENS + 1
 #: Codes of a window, codes a window shares with the one before, width of the model.
 WINDOW, OVERLAP, WIDTH = 64, 32, 16
 
-#: Bytes of a training passage, one in how many is drawn, bytes that are drawn at least if there are as many.
-PASSAGE, ONE_IN, LEAST_BYTES = 1024, 16, 8 << 20
+#: Bytes of a training passage, passages that are coded at once, bytes of windows that a task takes in a round.
+PASSAGE, RUN_PASSAGES, LEAST_BYTES = 1024, 2048, 4 << 20
 
-#: Least steps of training over all tasks, windows of a step, windows of a task, averages of the tasks' models.
-STEPS, BATCH, TASK_WINDOWS, ROUNDS = 3000, 64, 32_768, 12
+#: Least steps of training over all tasks, windows of a step, averages of the tasks' models, pieces of a sent model.
+STEPS, BATCH, ROUNDS, PIECES = 3000, 64, 12, 16
 
 #: Windows scored at once: their arrays stay in a core's cache.
 RUN = 64
@@ -88,9 +87,10 @@ def _body(p: dict[str, np.ndarray], inputs: np.ndarray, first: int = 0) -> tuple
     return z + up @ p["down"], (x, q, k, v, a, y, z, up)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Softmax of each row, in place."""
+    x /= _exponentials(x)[0][..., None]
+    return x
 
 
 def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,13 +138,13 @@ def _gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray
     n, d, g = targets.size, WIDTH, {}
     flat, (high, low) = h.reshape(n, d), np.divmod(targets.reshape(n), MEMBERS)
     rows = np.arange(n)
-    dl = np.exp(_log_softmax(flat @ p["head"] + p["head_bias"]))
+    dl = _softmax(flat @ p["head"] + p["head_bias"])
     dl[rows, high] -= 1
     dl /= n
     g["head"], g["head_bias"] = flat.T @ dl, dl.sum(axis=0)
     dh = dl @ p["head"].T
     gate = np.maximum(flat @ p["gate"] + p["of_class"][high], 0)
-    dm = np.exp(_log_softmax(gate @ p["member"] + p["member_bias"][high]))
+    dm = _softmax(gate @ p["member"] + p["member_bias"][high])
     dm[rows, low] -= 1
     dm /= n
     g["member"] = gate.T @ dm
@@ -184,33 +184,51 @@ def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarr
             for name, part in zip(sorted(like), np.split(flat, ends), strict=True)}
 
 
+def _windows(held: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(held), "<u2").reshape(len(held), -1)
+
+
 def _steps_of_task(state: tuple[dict[str, np.ndarray], ...], passes: int, done: int, steps: int):
-    """Steps of Adam over the windows of a task; its values, weighted by its windows."""
+    """Steps of Adam over the windows of a task; its values in pieces, with the number of its windows.
+
+    The windows are taken as they come, a batch of rows at a time; only few of
+    them, which are gone through more than once, are held.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = sorted(x for batch in batches for x in batch.column(0).to_pylist())
-        if not held:
-            return
-        windows = np.frombuffer(b"".join(held), "<u2").reshape(len(held), -1).astype(np.int64)
         p, m, s = (dict(x) for x in state)
-        rng, t = np.random.default_rng(done), done
-        for order in (rng.permutation(len(windows)) for _ in range(passes)):
+        rng, t, n = np.random.default_rng(done), done, 0
+        read = (_windows(batch.column(0).to_pylist()) for batch in batches if batch.num_rows)
+        if passes > 1:
+            held = list(read)
+            read = [np.concatenate(held)] * passes if held else []
+        for windows in read:
+            n += len(windows)
+            order = rng.permutation(len(windows))
             for low in range(0, len(order), BATCH):
                 t += 1
-                window = windows[order[low:low + BATCH]]
+                window = windows[order[low:low + BATCH]].astype(np.int64)
                 rate = 4e-3 * min(1.0, t / 50) * (1 - 0.9 * min(1.0, t / steps))
                 for name, grad in _gradients(p, window[:, :-1], window[:, 1:]).items():
                     m[name] = m[name] + 0.1 * (grad - m[name])
                     s[name] = s[name] + 0.01 * (grad * grad - s[name])
                     p[name] = (p[name] - rate * (m[name] / (1 - 0.9 ** t))
                                / (np.sqrt(s[name] / (1 - 0.99 ** t)) + 1e-8)).astype(np.float32)
-        values = [_flat(x).astype(np.float64) * len(windows) for x in (p, m, s)]
-        n = len(values[0])
-        yield pa.record_batch({"i": pa.array(np.arange(n)), **{
-            c: pa.array(v) for c, v in zip("pms", values, strict=True)},
-            "w": pa.array(np.full(n, len(windows), np.int64))})
+        if n:
+            values = np.array_split(np.concatenate([_flat(x) for x in (p, m, s)]).astype("<f4"), PIECES)
+            yield pa.record_batch({"piece": pa.array(range(PIECES), pa.int32()), "w": pa.array([n] * PIECES, pa.int64()),
+                                   "part": pa.array([v.tobytes() for v in values], pa.binary())})
     return run
 
 
+def _averaged(tasks: pa.Table) -> pa.Table:
+    """One piece of the tasks' models, (piece, w, part), to their average weighted by windows."""
+    weight = tasks.column("w").to_numpy()
+    total = sum(w * np.frombuffer(part.as_py(), "<f4").astype(np.float64)
+                for w, part in zip(weight.tolist(), tasks.column("part"), strict=True))
+    return pa.table({"piece": tasks.column("piece").slice(0, 1),
+                     "part": pa.array([(total / weight.sum()).astype("<f4").tobytes()], pa.binary())})
+
+
 def _code_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = np.zeros(CLASSES * MEMBERS, np.int64)
     for batch in batches:
@@ -223,7 +241,9 @@ def fit(windows: DataFrame, steps: int = STEPS, seed: int = 5) -> dict[str, np.n
 
     Every window is learned from, more than once if ``steps`` asks for more
     steps than there are.  In a round each task goes on from the same values
-    over its own windows; then the values of all tasks are averaged.
+    over its own windows; then the values of all tasks are averaged.  Windows stay
+    where they were written: a task reads files, and there are no more tasks, each
+    of which sends a model, than LEAST_BYTES gives.
     """
     p = _initial(np.random.default_rng(seed))
     n = windows.count()
@@ -237,21 +257,22 @@ def fit(windows: DataFrame, steps: int = STEPS, seed: int = 5) -> dict[str, np.n
     p["head_bias"] = np.log(often.sum(axis=1) / often.sum()).astype(np.float32)
     p["member_bias"] = np.log(often / often.sum(axis=1, keepdims=True)).astype(np.float32)
     state = (p, *({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2)))
-    tasks = math.ceil(n / TASK_WINDOWS)
     visits = max(1, math.ceil(steps * BATCH / n))             # of each window
     slots = min(ROUNDS, visits)                                # twelfths of the windows that a round takes
     passes = math.ceil(visits / ROUNDS)
-    each = math.ceil(n * slots / ROUNDS / tasks / BATCH) * passes
+    taken = math.ceil(n * slots / ROUNDS)
+    tasks = math.ceil(taken * 2 * (WINDOW + 1) / LEAST_BYTES)
+    each = math.ceil(taken / tasks / BATCH) * passes
     slot = F.pmod(F.xxhash64("window", F.lit(1)), F.lit(ROUNDS))
     for turn in range(ROUNDS):
-        taken = [(turn * slots + i) % ROUNDS for i in range(slots)]
-        values = (windows.filter(slot.isin(taken)).repartition(tasks, F.xxhash64("window")).select("window")
+        now = [(turn * slots + i) % ROUNDS for i in range(slots)]
+        values = (windows.filter(slot.isin(now)).select("window").coalesce(tasks)
                   .mapInArrow(_steps_of_task(state, passes, turn * each, ROUNDS * each),
-                              "i long, p double, m double, s double, w long")
-                  .groupBy("i").agg(*[(F.sum(c) / F.sum("w")).alias(c) for c in "pms"]).toArrow())
-        if len(values):                                        # a row a value of the model
-            order = np.argsort(values["i"].to_numpy())
-            state = tuple(_shaped(values[c].to_numpy()[order], p) for c in "pms")
+                              "piece int, w long, part binary")
+                  .groupBy("piece").applyInArrow(_averaged, "piece int, part binary").orderBy("piece").collect())
+        if values:                                             # the values of one model
+            whole = np.split(np.frombuffer(b"".join(r["part"] for r in values), "<f4"), 3)
+            state = tuple(_shaped(x, p) for x in whole)
     return state[0]
 
 
@@ -389,58 +410,61 @@ def _block_scores(path: str, p: dict[str, np.ndarray], n_all: int, n_distinct: i
     return run
 
 
-def _training_windows(path: str, share: float):
-    """(file, row, text) to windows of codes of passages that are drawn by hash from whole texts.
+def _training_windows(path: str, share: float = 1.0):
+    """(file, row, text) to windows of codes of whole texts, passage by passage.
 
-    A passage has the words that begin in one PASSAGE of bytes of a text.
+    A passage has the words that begin in one PASSAGE of bytes of a text.  A
+    ``share`` under 1 draws passages by hash.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = W._plain(batch.column(2))
             size = np.diff(offsets)
             per = np.maximum(1, -(-size // PASSAGE))
-            doc = np.repeat(np.arange(len(size)), per)
-            nth = np.arange(len(doc)) - np.repeat(np.cumsum(per) - per, per)
-            file, row = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.uint64)[doc] for i in (0, 1))
-            drawn = W.mix(W.mix(W.mix(file) + row) + nth.astype(np.uint64))
+            every = np.repeat(np.arange(len(size)), per)
+            place = np.arange(len(every)) - np.repeat(np.cumsum(per) - per, per)
+            file, row = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.uint64)[every] for i in (0, 1))
+            drawn = W.mix(W.mix(W.mix(file) + row) + place.astype(np.uint64))
             at = np.flatnonzero((drawn >> np.uint64(11)).astype(np.float64) / 2.0 ** 53 < share)
-            if not len(at):
-                continue
-            doc, nth, last = doc[at], nth[at], nth[at] == per[doc[at]] - 1
             space = np.flatnonzero(W._SPACE[data])
             space = np.append(space, len(data))
-
-            def begin(n: np.ndarray) -> np.ndarray:
-                """First byte from which words begin in the nth passage."""
-                place = offsets[doc] + n * PASSAGE
-                # a word that begins before goes with the passage before
-                after = space[np.searchsorted(space, np.minimum(place - 1, len(data)))]
-                return np.where(n == 0, place, np.minimum(after, offsets[doc + 1]))
-
-            low, high = begin(nth), np.where(last, offsets[doc + 1], begin(nth + 1))
-            texts = [data[a:b].tobytes().decode() for a, b in zip(low.tolist(), high.tolist(), strict=True)]
-            stream = []
-            for w in _lowered(pa.array(texts, pa.string())):
-                codes, first_code, first_token, _ = coded(path, w)
-                edges = first_code[first_token].tolist()
-                for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True), w.first):
-                    if nth[i] == 0:
-                        stream.append(np.array([END]))
-                    stream.append(codes[a:b] if last[i] else codes[a:b - 1])   # END after whole texts alone
-            codes = np.concatenate(stream)
-            codes = np.concatenate((np.full(max(0, WINDOW + 1 - len(codes)), END), codes))
-            start = np.arange(0, len(codes) - 1, WINDOW)
-            start = np.minimum(start, len(codes) - WINDOW - 1)
-            found = codes[start[:, None] + np.arange(WINDOW + 1)].astype("<u2")
-            yield pa.record_batch({"window": pa.array([x.tobytes() for x in found], pa.binary())})
+            before = np.empty(0, np.int64)                     # what the first code of a run follows
+            for first in range(0, len(at), RUN_PASSAGES):
+                some = at[first:first + RUN_PASSAGES]
+                doc, nth, last = every[some], place[some], place[some] == per[every[some]] - 1
+
+                def begin(n: np.ndarray, doc: np.ndarray = doc) -> np.ndarray:
+                    """First byte from which words begin in the nth passage."""
+                    low = offsets[doc] + n * PASSAGE
+                    # a word that begins before goes with the passage before
+                    after = space[np.searchsorted(space, np.minimum(low - 1, len(data)))]
+                    return np.where(n == 0, low, np.minimum(after, offsets[doc + 1]))
+
+                low, high = begin(nth), np.where(last, offsets[doc + 1], begin(nth + 1))
+                texts = [data[a:b].tobytes().decode() for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+                stream = [before]
+                for w in _lowered(pa.array(texts, pa.string())):
+                    codes, first_code, first_token, _ = coded(path, w)
+                    edges = first_code[first_token].tolist()
+                    for i, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True), w.first):
+                        if nth[i] == 0:
+                            stream.append(np.array([END]))
+                        stream.append(codes[a:b] if last[i] else codes[a:b - 1])   # END after whole texts alone
+                codes = np.concatenate(stream)
+                before = codes[-1:]
+                codes = np.concatenate((np.full(max(0, WINDOW + 1 - len(codes)), END), codes))
+                start = np.arange(0, len(codes) - 1, WINDOW)
+                start = np.minimum(start, len(codes) - WINDOW - 1)
+                found = codes[start[:, None] + np.arange(WINDOW + 1)].astype("<u2")
+                yield pa.record_batch({"window": pa.array([x.tobytes() for x in found], pa.binary())})
     return run
 
 
 def score(docs: DataFrame, path: str, steps: int = STEPS) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
-    Learns from rows whose crc32(doc_id) mod 7 is not 2 (a null doc_id counts
-    as an empty one).  Null and empty texts have one token, the end.  Words are
+    Learns from all rows whose crc32(doc_id) mod 7 is not 2 (a null doc_id counts
+    as an empty one), counts and attention model alike.  Null and empty texts have one token, the end.  Words are
     told apart by a 64-bit hash.  Without training rows every count is 0 and
     the attention model is untrained.
     """
@@ -448,11 +472,9 @@ def score(docs: DataFrame, path: str, steps: int = STEPS) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), "text", (C.crc_remainder("doc_id", 7) == 2).alias("held_out"),
         F.col(C.FILE).alias("file"), C.ROW)
     train = rows.filter(~F.col("held_out"))
-    size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    share = max(1 / ONE_IN, LEAST_BYTES / max(size, 1))
-    drawn = train.filter(F.octet_length("text") > 0).select("file", C.ROW, "text").mapInArrow(
-        _training_windows(path, share), "window binary")
-    model = fit(C.written(drawn, "lm-windows"), steps)
+    coded_rows = train.filter(F.octet_length("text") > 0).select("file", C.ROW, "text").mapInArrow(
+        _training_windows(path), "window binary")
+    model = fit(C.written(coded_rows, "lm-windows"), steps)
     found = rows.select("file", C.ROW, (~F.col("held_out")).alias("train"), "text").mapInArrow(
         _block_words, "file long, block long, word long, n long")
     by_word = Window.partitionBy("word")

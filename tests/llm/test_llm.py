@@ -2,7 +2,9 @@
 
 import base64
 import collections
+import itertools
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -287,6 +289,44 @@ def test_lm_learns_from_whole_texts_and_more_of_more_rows(spark, monkeypatch):
     assert len(taken[1]) > 5 * len(taken[0])
 
 
+def test_lm_learns_from_every_code_of_the_training_texts(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(lm, "fit", lambda windows, *a: taken.extend(windows.collect()) or lm._initial(np.random.default_rng(0)))
+    monkeypatch.setattr(lm, "LEAST_BYTES", 1 << 10)
+    texts = [" ".join(f"w{(i * 31 + j) % 977}" for j in range(3000)) for i in range(30)]
+    lm.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), BYTES)
+    want = np.zeros(lm.CLASSES * lm.MEMBERS, np.int64)
+    for i, text in enumerate(texts):
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            want += np.bincount(lm.coded(BYTES, next(lm._lowered(pa.array([text]))))[0], minlength=len(want))
+    got = sum(np.bincount(np.frombuffer(x.window, "<u2")[1:], minlength=len(want)) for x in taken)
+    assert (got >= want).all()
+
+
+def test_lm_windows_of_many_runs_follow_on(monkeypatch):
+    text = " ".join(f"wörd{i}" for i in range(2000))
+    batch = pa.record_batch({"file": pa.array([1, 1]), "row": pa.array([0, 1]), "text": pa.array([text, text[:99]])})
+    def pairs():
+        return {(a, b) for r in lm._training_windows(BYTES)(iter([batch])) for x in r.column(0).to_pylist()
+                for a, b in itertools.pairwise(np.frombuffer(x, "<u2").tolist())}
+    whole = pairs()
+    monkeypatch.setattr(lm, "RUN_PASSAGES", 3)
+    assert pairs() == whole
+
+
+def test_lm_fit_averages_the_tasks(spark, monkeypatch):
+    codes = np.tile(np.arange(5) * 70, 40)
+    rows = [(codes[i:i + lm.WINDOW + 1].astype("<u2").tobytes(),) for i in range(100)] * 4
+    windows = spark.createDataFrame(rows, "window binary").repartition(7).persist()
+    place = np.arange(lm.WINDOW)[None] % 5
+    for least in (1 << 10, 1 << 22):                            # several tasks, one
+        monkeypatch.setattr(lm, "LEAST_BYTES", least)
+        p = lm.fit(windows, steps=500)
+        logs = lm.log_probabilities(p, place * 70, (place + 1) % 5 * 70, np.ones(place.shape, bool))
+        assert logs.mean() > math.log(0.25)
+    assert all(np.array_equal(v, lm.fit(windows.limit(0))[k]) for k, v in lm._initial(np.random.default_rng(5)).items())
+
+
 def test_lm_every_passage_is_drawn_whole():
     texts = [" ".join(f"wörd{i}" for i in range(k)) for k in (0, 1, 3, 700, 2000)] + ["x" * 5000 + " y"]
     batch = pa.record_batch({"file": pa.array([1] * 6), "row": pa.array(range(6)), "text": pa.array(texts)})
