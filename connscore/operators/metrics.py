@@ -35,8 +35,16 @@ def _pair_cols(label_col: str, prediction_col: str) -> tuple[Column, Column]:
 def confusion_counts(df: DataFrame, label_col: str = "label",
                      prediction_col: str = "prediction",
                      mode: str = "binary", rows: Column | None = None,
-                     extra: Sequence[Column] = ()) -> DataFrame:
-    """tp, tn, fp, fn, n, n_mismatch of the rows (of those that ``rows`` holds for), beside ``extra`` aggregates."""
+                     extra: Sequence[Column] = (), weight: str | None = None) -> DataFrame:
+    """tp, tn, fp, fn, n, n_mismatch of the rows (of those that ``rows`` holds for), beside ``extra`` aggregates.
+
+    With ``weight`` a row stands for so many (a whole number).
+    """
+    def count_if(condition: Column) -> Column:
+        if weight is None:
+            return F.count_if(condition)
+        return F.coalesce(F.sum(F.when(condition, F.col(weight))), F.lit(0)).cast("long")
+
     v, p = _pair_cols(label_col, prediction_col)
     if rows is not None:
         v, p = F.when(rows, v), F.when(rows, p)
@@ -48,13 +56,13 @@ def confusion_counts(df: DataFrame, label_col: str = "label",
         raise ValueError(f"unknown mode {mode!r}")
     v_neg, p_neg = v == 0.0, p == 0.0
     return df.agg(
-        F.count_if(v_pos & p_pos).alias("tp"),
-        F.count_if(v_neg & p_neg).alias("tn"),
-        F.count_if(v_neg & p_pos).alias("fp"),
-        F.count_if(v_pos & p_neg).alias("fn"),
-        (F.count(F.lit(1)) if rows is None else F.count_if(rows)).alias("n"),
+        count_if(v_pos & p_pos).alias("tp"),
+        count_if(v_neg & p_neg).alias("tn"),
+        count_if(v_neg & p_pos).alias("fp"),
+        count_if(v_pos & p_neg).alias("fn"),
+        count_if(F.lit(True) if rows is None else rows).alias("n"),
         # a row without a prediction or label is an error, not a hit
-        F.count_if(~v.eqNullSafe(p)).alias("n_mismatch"),
+        count_if(~v.eqNullSafe(p)).alias("n_mismatch"),
         *extra,
     )
 
@@ -78,8 +86,8 @@ def binary_metrics(df: DataFrame, label_col: str = "label",
 
 
 def collapsed_metrics(df: DataFrame, label_col: str = "label",
-                      prediction_col: str = "prediction") -> DataFrame:
-    return prf1(confusion_counts(df, label_col, prediction_col, "collapsed"))
+                      prediction_col: str = "prediction", weight: str | None = None) -> DataFrame:
+    return prf1(confusion_counts(df, label_col, prediction_col, "collapsed", weight=weight))
 
 
 def error_rate(df: DataFrame, label_col: str = "label",
