@@ -46,7 +46,7 @@ PASSAGE, RUN_PASSAGES, LEAST_BYTES = 1024, 2048, 4 << 20
 STEPS, BATCH, ROUNDS, PIECES = 3000, 64, 12, 16
 
 #: Windows scored at once: their arrays stay in a core's cache.
-RUN = 64
+RUN = 32
 
 #: Weight of the attention model in the mixture, rows of a counting block, cached words.
 MIX, BLOCK_ROWS, CACHED_WORDS = 0.5, 2048, 800_000
