@@ -27,7 +27,8 @@ _STATE = {
     # a store is closed when its task is done: no open files of idle partitions
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "300",
+    # of an executor, beside the heap and what Python workers of earlier stages hold
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "100",
 }
 
 _PLACE = [C.FILE, C.ROW]
