@@ -309,7 +309,8 @@ def judged(rows: DataFrame, labels: DataFrame, order: int = ORDER, quantile: flo
         return table.join(few, F.col("doc_id") == F.col("__good"), "left_semi")
 
     # short batches: workers that later stages find still hold what a batch took
-    with C.settings(rows.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}):
+    with C.settings(rows.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+                                        "spark.sql.parquet.compression.codec": "zstd"}):   # tables of n-grams are most of the disk
         own = C.written(scored(rows, train(trusted(rows.select("doc_id", "text")), order), order), "scores")
     by_language, overall = thresholds(trusted(own), quantile)
     limits = C.sized_broadcast(C.written(by_language.select(F.col("language").alias("__language"),
