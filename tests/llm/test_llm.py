@@ -599,3 +599,23 @@ def test_packing_ids_of_odd_words_equal_the_tokenizer():
     texts += ["<|startoftext|> x <|endoftext|>", "don't we'LL 'tis rock'n'roll", "ΑΣ ΑΣ. ΣΑΣ", "İ! İ.", "e\u0301."]
     whole = packing._tokenizer(WORDS).encode_batch(texts, add_special_tokens=False)
     assert list(packing.token_bytes(WORDS, texts)) == [array("I", e.ids).tobytes() for e in whole]
+
+
+# limits
+
+def test_quality_tables_are_small_on_disk(spark, documents, monkeypatch):
+    codecs, written = {}, C.written
+    monkeypatch.setattr(quality.C, "written", lambda df, name: codecs.update(
+        {name: spark.conf.get("spark.sql.parquet.compression.codec")}) or written(df, name))
+    labels = documents.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic")).limit(20)
+    quality.classify(documents.limit(40), labels)
+    assert {codecs[name] for name in ("ngrams", "needed", "continuations-3", "kneser-ney-5")} == {"zstd"}
+    assert spark.conf.get("spark.sql.parquet.compression.codec") == "snappy"
+
+
+def test_dedup_state_leaves_memory_to_others(spark, documents, monkeypatch):
+    seen, start = [], exact_dedup.start_state_stream
+    monkeypatch.setattr(exact_dedup, "start_state_stream", lambda *a: seen.append(
+        [spark.conf.get(f"spark.sql.streaming.stateStore.rocksdb.{k}") for k in ("boundedMemoryUsage", "maxMemoryUsageMB")]) or start(*a))
+    assert exact_dedup.exact_dedup(documents.limit(10)).count() == 10
+    assert seen == [["true", "100"]]
