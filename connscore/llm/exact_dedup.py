@@ -14,6 +14,8 @@ again under a digest of the next level until none is left.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,9 @@ _STATE = {
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "100",
 }
 
+#: Landed rows of one state store.
+STORE_ROWS = 200_000
+
 _PLACE = [C.FILE, C.ROW]
 
 
@@ -59,6 +64,12 @@ def start_state_stream(spark: SparkSession, landing: str, checkpoint: str):
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+def state_stores(spark: SparkSession, rows: int) -> int:
+    """Stores for that many landed rows: a core's worth at least, no more than shuffles have partitions."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(spark.sparkContext.defaultParallelism, math.ceil(rows / STORE_ROWS)))
+
+
 def read_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The held state: digest, first (identifier and content place), n."""
     state = spark.read.format("statestore").load(checkpoint)
@@ -91,8 +102,10 @@ def located_dedup(rows: DataFrame, digest_bytes: int = 32) -> DataFrame:
                                  F.sha2(text, 256).alias("sha"))
             landed.write.parquet(f"{base}/landing")
             landing = spark.read.schema(landed.schema).parquet(f"{base}/landing")
-            start_state_stream(spark, f"{base}/landing", f"{base}/state").awaitTermination()
-            state = read_state(spark, f"{base}/state")
+            stores = str(state_stores(spark, landing.count()))
+            with C.settings(spark, {"spark.sql.shuffle.partitions": stores}):
+                start_state_stream(spark, f"{base}/landing", f"{base}/state").awaitTermination()
+            state = C.written(read_state(spark, f"{base}/state"), f"dedup-state-{level}")
             wrong = _differing(todo, state, level, digest_bytes)
             n_wrong = wrong.count()
             if n_wrong:

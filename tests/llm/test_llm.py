@@ -619,3 +619,23 @@ def test_dedup_state_leaves_memory_to_others(spark, documents, monkeypatch):
         [spark.conf.get(f"spark.sql.streaming.stateStore.rocksdb.{k}") for k in ("boundedMemoryUsage", "maxMemoryUsageMB")]) or start(*a))
     assert exact_dedup.exact_dedup(documents.limit(10)).count() == 10
     assert seen == [["true", "100"]]
+
+
+def test_dedup_opens_each_state_store_twice(spark, monkeypatch):
+    """Once to write and once to read: a process keeps memory of every store that it has opened."""
+    read, seen = exact_dedup.read_state, []
+    monkeypatch.setattr(exact_dedup, "read_state", lambda *a: seen.append(read(*a)) or seen[-1])
+    rows = spark.createDataFrame([(i, f"text {i % 5}") for i in range(20)], "doc_id long, text string")
+    out = exact_dedup.exact_dedup(rows)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert len(seen) == 1 and "statestore" not in plan.lower()
+    assert {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in out.collect()} == {
+        (i, i % 5, 4, i < 5) for i in range(20)}
+
+
+def test_dedup_stores_grow_with_rows_alone(spark):
+    most, cores = int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    assert exact_dedup.state_stores(spark, 0) == min(most, cores)
+    with C.settings(spark, {"spark.sql.shuffle.partitions": "3000"}):
+        assert exact_dedup.state_stores(spark, 20_000_000) == 100
+        assert exact_dedup.state_stores(spark, 10 ** 12) == 3000
