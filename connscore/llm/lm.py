@@ -45,8 +45,8 @@ PASSAGE, RUN_PASSAGES, LEAST_BYTES = 1024, 2048, 4 << 20
 #: Least steps of training over all tasks, windows of a step, averages of the tasks' models, pieces of a sent model.
 STEPS, BATCH, ROUNDS, PIECES = 3000, 64, 12, 16
 
-#: Windows scored at once: their arrays stay in a core's cache.
-RUN = 32
+#: Windows scored at once, windows whose gradients are found at once: their arrays stay in a core's cache.
+RUN, PART = 64, 32
 
 #: Weight of the attention model in the mixture, rows of a counting block, cached words.
 MIX, BLOCK_ROWS, CACHED_WORDS = 0.5, 2048, 800_000
@@ -55,6 +55,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 _codes: dict[str, dict[int, bytes]] = {}
+_room: dict[tuple[str, np.dtype], np.ndarray] = {}
 
 
 # --- the model ---------------------------------------------------------------
@@ -71,48 +72,97 @@ def _initial(rng: np.random.Generator) -> dict[str, np.ndarray]:
             "member": draw(d, MEMBERS), "member_bias": np.zeros((CLASSES, MEMBERS), np.float32)}
 
 
-def _body(p: dict[str, np.ndarray], inputs: np.ndarray, first: int = 0) -> tuple[np.ndarray, tuple]:
-    """Hidden state of each position from ``first`` on of (windows, up to WINDOW) input codes."""
-    size = inputs.shape[1]
-    x = p["embed"][inputs] + p["place"][:size]
-    own = x[:, first:]
-    q = own @ (p["qkv"][:, :WIDTH] / np.float32(math.sqrt(WIDTH)))
-    k, v = np.split(x @ p["qkv"][:, WIDTH:], 2, axis=-1)
-    a = q @ k.transpose(0, 2, 1)
-    a += _MASK[first:size, :size]
-    a /= _exponentials(a)[0][..., None]
-    y = a @ v
-    z = own + y @ p["out"]
-    up = np.maximum(z @ p["up"] + p["bias"], 0)
-    return z + up @ p["down"], (x, q, k, v, a, y, z, up)
+def _kept(name: str, shape: tuple[int, ...], dtype: np.dtype) -> np.ndarray:
+    """Room that the next windows use again: getting fresh memory costs more than filling it."""
+    size, room = math.prod(shape), _room.get((name, dtype))
+    if room is None or len(room) < size:
+        room = _room[name, dtype] = np.empty(size, dtype)
+    return room[:size].reshape(shape)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """Softmax of each row, in place."""
-    x /= _exponentials(x)[0][..., None]
-    return x
+def _scaled(qkv: np.ndarray) -> np.ndarray:
+    """The weights of queries (or their gradient) divided by the root of the width, those of keys and values as they are."""
+    out = qkv.copy()
+    out[:, :WIDTH] /= qkv.dtype.type(math.sqrt(WIDTH))
+    return out
 
 
-def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Replaces ``x`` by its exponentials under a shift; their sums over the last axis, and the shift.
+def _body(p: dict[str, np.ndarray], inputs: np.ndarray, first: int = 0) -> tuple[np.ndarray, tuple]:
+    """Hidden state of each position from ``first`` on of (windows, up to WINDOW) input codes.
 
-    One shift for all rows is much faster; rows far below it get their own.
+    Attention is kept as exponentials and the inverse of their sums.
+    """
+    many, size = inputs.shape
+    d, kind = WIDTH, p["embed"].dtype
+    x = _kept("x", (many, size, d), kind)
+    np.take(p["embed"], inputs, axis=0, out=x, mode="clip")
+    x += p["place"][:size]
+    qkv = np.matmul(x.reshape(-1, d), _scaled(p["qkv"]), out=_kept("qkv", (many * size, 3 * d), kind)).reshape(many, size, 3 * d)
+    q, k, v = qkv[:, first:, :d], qkv[..., d:2 * d], qkv[..., 2 * d:]
+    a = np.matmul(q, k.transpose(0, 2, 1), out=_kept("scores", (many, size - first, size), kind))
+    a += _MASK[first:size, :size]
+    a, sums, _ = _exponentials(a, "attention")
+    inverse = 1 / sums[..., None]
+    y = np.matmul(a, v, out=_kept("y", (many, size - first, d), kind))
+    y *= inverse
+    z = y.reshape(-1, d) @ p["out"]
+    z += x[:, first:].reshape(-1, d)
+    up = np.matmul(z, p["up"], out=_kept("up", (len(z), 2 * d), kind))
+    up += p["bias"]
+    np.maximum(up, 0, out=up)
+    h = up @ p["down"]
+    h += z
+    return h, (x, q, k, v, a, inverse, y, z, up)
+
+
+def _exponentials(x: np.ndarray, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Exponentials of ``x`` (which may be overwritten) under a shift, their sums over the last axis, and the shift.
+
+    One shift for all rows, none if it is small, is much faster; rows far below it get their own.
     """
-    shift = np.full(x.shape[:-1], x.max(), x.dtype)
-    raised = np.exp(x - shift.flat[0])
+    shift = x.max()
+    if abs(shift) < 40:
+        shift = x.dtype.type(0)
+    else:
+        x -= shift
+    raised = np.exp(x, out=_kept(name, x.shape, x.dtype))
     sums = raised @ np.ones(x.shape[-1], x.dtype)
     if sums.min() < 1e-20:
-        shift = x.max(axis=-1)
-        raised = np.exp(x - shift[..., None])
-        sums = raised.sum(axis=-1)
-    x[...] = raised
-    return sums, shift
+        own = x.max(axis=-1)
+        x -= own[..., None]
+        np.exp(x, out=raised)
+        return raised, raised.sum(axis=-1), shift + own
+    return raised, sums, shift
+
+
+def _head(p: dict[str, np.ndarray], h: np.ndarray) -> np.ndarray:
+    x = np.matmul(h, p["head"], out=_kept("scores", (len(h), CLASSES), h.dtype))
+    x += p["head_bias"]
+    return x
+
+
+def _member(p: dict[str, np.ndarray], h: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What members of the classes ``high`` are told apart by, and their scores."""
+    gate = h @ p["gate"]
+    gate += p["of_class"][high]
+    np.maximum(gate, 0, out=gate)
+    x = np.take(p["member_bias"], high, axis=0, out=_kept("biases", (len(h), MEMBERS), h.dtype), mode="clip")
+    x += np.matmul(gate, p["member"], out=_kept("scores", (len(h), MEMBERS), h.dtype))
+    return gate, x
+
+
+def _softmax_less(x: np.ndarray, at: np.ndarray, name: str) -> np.ndarray:
+    """Softmax of each row of ``x``, less one at one place."""
+    raised, sums, _ = _exponentials(x, name)
+    raised *= (1 / sums)[:, None]
+    raised[np.arange(len(at)), at] -= 1
+    return raised
 
 
 def _picked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log-softmax of each row of ``x`` at one place."""
     own = x[np.arange(len(x)), at]
-    sums, shift = _exponentials(x)
+    _, sums, shift = _exponentials(x, "raised")
     return own - shift - np.log(sums)
 
 
@@ -121,56 +171,82 @@ def log_probabilities(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.
     """Natural log probability of the targets at the kept ones of the positions from ``first`` on."""
     if not keep.any():
         return np.empty(0, p["embed"].dtype)
-    h = _body(p, inputs, first)[0][keep]
+    h = _body(p, inputs, first)[0]
+    if not keep.all():
+        h = h[keep.reshape(-1)]
     high, low = np.divmod(targets[keep], MEMBERS)
-    first = _picked(h @ p["head"] + p["head_bias"], high)
-    gate = np.maximum(h @ p["gate"] + p["of_class"][high], 0)
-    return first + _picked(gate @ p["member"] + p["member_bias"][high], low)
-
-
-def _outer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return a.reshape(-1, a.shape[-1]).T @ b.reshape(-1, b.shape[-1])
+    of_class = _picked(_head(p, h), high)
+    return of_class + _picked(_member(p, h, high)[1], low)
 
 
 def _gradients(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
     """Gradients of the mean loss of all positions."""
-    h, (x, q, k, v, a, y, z, up) = _body(p, inputs)
-    n, d, g = targets.size, WIDTH, {}
-    flat, (high, low) = h.reshape(n, d), np.divmod(targets.reshape(n), MEMBERS)
-    rows = np.arange(n)
-    dl = _softmax(flat @ p["head"] + p["head_bias"])
-    dl[rows, high] -= 1
-    dl /= n
-    g["head"], g["head_bias"] = flat.T @ dl, dl.sum(axis=0)
+    total: dict[str, np.ndarray] = {}
+    dx = np.empty((*inputs.shape, WIDTH), p["embed"].dtype)
+    for low in range(0, len(inputs), PART):
+        part = slice(low, low + PART)
+        for name, grad in _gradients_of_part(p, inputs[part], targets[part], dx[part]).items():
+            if name in total:
+                total[name] += grad
+            else:
+                total[name] = grad
+    total["place"] = dx.sum(axis=0)
+    total["embed"] = np.zeros_like(p["embed"])
+    flat = inputs.reshape(-1)
+    order = np.argsort(flat)
+    code = flat[order]
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+    total["embed"][code[first]] = np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0)
+    for grad in total.values():
+        grad /= targets.size
+    return total
+
+
+def _gradients_of_part(p: dict[str, np.ndarray], inputs: np.ndarray, targets: np.ndarray,
+                       dx: np.ndarray) -> dict[str, np.ndarray]:
+    """Gradients of the summed loss of some windows; that of their inputs goes to ``dx``."""
+    h, (x, q, k, v, a, inverse, y, z, up) = _body(p, inputs)
+    n, d, kind, g = targets.size, WIDTH, p["embed"].dtype, {}
+    ones = np.ones(n, kind)
+    order = np.argsort(targets.reshape(n) // MEMBERS)          # class by class
+    high, low = np.divmod(targets.reshape(n)[order], MEMBERS)
+    first = np.flatnonzero(np.append(True, high[1:] != high[:-1]))
+    h = h[order]
+    dl = _softmax_less(_head(p, h), high, "raised")
+    g["head"], g["head_bias"] = h.T @ dl, ones @ dl
     dh = dl @ p["head"].T
-    gate = np.maximum(flat @ p["gate"] + p["of_class"][high], 0)
-    dm = _softmax(gate @ p["member"] + p["member_bias"][high])
-    dm[rows, low] -= 1
-    dm /= n
+    gate, scores = _member(p, h, high)
+    dm = _softmax_less(scores, low, "raised")
     g["member"] = gate.T @ dm
-    of_class = (high[:, None] == np.arange(CLASSES)).astype(dm.dtype)
-    g["member_bias"] = of_class.T @ dm
-    dg = (dm @ p["member"].T) * (gate > 0)
-    g["gate"] = flat.T @ dg
-    g["of_class"] = of_class.T @ dg
-    dh = (dh + dg @ p["gate"].T).reshape(h.shape)
-    dup = (dh @ p["down"].T) * (up > 0)
-    g["down"] = _outer(up, dh)
-    g["up"], g["bias"] = _outer(z, dup), dup.sum(axis=(0, 1))
-    dz = dh + dup @ p["up"].T
-    g["out"] = _outer(y, dz)
-    dy = dz @ p["out"].T
-    da = dy @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dy
-    ds = a * (da - (da * a).sum(axis=-1, keepdims=True))   # q is scaled already
-    dqkv = np.concatenate((ds @ k / np.float32(math.sqrt(d)), ds.transpose(0, 2, 1) @ q, dv), axis=-1)
-    g["qkv"] = _outer(x, dqkv)
-    dx = dz + dqkv @ p["qkv"].T
-    g["place"] = dx.sum(axis=0)
-    g["embed"] = np.zeros_like(p["embed"])
-    order = np.argsort(inputs, axis=None)
-    code, first = np.unique(inputs.reshape(-1)[order], return_index=True)
-    g["embed"][code] = np.add.reduceat(dx.reshape(n, d)[order], first, axis=0)
+    g["member_bias"] = np.zeros_like(p["member_bias"])
+    g["member_bias"][high[first]] = np.add.reduceat(dm, first)
+    dg = dm @ p["member"].T
+    dg *= gate > 0
+    g["of_class"] = np.zeros_like(p["of_class"])
+    g["of_class"][high[first]] = np.add.reduceat(dg, first)
+    g["gate"] = h.T @ dg
+    dh += dg @ p["gate"].T
+    back = np.empty_like(order)
+    back[order] = np.arange(n)
+    dh = dh[back]                                              # in the order of the windows again
+    dup = dh @ p["down"].T
+    dup *= up > 0
+    g["down"] = up.T @ dh
+    g["up"], g["bias"] = z.T @ dup, ones @ dup
+    dh += dup @ p["up"].T                                      # of z from here on
+    g["out"] = y.reshape(n, d).T @ dh
+    dy = (dh @ p["out"].T).reshape(y.shape)
+    dy *= inverse
+    ds = np.matmul(dy, v.transpose(0, 2, 1), out=_kept("scores", a.shape, kind))
+    ds -= np.einsum("wid,wid->wi", dy, y)[..., None]
+    ds *= a                                                    # q is scaled already
+    dqkv = _kept("dqkv", (*inputs.shape, 3 * d), kind)
+    np.matmul(ds, k, out=dqkv[..., :d])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[..., d:2 * d])
+    np.matmul(a.transpose(0, 2, 1), dy, out=dqkv[..., 2 * d:])
+    flat = dqkv.reshape(n, 3 * d)
+    g["qkv"] = _scaled(x.reshape(n, d).T @ flat)
+    np.add(dh, flat @ _scaled(p["qkv"]).T, out=dx.reshape(n, d))
     return g
 
 
@@ -178,9 +254,9 @@ def _flat(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([p[name].reshape(-1) for name in sorted(p)])
 
 
-def _shaped(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+def _views(flat: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     ends = np.cumsum([like[name].size for name in sorted(like)])[:-1]
-    return {name: part.reshape(like[name].shape).astype(np.float32)
+    return {name: part.reshape(like[name].shape)
             for name, part in zip(sorted(like), np.split(flat, ends), strict=True)}
 
 
@@ -195,7 +271,8 @@ def _steps_of_task(state: tuple[dict[str, np.ndarray], ...], passes: int, done:
     them, which are gone through more than once, are held.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p, m, s = (dict(x) for x in state)
+        w, m, s = (_flat(x) for x in state)
+        p = _views(w, state[0])
         rng, t, n = np.random.default_rng(done), done, 0
         read = (_windows(batch.column(0).to_pylist()) for batch in batches if batch.num_rows)
         if passes > 1:
@@ -208,13 +285,12 @@ def _steps_of_task(state: tuple[dict[str, np.ndarray], ...], passes: int, done:
                 t += 1
                 window = windows[order[low:low + BATCH]].astype(np.int64)
                 rate = 4e-3 * min(1.0, t / 50) * (1 - 0.9 * min(1.0, t / steps))
-                for name, grad in _gradients(p, window[:, :-1], window[:, 1:]).items():
-                    m[name] = m[name] + 0.1 * (grad - m[name])
-                    s[name] = s[name] + 0.01 * (grad * grad - s[name])
-                    p[name] = (p[name] - rate * (m[name] / (1 - 0.9 ** t))
-                               / (np.sqrt(s[name] / (1 - 0.99 ** t)) + 1e-8)).astype(np.float32)
+                grad = _flat(_gradients(p, window[:, :-1], window[:, 1:]))
+                m += 0.1 * (grad - m)
+                s += 0.01 * (grad * grad - s)
+                w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.99 ** t)) + 1e-8)
         if n:
-            values = np.array_split(np.concatenate([_flat(x) for x in (p, m, s)]).astype("<f4"), PIECES)
+            values = np.array_split(np.concatenate((w, m, s)).astype("<f4"), PIECES)
             yield pa.record_batch({"piece": pa.array(range(PIECES), pa.int32()), "w": pa.array([n] * PIECES, pa.int64()),
                                    "part": pa.array([v.tobytes() for v in values], pa.binary())})
     return run
@@ -272,7 +348,7 @@ def fit(windows: DataFrame, steps: int = STEPS, seed: int = 5) -> dict[str, np.n
                   .groupBy("piece").applyInArrow(_averaged, "piece int, part binary").orderBy("piece").collect())
         if values:                                             # the values of one model
             whole = np.split(np.frombuffer(b"".join(r["part"] for r in values), "<f4"), 3)
-            state = tuple(_shaped(x, p) for x in whole)
+            state = tuple(_views(x.astype(np.float32), p) for x in whole)
     return state[0]
 
 

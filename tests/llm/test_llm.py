@@ -8,6 +8,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from array import array
 
@@ -260,6 +261,38 @@ def test_lm_gradients_and_windows():
     assert np.allclose(lm.sequence_scores(p, codes[:60], np.array([0, 60])), whole[:60], atol=1e-5)
 
 
+def test_lm_steps_use_their_memory_again():
+    rng = np.random.default_rng(3)
+    p = lm._initial(rng)
+    x, y = rng.integers(0, 4096, (2, 64, lm.WINDOW))
+    codes = rng.integers(0, 4096, 20_000)
+    for run, most in ((lambda: lm._gradients(p, x, y), 4e6),
+                      (lambda: lm.sequence_scores(p, codes, np.array([0, 20_000])), 1.2e6)):
+        run()
+        tracemalloc.start()
+        run()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < most
+    # parts of a step give what the whole gives, and the room is not what a caller holds
+    held = lm._gradients(p, x[:2], y[:2])
+    whole = {k: v.copy() for k, v in held.items()}
+    lm._gradients(p, x, y)
+    assert all(np.array_equal(held[k], whole[k]) for k in held)
+    one = [lm._gradients(p, x[i:i + 1], y[i:i + 1]) for i in range(64)]
+    for name, grad in lm._gradients(p, x, y).items():
+        assert np.allclose(grad, np.mean([g[name] for g in one], axis=0), atol=1e-5)
+
+
+def test_lm_far_rows_keep_their_probability():
+    for x in ([[0.0, 1.0, 2.0], [-200.0, -201.0, -203.0]], [[500.0, 499.0, 0.0], [-300.0, -301.0, -299.0]]):
+        x = np.array(x, np.float32)
+        want = x.astype(float) - np.log(np.exp(x.astype(float) - x.max(axis=1, keepdims=True)).sum(axis=1, keepdims=True)
+                                        ) - x.max(axis=1, keepdims=True)
+        for at in range(3):
+            assert np.allclose(lm._picked(x.copy(), np.full(2, at)), want[:, at], atol=1e-4)
+
+
 def test_lm_codes_see_half_a_window_of_their_text():
     rng = np.random.default_rng(1)
     p = lm._initial(rng)
